@@ -217,3 +217,62 @@ SQL["index_docs_1"] = with_ctes(ALIVE) + """
 SELECT value, epoch_us(timestamp) // 1000 AS timestamp, aggName, aggField1, aggField1 AS nasIpAddress FROM alive"""
 SQL["index_docs_2"] = with_ctes(ALIVE, STATS_RAW, STATS) + """
 SELECT mean, stdDev, epoch_us(timestamp) // 1000 AS timestamp, aggName, aggField1, aggField1 AS nasIpAddress FROM stats"""
+
+
+def _ratio(keys: str) -> str:
+    return f"""
+ratio AS (
+  SELECT *, value / sumPerBras AS ratioInBras FROM (
+    SELECT *, CAST(sum(value) OVER (PARTITION BY {keys}) AS BIGINT) AS sumPerBras FROM stops))"""
+
+
+LABELS = """
+labels AS (
+  SELECT aggField2 AS cause, count(*) AS labelCount,
+         CAST(row_number() OVER (ORDER BY count(*) DESC, aggField2) - 1 AS DOUBLE) AS causeIndex
+  FROM stops GROUP BY aggField2)"""
+
+
+def _mix(keys: list[str], digits: bool = True) -> str:
+    k = ", ".join(keys)
+    kk = ", ".join(f"k.{c}" for c in keys)
+    on = " AND ".join(f"r.{c} = k.{c}" for c in keys)
+    val = "round(COALESCE(sum(r.ratioInBras), 0.0), 9)" if digits else "COALESCE(sum(r.ratioInBras), 0.0)"
+    return f"""
+keys AS (SELECT {k}, min(sumPerBras) AS minSumPerBras FROM ratio GROUP BY {k}),
+mix AS (
+  SELECT {kk}, CAST(l.causeIndex AS INTEGER) AS causeIndex, l.cause, {val} AS ratioSum, k.minSumPerBras
+  FROM keys k CROSS JOIN labels l
+  LEFT JOIN ratio r ON {on} AND r.aggField2 = l.cause
+  GROUP BY {kk}, l.causeIndex, l.cause, k.minSumPerBras)"""
+
+
+WKEYS = ["aggField1", "timestamp"]
+RATIO_W = _ratio("aggField1, timestamp")
+RATIO_B = _ratio("aggField1")
+
+DIST = """
+centre AS (SELECT causeIndex, avg(ratioSum) AS c FROM rawmix GROUP BY causeIndex),
+dist AS (
+  SELECT m.aggField1, m.timestamp, sum((m.ratioSum - c.c) * (m.ratioSum - c.c)) AS distanceFromCenter
+  FROM rawmix m JOIN centre c ON m.causeIndex = c.causeIndex GROUP BY m.aggField1, m.timestamp)"""
+RAWMIX = _mix(WKEYS, digits=False).replace("mix AS (", "rawmix AS (")
+
+SQL["cause_ratio"] = with_ctes(STOPS, RATIO_W) + "\nSELECT * FROM ratio"
+SQL["cause_ratio_batch"] = with_ctes(STOPS, RATIO_B) + "\nSELECT * FROM ratio"
+SQL["cause_index"] = with_ctes(STOPS, LABELS) + "\nSELECT * FROM labels"
+SQL["cause_mix"] = with_ctes(STOPS, RATIO_W, LABELS, _mix(WKEYS)) + "\nSELECT * FROM mix"
+SQL["cause_mix_batch"] = with_ctes(STOPS, RATIO_B, LABELS, _mix(["aggField1"])) + "\nSELECT * FROM mix"
+SQL["cause_mix_top30"] = with_ctes(STOPS, RATIO_W, LABELS, _mix(WKEYS)) + """,
+top AS (SELECT DISTINCT aggField1, timestamp FROM mix ORDER BY aggField1, timestamp LIMIT 30)
+SELECT m.* FROM mix m JOIN top t ON m.aggField1 = t.aggField1 AND m.timestamp = t.timestamp"""
+SQL["centre_distance"] = with_ctes(STOPS, RATIO_W, LABELS, RAWMIX, DIST) + """
+SELECT aggField1, timestamp, round(distanceFromCenter, 9) AS distanceFromCenter FROM dist"""
+SQL["distance_summary"] = with_ctes(STOPS, RATIO_W, LABELS, RAWMIX, DIST) + """
+SELECT count(distanceFromCenter) AS count, round(avg(distanceFromCenter), 9) AS mean,
+       round(stddev_samp(distanceFromCenter), 9) AS stddev, round(min(distanceFromCenter), 9) AS min,
+       round(max(distanceFromCenter), 9) AS max
+FROM dist"""
+SQL["sigma_outliers"] = with_ctes(STOPS, RATIO_W, LABELS, RAWMIX, DIST) + f"""
+SELECT aggField1, timestamp, round(distanceFromCenter, 9) AS distanceFromCenter FROM dist
+WHERE distanceFromCenter > (SELECT avg(distanceFromCenter) + {float(CFG.outlier_sigmas)} * stddev_samp(distanceFromCenter) FROM dist)"""

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctlens.functions.scalars import access_node_adsl, access_node_fiber, epoch_millis
-from acctlens.operators import anomaly, first_order as fo, ingest, second_order as so
+from acctlens.operators import anomaly, cause_mix as cm, first_order as fo, ingest, outliers as ol
+from acctlens.operators import second_order as so
+from acctlens.session import materialize
 from acctlens.plans.common import CFG, lines, records, to_output
 from acctlens.sinks.documents import index_documents_1, index_documents_2
 
@@ -122,6 +124,92 @@ def q_index_docs_2(spark, sf_dir):
     return index_documents_2(stats(spark, sf_dir))
 
 
+def ratios(spark, sf_dir, scope="window", checkpoint=True):
+    df = cm.cause_ratio(stop_causes(spark, sf_dir), scope)
+    return materialize(df) if checkpoint else df
+
+
+def mix(spark, sf_dir, scope="window"):
+    """(ratios, fitted feature model, features).  The ratios are written to
+    the checkpoint folder once: the indexer fit and the transform both read
+    them, and neither re-scans the raw lines."""
+    r = ratios(spark, sf_dir, scope)
+    model = cm.fit_features(r)
+    return r, model, cm.cause_features(r, model, scope)
+
+
+def q_cause_ratio(spark, sf_dir):
+    return to_output(ratios(spark, sf_dir, "window", checkpoint=False))
+
+
+def q_cause_ratio_batch(spark, sf_dir):
+    return to_output(ratios(spark, sf_dir, "batch", checkpoint=False))
+
+
+def q_cause_index(spark, sf_dir):
+    r, model, _ = mix(spark, sf_dir)
+    return cm.label_index(r, model)
+
+
+def q_cause_mix(spark, sf_dir):
+    _, model, feats = mix(spark, sf_dir)
+    return to_output(cm.features_long(feats, cm.model_labels(model)))
+
+
+def q_cause_mix_batch(spark, sf_dir):
+    _, model, feats = mix(spark, sf_dir, "batch")
+    return cm.features_long(feats, cm.model_labels(model), "batch")
+
+
+def q_cause_mix_top30(spark, sf_dir):
+    _, model, feats = mix(spark, sf_dir)
+    top = cm.first_keys(feats, 30)
+    return to_output(cm.features_long(feats.join(top, ["aggField1", "timestamp"], "left_semi"),
+                                      cm.model_labels(model)))
+
+
+def _rounded(df, cols, digits=9):
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+def mean_centre_distances(spark, sf_dir):
+    _, _, feats = mix(spark, sf_dir)
+    return ol.distance_to_mean_centre(feats).select("aggField1", "timestamp", "distanceFromCenter")
+
+
+def q_centre_distance(spark, sf_dir):
+    return to_output(_rounded(mean_centre_distances(spark, sf_dir), ["distanceFromCenter"]))
+
+
+def q_distance_summary(spark, sf_dir):
+    return _rounded(ol.distance_summary(mean_centre_distances(spark, sf_dir)), ["mean", "stddev", "min", "max"])
+
+
+def q_sigma_outliers(spark, sf_dir):
+    out = ol.sigma_outliers(mean_centre_distances(spark, sf_dir), CFG.outlier_sigmas)
+    return to_output(_rounded(out, ["distanceFromCenter"]))
+
+
+def _kmeans(spark, sf_dir):
+    _, _, feats = mix(spark, sf_dir)
+    return ol.kmeans_outliers(feats, CFG.kmeans_k, CFG.kmeans_seed, CFG.outlier_sigmas)
+
+
+def _kmeans_rows(df):
+    return to_output(df.select("aggField1", "timestamp", "prediction",
+                               F.round("distanceFromCenter", 9).alias("distanceFromCenter")))
+
+
+def q_kmeans_distance(spark, sf_dir):
+    decorated, _ = _kmeans(spark, sf_dir)
+    return _kmeans_rows(decorated)
+
+
+def q_kmeans_outliers(spark, sf_dir):
+    _, out = _kmeans(spark, sf_dir)
+    return _kmeans_rows(out)
+
+
 QUERIES: dict[str, Query] = {
     "parse_cdr": q_parse_cdr,
     "parse_cdr_full": q_parse_cdr_full,
@@ -142,4 +230,15 @@ QUERIES: dict[str, Query] = {
     "alive_anomalies": q_alive_anomalies,
     "index_docs_1": q_index_docs_1,
     "index_docs_2": q_index_docs_2,
+    "cause_ratio": q_cause_ratio,
+    "cause_ratio_batch": q_cause_ratio_batch,
+    "cause_index": q_cause_index,
+    "cause_mix": q_cause_mix,
+    "cause_mix_batch": q_cause_mix_batch,
+    "cause_mix_top30": q_cause_mix_top30,
+    "centre_distance": q_centre_distance,
+    "distance_summary": q_distance_summary,
+    "sigma_outliers": q_sigma_outliers,
+    "kmeans_distance": q_kmeans_distance,
+    "kmeans_outliers": q_kmeans_outliers,
 }

@@ -66,3 +66,11 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = False) -> str:
     tables and streaming checkpoints."""
     base = f"{checkpoint_root(spark)}/acctlens/{name}"
     return f"{base}/{uuid.uuid4().hex}" if unique else base
+
+
+def materialize(df):
+    """Reliable checkpoint (written under ``spark.checkpoint.dir``): cuts the
+    lineage so iterative/multi-pass consumers (model fits) do not recompute
+    the raw scan, and a lost executor does not replay it either."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
