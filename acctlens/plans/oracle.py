@@ -276,3 +276,38 @@ FROM dist"""
 SQL["sigma_outliers"] = with_ctes(STOPS, RATIO_W, LABELS, RAWMIX, DIST) + f"""
 SELECT aggField1, timestamp, round(distanceFromCenter, 9) AS distanceFromCenter FROM dist
 WHERE distanceFromCenter > (SELECT avg(distanceFromCenter) + {float(CFG.outlier_sigmas)} * stddev_samp(distanceFromCenter) FROM dist)"""
+
+REPLAY_START_US = 1704067200 * US          # 2024-01-01 00:00:00
+REPLAY_REAL_US = 1767225600 * US           # 2026-01-01 00:00:00
+REPLAY_FACTOR = 10
+
+REBASED = f"""
+rb AS (
+  SELECT f, make_timestamp({REPLAY_REAL_US} + (epoch_us(CAST(replace(f[1], '/', '-') AS TIMESTAMP)) - {REPLAY_START_US}) // {REPLAY_FACTOR}) AS releaseTime
+  FROM acc
+  WHERE regexp_full_match(f[1], '{_TIME_RE}') AND TRY_CAST(replace(f[1], '/', '-') AS TIMESTAMP) IS NOT NULL
+    AND len(f) >= 13 AND epoch_us(CAST(replace(f[1], '/', '-') AS TIMESTAMP)) >= {REPLAY_START_US}),
+rebased AS (
+  SELECT f, releaseTime, strftime(releaseTime, '%Y/%m/%d %H:%M:%S') || ',' || array_to_string(f[2:], ',') AS value
+  FROM rb)"""
+
+SQL["replay_rebase"] = with_ctes(REBASED) + "\nSELECT releaseTime, value FROM rebased"
+SQL["replay_publish"] = with_ctes(REBASED) + """
+SELECT f[13] || '-' || f[4] || '-' || f[5] AS key, value, releaseTime FROM rebased"""
+
+SQL["minute_files"] = with_ctes() + f""",
+mf AS (
+  SELECT COALESCE(nullif(f[12], ''), 'unassigned') AS leaf,
+         date_trunc('minute', CAST(replace(f[1], '/', '-') AS TIMESTAMP)) AS minute, value
+  FROM acc
+  WHERE regexp_full_match(f[1], '{_TIME_RE}') AND TRY_CAST(replace(f[1], '/', '-') AS TIMESTAMP) IS NOT NULL),
+live AS (SELECT * FROM mf WHERE epoch_us(minute) >= {REPLAY_START_US}),
+mins AS (SELECT DISTINCT leaf, minute FROM live),
+gaps AS (
+  SELECT leaf, minute,
+         (epoch_us(minute) - COALESCE(lag(epoch_us(minute)) OVER (PARTITION BY leaf ORDER BY minute),
+                                      {REPLAY_START_US} - 60000000)) // 60000000 - 1 AS missing
+  FROM mins),
+stops AS (SELECT leaf, min(minute) AS stop_minute FROM gaps WHERE missing > 20 GROUP BY leaf)
+SELECT l.leaf, l.minute, l.value FROM live l LEFT JOIN stops s ON l.leaf = s.leaf
+WHERE s.stop_minute IS NULL OR l.minute < s.stop_minute"""

@@ -8,6 +8,8 @@ matching SQL.
 
 from __future__ import annotations
 
+import datetime as dt
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +18,20 @@ from pyspark.sql import functions as F
 from acctlens.functions.scalars import access_node_adsl, access_node_fiber, epoch_millis
 from acctlens.operators import anomaly, cause_mix as cm, first_order as fo, ingest, outliers as ol
 from acctlens.operators import second_order as so
-from acctlens.session import materialize
+from acctlens.operators import replay as rp
+from acctlens.session import materialize, scratch_path
+from acctlens.sources.minute_files import minute_file_lines, write_minute_files
 from acctlens.plans.common import CFG, lines, records, to_output
 from acctlens.sinks.documents import index_documents_1, index_documents_2
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# replay parameters for the test tables (events start 2024-01-01)
+REPLAY_START = dt.datetime(2024, 1, 1, 0, 0)
+REPLAY_START_TEXT = "2024-01-01T00-00"
+REPLAY_REAL_START = dt.datetime(2026, 1, 1, 0, 0)
+REPLAY_FACTOR = 10
+
 
 def q_parse_cdr(spark, sf_dir):
     return to_output(records(spark, sf_dir, "cdr24"))
@@ -210,6 +220,26 @@ def q_kmeans_outliers(spark, sf_dir):
     return _kmeans_rows(out)
 
 
+def rebased(spark, sf_dir):
+    return rp.rebase_lines(lines(spark, sf_dir), REPLAY_START, REPLAY_REAL_START, REPLAY_FACTOR)
+
+
+def q_replay_rebase(spark, sf_dir):
+    return to_output(rebased(spark, sf_dir).select("releaseTime", "value"))
+
+
+def q_replay_publish(spark, sf_dir):
+    return to_output(rp.publish_records(rebased(spark, sf_dir)))
+
+
+def q_minute_files(spark, sf_dir):
+    """Lines written as leaf/day folders under the checkpoint root, then read
+    back the way a replay from the first minute would read them."""
+    root = scratch_path(spark, f"minute_files/{os.path.basename(sf_dir.rstrip('/'))}")
+    write_minute_files(lines(spark, sf_dir), root)
+    return to_output(minute_file_lines(spark, root, REPLAY_START_TEXT, layout="partitioned"))
+
+
 QUERIES: dict[str, Query] = {
     "parse_cdr": q_parse_cdr,
     "parse_cdr_full": q_parse_cdr_full,
@@ -241,4 +271,7 @@ QUERIES: dict[str, Query] = {
     "sigma_outliers": q_sigma_outliers,
     "kmeans_distance": q_kmeans_distance,
     "kmeans_outliers": q_kmeans_outliers,
+    "replay_rebase": q_replay_rebase,
+    "replay_publish": q_replay_publish,
+    "minute_files": q_minute_files,
 }
