@@ -29,7 +29,8 @@ def sliding_window(time_col: str, slide_seconds: int) -> Column:
 
 def first_order(records: DataFrame, keys: list[str], slide_seconds: int, agg_name: str,
                 time_col: str = "date", count_col: str | None = None,
-                status: str | None = None, watermark_seconds: int | None = None) -> DataFrame:
+                status: str | None = None, watermark_seconds: int | None = None,
+                keep_window: bool = False) -> DataFrame:
     if not 1 <= len(keys) <= 4:
         raise ValueError("first-order aggregates have 1 to 4 key fields")
     df = records
@@ -42,14 +43,17 @@ def first_order(records: DataFrame, keys: list[str], slide_seconds: int, agg_nam
     agg = df.groupBy(sliding_window(time_col, slide_seconds).alias("window"), *key_cols) \
         .agg(counter.alias("value"))
     return agg.select(F.lit(agg_name).alias("aggName"), F.col("window.end").alias("timestamp"),
-                      "value", *[f"aggField{i}" for i in range(1, len(keys) + 1)])
+                      "value", *[f"aggField{i}" for i in range(1, len(keys) + 1)],
+                      *(["window"] if keep_window else []))
 
 
-def alive_counts(records: DataFrame, cfg: AnalyzerConfig, streaming: bool = False) -> DataFrame:
+def alive_counts(records: DataFrame, cfg: AnalyzerConfig, streaming: bool = False,
+                 keep_window: bool = False) -> DataFrame:
     """``Alive`` records per window and access server (NAS IP)."""
     return first_order(records, ["nasIpAddress"], cfg.bras_agg1_seconds, ALIVE_AGG_NAME,
                        count_col="nasIpAddress", status="Alive",
-                       watermark_seconds=cfg.alive_watermark_seconds if streaming else None)
+                       watermark_seconds=cfg.alive_watermark_seconds if streaming else None,
+                       keep_window=keep_window)
 
 
 def stop_cause_counts(records: DataFrame, cfg: AnalyzerConfig, streaming: bool = False) -> DataFrame:

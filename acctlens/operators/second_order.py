@@ -22,19 +22,40 @@ from acctlens.config import AnalyzerConfig
 from acctlens.operators.first_order import STATS_AGG_NAME, sliding_window
 
 
-def _windowed(first: DataFrame, cfg: AnalyzerConfig, key: str, watermark_seconds: int | None):
+def chained_window(cfg: AnalyzerConfig):
+    """Stage-2 window over a *streaming* stage-1 result that still carries
+    its ``window`` struct.  A plain copy of ``window.end`` has no event-time
+    watermark, so the stage-2 window is placed on ``window_time(window)`` =
+    end - 1 us, with windows shifted by -1 us (start offset slide - 1 us):
+    a count stamped T then lands in exactly the windows ``[kS, kS + 2S)``
+    holding T, and the reported end gets the microsecond back."""
+    s = cfg.bras_agg2_seconds
+    return F.window(F.window_time("window"), f"{2 * s} seconds", f"{s} seconds",
+                    f"{s * 1_000_000 - 1} microseconds")
+
+
+def _windowed(first: DataFrame, cfg: AnalyzerConfig, key: str, watermark_seconds: int | None,
+              chained: bool = False):
     df = first
     if watermark_seconds is not None:
         df = df.withWatermark("timestamp", f"{watermark_seconds} seconds")
-    return df.groupBy(sliding_window("timestamp", cfg.bras_agg2_seconds).alias("window"), key)
+    w = chained_window(cfg) if chained else sliding_window("timestamp", cfg.bras_agg2_seconds)
+    return df.groupBy(w.alias("window"), key)
+
+
+def _window_end(chained: bool):
+    end = F.col("window.end")
+    return end + F.expr("INTERVAL 1 MICROSECOND") if chained else end
 
 
 def second_order_stats(first: DataFrame, cfg: AnalyzerConfig, exact: bool = False, key: str = "aggField1",
-                       agg_name: str = STATS_AGG_NAME, watermark_seconds: int | None = None) -> DataFrame:
+                       agg_name: str = STATS_AGG_NAME, watermark_seconds: int | None = None,
+                       chained: bool = False) -> DataFrame:
     """``aggName, timestamp, aggField1, mean, stdDev, samples``.
-    ``exact=True`` gives real-valued mean and standard deviation."""
+    ``exact=True`` gives real-valued mean and standard deviation;
+    ``chained=True`` reads a streaming stage-1 result with its ``window``."""
     n_s = cfg.sample_size
-    g = _windowed(first, cfg, key, watermark_seconds).agg(
+    g = _windowed(first, cfg, key, watermark_seconds, chained).agg(
         F.count("value").alias("_n"), F.sum("value").alias("_s"),
         F.sum(F.col("value") * F.col("value")).alias("_q"))
     width = F.greatest(F.col("_n"), F.lit(n_s))
@@ -46,7 +67,7 @@ def second_order_stats(first: DataFrame, cfg: AnalyzerConfig, exact: bool = Fals
         mean = F.expr(f"_s div {n_s}")
         var = F.expr(f"(_q - 2 * (_s div {n_s}) * _s + (_s div {n_s}) * (_s div {n_s}) * greatest(_n, {n_s})) div {n_s}")
         std = F.sqrt(var.cast("double"))
-    return g.select(F.lit(agg_name).alias("aggName"), F.col("window.end").alias("timestamp"),
+    return g.select(F.lit(agg_name).alias("aggName"), _window_end(chained).alias("timestamp"),
                     F.col(key).alias("aggField1"), mean.cast("double").alias("mean"),
                     std.alias("stdDev"), F.col("_n").cast("int").alias("samples"))
 

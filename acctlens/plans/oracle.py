@@ -311,3 +311,17 @@ gaps AS (
 stops AS (SELECT leaf, min(minute) AS stop_minute FROM gaps WHERE missing > 20 GROUP BY leaf)
 SELECT l.leaf, l.minute, l.value FROM live l LEFT JOIN stops s ON l.leaf = s.leaf
 WHERE s.stop_minute IS NULL OR l.minute < s.stop_minute"""
+
+WM_ALIVE = f"(SELECT max(date) FROM cdr) - INTERVAL {CFG.alive_watermark_seconds} SECOND"
+WM_STOP = f"(SELECT max(date) FROM cdr) - INTERVAL {CFG.stop_watermark_seconds} SECOND"
+SQL["stream_alive_count"] = with_ctes(ALIVE) + f"\nSELECT * FROM alive WHERE timestamp <= {WM_ALIVE}"
+SQL["stream_stop_cause"] = with_ctes(STOPS) + f"\nSELECT * FROM stops WHERE timestamp <= {WM_STOP}"
+SQL["stream_second_order"] = with_ctes(ALIVE, STATS_RAW, STATS) + f"\nSELECT * FROM stats WHERE timestamp <= {WM_ALIVE}"
+_CLOSED_STOPS = STOPS.replace("stops AS (", "stops_all AS (") + f""",
+stops AS (SELECT * FROM stops_all WHERE timestamp <= {WM_STOP})"""
+SQL["stream_bad_sessions"] = with_ctes(_CLOSED_STOPS, RATIO_B, LABELS, _mix(["aggField1"])) + "\nSELECT * FROM mix"
+_CLOSED_ALIVE = ALIVE.replace("alive AS (", "alive_all AS (") + f""",
+alive AS (SELECT * FROM alive_all WHERE timestamp <= {WM_ALIVE})"""
+SQL["stream_alive_anomalies"] = with_ctes(_CLOSED_ALIVE, STATS_RAW, STATS, LATEST) + f"""
+SELECT aggName, timestamp, aggField1, value, statsTimestamp, mean, stdDev FROM latest
+WHERE statsTimestamp IS NOT NULL AND (mean - value) > {float(CFG.bras_std_dev_anomaly)} * stdDev"""

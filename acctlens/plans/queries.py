@@ -21,6 +21,7 @@ from acctlens.operators import second_order as so
 from acctlens.operators import replay as rp
 from acctlens.session import materialize, scratch_path
 from acctlens.sources.minute_files import minute_file_lines, write_minute_files
+from acctlens.streaming import jobs
 from acctlens.plans.common import CFG, lines, records, to_output
 from acctlens.sinks.documents import index_documents_1, index_documents_2
 
@@ -240,6 +241,64 @@ def q_minute_files(spark, sf_dir):
     return to_output(minute_file_lines(spark, root, REPLAY_START_TEXT, layout="partitioned"))
 
 
+def _stream_records(spark, sf_dir):
+    return ingest.parse_cdr(jobs.event_line_stream(spark, sf_dir))
+
+
+def _run_to_table(spark, df, tag):
+    root = scratch_path(spark, f"streams/{tag}", unique=True)
+    jobs.to_table(df, f"{root}/out", f"{root}/_ck").awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{root}/out")
+
+
+def q_stream_alive_count(spark, sf_dir):
+    """Streamed Alive counts: the windows closed by the final watermark."""
+    return to_output(_run_to_table(spark, fo.alive_counts(_stream_records(spark, sf_dir), CFG, streaming=True),
+                                   "alive_count"))
+
+
+def q_stream_stop_cause(spark, sf_dir):
+    return to_output(_run_to_table(spark, fo.stop_cause_counts(_stream_records(spark, sf_dir), CFG, streaming=True),
+                                   "stop_cause"))
+
+
+def q_stream_second_order(spark, sf_dir):
+    """Stage 1 and stage 2 chained in one streaming query."""
+    return to_output(_run_to_table(spark, jobs.chained_stats(_stream_records(spark, sf_dir), CFG), "second_order"))
+
+
+def q_stream_bad_sessions(spark, sf_dir):
+    """Micro-batch cause mix (reference batch scope) written per batch_id."""
+    root = scratch_path(spark, "streams/bad_sessions", unique=True)
+    stops = fo.stop_cause_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
+    jobs.with_batches(stops, jobs.bad_session_batch(CFG, root), f"{root}/_ck").awaitTermination()
+    return spark.read.parquet(f"{root}/cause_mix").drop("batch_id")
+
+
+def q_stream_kmeans_outliers(spark, sf_dir):
+    """Micro-batch k-means predictions with the sigma-outlier flag."""
+    root = scratch_path(spark, "streams/bad_sessions_km", unique=True)
+    stops = fo.stop_cause_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
+    jobs.with_batches(stops, jobs.bad_session_batch(CFG, root), f"{root}/_ck").awaitTermination()
+    schema = "aggField1 string, prediction int, distanceFromCenter double, batch_id int"
+    preds = spark.read.schema(schema).parquet(f"{root}/predictions")
+    flagged = spark.read.schema(schema).parquet(f"{root}/outliers").select(
+        "aggField1", "batch_id", F.lit(True).alias("outlier"))
+    return preds.join(flagged, ["aggField1", "batch_id"], "left").fillna(False, ["outlier"])
+
+
+def q_stream_alive_anomalies(spark, sf_dir):
+    """Stats stream first (its table is what the lookups read), then the
+    Alive stream through the multi-output sink."""
+    root = scratch_path(spark, "streams/alive_monitor", unique=True)
+    jobs.to_table(jobs.chained_stats(_stream_records(spark, sf_dir), CFG), f"{root}/stats",
+                  f"{root}/_ck/stats").awaitTermination()
+    counts = fo.alive_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
+    jobs.with_batches(counts, jobs.alive_monitor_batch(CFG, root, f"{root}/stats"),
+                      f"{root}/_ck/alive").awaitTermination()
+    return to_output(spark.read.parquet(f"{root}/anomalies").drop("batch_id"))
+
+
 QUERIES: dict[str, Query] = {
     "parse_cdr": q_parse_cdr,
     "parse_cdr_full": q_parse_cdr_full,
@@ -274,4 +333,10 @@ QUERIES: dict[str, Query] = {
     "replay_rebase": q_replay_rebase,
     "replay_publish": q_replay_publish,
     "minute_files": q_minute_files,
+    "stream_alive_count": q_stream_alive_count,
+    "stream_stop_cause": q_stream_stop_cause,
+    "stream_second_order": q_stream_second_order,
+    "stream_bad_sessions": q_stream_bad_sessions,
+    "stream_kmeans_outliers": q_stream_kmeans_outliers,
+    "stream_alive_anomalies": q_stream_alive_anomalies,
 }
