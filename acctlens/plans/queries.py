@@ -296,7 +296,9 @@ def q_stream_alive_anomalies(spark, sf_dir):
     counts = fo.alive_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
     jobs.with_batches(counts, jobs.alive_monitor_batch(CFG, root, f"{root}/stats"),
                       f"{root}/_ck/alive").awaitTermination()
-    return to_output(spark.read.parquet(f"{root}/anomalies").drop("batch_id"))
+    schema = ("aggName string, timestamp timestamp, aggField1 string, value long, statsTimestamp timestamp, "
+              "mean double, stdDev double, batch_id int")
+    return to_output(spark.read.schema(schema).parquet(f"{root}/anomalies").drop("batch_id"))
 
 
 QUERIES: dict[str, Query] = {
