@@ -9,10 +9,12 @@ The same rules are written in SQL in ``acctlens.plans.oracle``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctlens.session import prepare
+from acctlens.session import prepare, scratch_path
 
 # fixed values: event type -> accounting status
 STATUS_BY_EVENT = {"view": "Alive", "click": "Alive", "error": "Stop", "purchase": "Stop",
@@ -95,6 +97,36 @@ def events_to_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
     return events.select(*cols)
 
 
-def read_event_lines(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
+def _fs_status(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, p
+
+
+def event_lines_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of text lines rendered from ``events`` (the recorded line
+    files a deployment reads from a topic or folder).  Written once per
+    version of the events file under the shared checkpoint root; every
+    query then reads plain text lines, as it would in production."""
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    fs, p = _fs_status(spark, src)
+    st = fs.getFileStatus(p)
+    key = hashlib.sha1(f"{fs.makeQualified(p).toString()}|{st.getLen()}|{st.getModificationTime()}|v1"
+                       .encode()).hexdigest()[:16]
+    out = scratch_path(spark, f"event_lines/{key}")
+    ofs, done = _fs_status(spark, f"{out}/_SUCCESS")
+    if not ofs.exists(done):
+        events = read_events(spark, sf_dir)
+        lines = events_to_lines(events)
+        parallelism = spark.sparkContext.defaultParallelism
+        if events.rdd.getNumPartitions() < parallelism:   # small input: spread the parse
+            lines = lines.repartition(parallelism)
+        lines.write.mode("overwrite").text(out)
+    return out
+
+
+def read_event_lines(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     prepare(spark)
-    return events_to_lines(read_events(spark, sf_dir), keep_id=keep_id)
+    path = event_lines_path(spark, sf_dir)
+    return (spark.readStream if streaming else spark.read).format("text").load(path)

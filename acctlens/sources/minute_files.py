@@ -41,11 +41,13 @@ def write_minute_files(lines: DataFrame, root: str, leaf_position: int = 11) ->
 
     The leaf is the line's field ``leaf_position`` (NAS identifier).  Lines
     without a parsable date land in the null ``day`` partition and are never
-    replayed.  No repartition: every input task writes its own files, so a
-    hot leaf does not funnel into one writer task."""
+    replayed.  The REBALANCE hint lets AQE coalesce small folders into one
+    file and split a hot leaf/day over several writer tasks, instead of
+    every input task writing a small file into every folder."""
     fields = F.split(F.col("value"), ",", -1)
     leaf = F.coalesce(F.nullif(F.get(fields, leaf_position), F.lit("")), F.lit(UNASSIGNED_LEAF))
     (lines.select("value", leaf.alias("leaf"), F.to_date(_line_minute(F.col("value"))).alias("day"))
+     .hint("rebalance", "leaf", "day")
      .write.mode("overwrite").partitionBy("leaf", "day").text(root))
 
 

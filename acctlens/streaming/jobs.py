@@ -22,15 +22,22 @@ from acctlens.operators.ingest import parse_cdr
 from acctlens.operators.second_order import second_order_stats
 from acctlens.sinks.documents import index_documents_1, index_documents_2
 from acctlens.sinks.topics import head_sorted, write_batch_table, write_topic
-from acctlens.sources.events import events_to_lines
+from acctlens.sources.events import event_lines_path, events_to_lines
 
 
 def event_line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` table as a file stream of accounting lines."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    """The ``events`` table rendered as line files, read as a text stream."""
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(event_lines_path(spark, sf_dir))
+
+
+def event_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` parquet table itself as a file stream, rendered to
+    lines on the fly (for sources that deliver rows instead of lines)."""
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
     return events_to_lines(reader.parquet(sf_dir.rstrip("/")))
 
 
