@@ -24,10 +24,26 @@ from acctlens.schema import (
 _FIELDS = "_fields"
 
 
-def _split(df: DataFrame, value: str, strict: bool, keep: list[str]) -> DataFrame:
+def _source(value: str, strict: bool) -> Column:
     v = F.col(value)
-    if strict:
-        v = F.regexp_replace(v, ",+$", "")
+    return F.regexp_replace(v, ",+$", "") if strict else v
+
+
+def _n_fields(v: Column) -> Column:
+    """Field count from the comma count: no split needed to decide."""
+    return F.length(v) - F.length(F.replace(v, F.lit(","), F.lit(""))) + 1
+
+
+def _accepted(v: Column) -> Column:
+    """At least 28 fields and a full date+time in field 0.  Evaluated on the
+    raw line (it is the filter Catalyst pushes to the scan)."""
+    return (_n_fields(v) >= N_FIELDS) & valid_event_time(F.substring_index(v, ",", 1))
+
+
+def _split(df: DataFrame, value: str, strict: bool, keep: list[str], accepted: bool) -> DataFrame:
+    v = _source(value, strict)
+    ok = _accepted(v)
+    df = df.filter(ok if accepted else ~ok)
     return df.select(*keep, F.col(value).alias("_line"), F.split(v, ",", -1).alias(_FIELDS))
 
 
@@ -35,10 +51,6 @@ def _f(i: int) -> Column:
     return F.get(F.col(_FIELDS), i)
 
 
-def _accepted() -> Column:
-    return (F.size(F.col(_FIELDS)) >= N_FIELDS) & valid_event_time(_f(0))
-
-
 def _typed(i: int, kind: str) -> Column:
     raw = _f(i)
     if kind == "ts":
@@ -69,7 +81,7 @@ def parse_cdr(lines: DataFrame, layout: str = "cdr24", strict: bool = False, val
     """Accepted lines as typed records.  ``keep`` passes columns through
     (e.g. an id or a source file)."""
     keep = keep or []
-    return _split(lines, value, strict, keep).filter(_accepted()).select(*keep, *cdr_columns(layout))
+    return _split(lines, value, strict, keep, True).select(*keep, *cdr_columns(layout))
 
 
 def parse_cdr_full(lines: DataFrame, strict: bool = False, radius_names: bool = False, **kw) -> DataFrame:
@@ -94,7 +106,7 @@ def quarantine(lines: DataFrame, strict: bool = False, value: str = "value",
                keep: list[str] | None = None) -> DataFrame:
     """Rejected lines with the reason: ``too_few_fields`` or ``bad_date``."""
     keep = keep or []
-    df = _split(lines, value, strict, keep).filter(~_accepted())
+    df = _split(lines, value, strict, keep, False)
     reason = F.when(F.size(F.col(_FIELDS)) < N_FIELDS, F.lit("too_few_fields")).otherwise(F.lit("bad_date"))
     return df.select(*keep, F.col("_line").alias(value), F.size(F.col(_FIELDS)).alias("n_fields"),
                      reason.alias("reason"))

@@ -119,12 +119,22 @@ def q_second_order_list_stats(spark, sf_dir):
     return to_output(so.stats_from_values(so.second_order_values(alive(spark, sf_dir), CFG)))
 
 
+def alive_and_stats(spark, sf_dir):
+    """Stage-1 counts are written once (checkpoint) and feed both the stats
+    and the lookup side, so the raw lines are scanned once; the counts are
+    orders of magnitude smaller than the lines."""
+    counts = materialize(alive(spark, sf_dir))
+    return counts, so.second_order_stats(counts, CFG)
+
+
 def q_latest_stats(spark, sf_dir):
-    return to_output(anomaly.latest_stats(alive(spark, sf_dir), stats(spark, sf_dir), CFG, how="left"))
+    counts, st = alive_and_stats(spark, sf_dir)
+    return to_output(anomaly.latest_stats(counts, st, CFG, how="left"))
 
 
 def q_alive_anomalies(spark, sf_dir):
-    return to_output(anomaly.alive_anomalies(alive(spark, sf_dir), stats(spark, sf_dir), CFG))
+    counts, st = alive_and_stats(spark, sf_dir)
+    return to_output(anomaly.alive_anomalies(counts, st, CFG))
 
 
 def q_index_docs_1(spark, sf_dir):
