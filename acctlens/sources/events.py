@@ -10,6 +10,7 @@ The same rules are written in SQL in ``acctlens.plans.oracle``.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,17 +113,24 @@ def event_lines_path(spark: SparkSession, sf_dir: str) -> str:
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     fs, p = _fs_status(spark, src)
     st = fs.getFileStatus(p)
-    key = hashlib.sha1(f"{fs.makeQualified(p).toString()}|{st.getLen()}|{st.getModificationTime()}|v1"
+    key = hashlib.sha1(f"{fs.makeQualified(p).toString()}|{st.getLen()}|{st.getModificationTime()}|v2"
                        .encode()).hexdigest()[:16]
     out = scratch_path(spark, f"event_lines/{key}")
-    ofs, done = _fs_status(spark, f"{out}/_SUCCESS")
-    if not ofs.exists(done):
+    ofs, target = _fs_status(spark, out)
+    if not ofs.exists(target):
         events = read_events(spark, sf_dir)
         lines = events_to_lines(events)
         parallelism = spark.sparkContext.defaultParallelism
         if events.rdd.getNumPartitions() < parallelism:   # small input: spread the parse
             lines = lines.repartition(parallelism)
-        lines.write.mode("overwrite").text(out)
+        # hidden name (leading "_"): if a concurrent writer published first and
+        # the rename nests this folder inside the target, readers skip it
+        staging = f"{scratch_path(spark, 'event_lines')}/_staging_{key}_{uuid.uuid4().hex}"
+        lines.write.mode("overwrite").text(staging)
+        # publish atomically; a concurrent writer that won the rename wins
+        _, sp = _fs_status(spark, staging)
+        if not ofs.rename(sp, target) and not ofs.exists(target):
+            raise RuntimeError(f"could not publish {staging} to {out}")
     return out
 
 
