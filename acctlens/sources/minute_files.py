@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctlens.functions.scalars import parse_event_time
+from acctlens.operators.asof import asof_latest
 
 FILE_MINUTE_FORMAT = "yyyy-MM-dd'T'HH-mm"
 DEFAULT_MAX_MISSING = 20
@@ -70,12 +71,20 @@ def _read_layout(spark: SparkSession, root: str, layout: str, start: dt.datetime
 def replay_cutoffs(minutes: DataFrame, start: dt.datetime, max_missing: int = DEFAULT_MAX_MISSING) -> DataFrame:
     """(leaf, minute) present -> (leaf, stop_minute): the first minute that
     follows more than ``max_missing`` missing minutes (the first present
-    minute is compared with ``start``).  Leaves that never stop have no row."""
-    w = Window.partitionBy("leaf").orderBy("minute")
-    prev = F.coalesce(F.lag("minute").over(w), F.lit(start) - F.expr("INTERVAL 1 MINUTE"))
-    missing = (F.unix_seconds("minute") - F.unix_seconds(prev)) / 60 - 1
-    return (minutes.withColumn("_missing", missing)
-            .filter(F.col("_missing") > max_missing)
+    minute is compared with ``start``).  Leaves that never stop have no row.
+
+    A minute m stops the replay iff no earlier present minute (or the
+    virtual ``start - 1 minute``) lies in ``[m - max_missing - 1, m - 1]``.
+    That is a bounded as-of lookup (buckets of ``max_missing + 1`` minutes),
+    so no task holds a leaf's whole history."""
+    span = (max_missing + 1) * 60
+    before_start = minutes.select("leaf").distinct().select(
+        "leaf", (F.lit(start) - F.expr("INTERVAL 1 MINUTE")).alias("minute"))
+    present = minutes.select("leaf", "minute").unionByName(before_start) \
+        .select("leaf", F.col("minute").alias("prevMinute"))
+    probe = minutes.select("leaf", "minute", (F.col("minute") - F.expr("INTERVAL 1 MINUTE")).alias("_probe"))
+    found = asof_latest(probe, present, ["leaf"], "_probe", "prevMinute", span, bucket_seconds=span, how="left")
+    return (found.filter(F.col("prevMinute").isNull())
             .groupBy("leaf").agg(F.min("minute").alias("stop_minute")))
 
 
