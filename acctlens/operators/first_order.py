@@ -72,3 +72,18 @@ def agg_lines(first: DataFrame) -> DataFrame:
     key = F.concat_ws("-", ts, F.col("aggField1"))
     value = F.concat_ws(",", F.col("aggName"), ts, *[F.col(c) for c in fields], F.col("value").cast("string"))
     return first.select(key.alias("key"), value.alias("value"))
+
+
+def fill_silent_windows(first: DataFrame, slide_seconds: int) -> DataFrame:
+    """Zero rows for windows without records, between each key's first and
+    last counted window (the reference only ever sees dips, never silence).
+
+    Per key the window ends come from ``sequence(first, last, slide)`` - one
+    generated row per window the key spans, no cross product of keys and
+    windows - then an equi-join on (key, timestamp) puts the counts back."""
+    keys = sorted(c for c in first.columns if c.startswith("aggField"))
+    span = first.groupBy("aggName", *keys).agg(F.min("timestamp").alias("_lo"), F.max("timestamp").alias("_hi"))
+    step = F.expr(f"INTERVAL {int(slide_seconds)} SECONDS")
+    grid = span.select("aggName", *keys, F.explode(F.sequence("_lo", "_hi", step)).alias("timestamp"))
+    filled = grid.join(first.select("aggName", "timestamp", *keys, "value"), ["aggName", "timestamp", *keys], "left")
+    return filled.select("aggName", "timestamp", F.coalesce("value", F.lit(0).cast("bigint")).alias("value"), *keys)

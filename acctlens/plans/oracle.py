@@ -325,3 +325,11 @@ alive AS (SELECT * FROM alive_all WHERE timestamp <= {WM_ALIVE})"""
 SQL["stream_alive_anomalies"] = with_ctes(_CLOSED_ALIVE, STATS_RAW, STATS, LATEST) + f"""
 SELECT aggName, timestamp, aggField1, value, statsTimestamp, mean, stdDev FROM latest
 WHERE statsTimestamp IS NOT NULL AND (mean - value) > {float(CFG.bras_std_dev_anomaly)} * stdDev"""
+
+SQL["alive_count_filled"] = with_ctes(ALIVE) + f""",
+span AS (SELECT aggName, aggField1, min(timestamp) AS lo, max(timestamp) AS hi FROM alive GROUP BY 1, 2),
+grid AS (
+  SELECT aggName, aggField1, unnest(generate_series(lo, hi, INTERVAL {CFG.bras_agg1_seconds} SECOND)) AS timestamp
+  FROM span)
+SELECT g.aggName, g.timestamp, COALESCE(a.value, 0) AS value, g.aggField1
+FROM grid g LEFT JOIN alive a ON a.aggField1 = g.aggField1 AND a.timestamp = g.timestamp"""

@@ -73,6 +73,10 @@ def q_alive_count(spark, sf_dir):
     return to_output(alive(spark, sf_dir))
 
 
+def q_alive_count_filled(spark, sf_dir):
+    return to_output(fo.fill_silent_windows(alive(spark, sf_dir), CFG.bras_agg1_seconds))
+
+
 def q_stop_cause_count(spark, sf_dir):
     return to_output(stop_causes(spark, sf_dir))
 
@@ -319,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "access_node": q_access_node,
     "alive_count": q_alive_count,
     "stop_cause_count": q_stop_cause_count,
+    "alive_count_filled": q_alive_count_filled,
     "first_order_3": q_first_order_3,
     "first_order_4": q_first_order_4,
     "agg_lines": q_agg_lines,

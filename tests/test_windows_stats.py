@@ -83,3 +83,14 @@ def test_first_order_keys_and_lines(spark):
     line = agg_lines(alive_counts(_records(spark, [dt.datetime(2024, 1, 1, 0, 0, 1)]), CFG)).orderBy("key").first()
     assert line.key == "2024-01-01 00:00:05.0-10.0.0.1"
     assert line.value == "agg1_cdr_alive_bras,2024-01-01 00:00:05.0,10.0.0.1,1"
+
+
+def test_fill_silent_windows(spark):
+    from acctlens.operators.first_order import fill_silent_windows
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 10)
+    first = spark.createDataFrame([("n", t0, 4, "k"), ("n", t0 + dt.timedelta(seconds=15), 2, "k"),
+                                   ("n", t0, 1, "z")],
+                                  "aggName string, timestamp timestamp, value long, aggField1 string")
+    got = sorted((r.aggField1, r.timestamp, r.value) for r in fill_silent_windows(first, 5).collect())
+    assert got == [("k", t0, 4), ("k", t0 + dt.timedelta(seconds=5), 0), ("k", t0 + dt.timedelta(seconds=10), 0),
+                   ("k", t0 + dt.timedelta(seconds=15), 2), ("z", t0, 1)]
