@@ -48,3 +48,15 @@ def test_batch_sink_is_idempotent(spark):
     write_batch_table(df, path, 1)       # replayed batch
     write_batch_table(df, path, 2)
     assert spark.read.parquet(path).count() == 10
+
+
+def test_run_analyzer_concurrent_queries(spark):
+    root = scratch_path(spark, "test/analyzer", unique=True)
+    queries = jobs.run_analyzer(spark, jobs.event_line_stream(spark, SF_SMALL), CFG, root, trigger=False)
+    assert len(queries) == 3
+    for q in queries:
+        q.awaitTermination()
+        assert q.exception() is None
+    assert spark.read.parquet(f"{root}/stats").count() > 0
+    assert spark.read.parquet(f"{root}/agg_docs").count() > 0
+    assert spark.read.parquet(f"{root}/cause_mix").count() > 0
