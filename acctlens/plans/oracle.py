@@ -333,3 +333,7 @@ grid AS (
   FROM span)
 SELECT g.aggName, g.timestamp, COALESCE(a.value, 0) AS value, g.aggField1
 FROM grid g LEFT JOIN alive a ON a.aggField1 = g.aggField1 AND a.timestamp = g.timestamp"""
+
+SQL["stream_hop_second_order"] = with_ctes(_CLOSED_ALIVE, STATS_RAW, STATS) + f"""
+SELECT * FROM stats
+WHERE timestamp <= (SELECT max(timestamp) FROM alive) - INTERVAL {CFG.agg_watermark_seconds} SECOND"""

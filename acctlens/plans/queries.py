@@ -281,6 +281,14 @@ def q_stream_second_order(spark, sf_dir):
     return to_output(_run_to_table(spark, jobs.chained_stats(_stream_records(spark, sf_dir), CFG), "second_order"))
 
 
+def q_stream_hop_second_order(spark, sf_dir):
+    """Two queries joined by an aggregate-line folder (the topic hop)."""
+    root = scratch_path(spark, "streams/hop", unique=True)
+    jobs.hop_first_stage(_stream_records(spark, sf_dir), CFG, f"{root}/agg_lines", f"{root}/_ck1").awaitTermination()
+    stats = jobs.hop_second_stage(spark.readStream.format("text").load(f"{root}/agg_lines"), CFG)
+    return to_output(_run_to_table(spark, stats, "hop_stats"))
+
+
 def q_stream_bad_sessions(spark, sf_dir):
     """Micro-batch cause mix (reference batch scope) written per batch_id."""
     root = scratch_path(spark, "streams/bad_sessions", unique=True)
@@ -353,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "stream_alive_count": q_stream_alive_count,
     "stream_stop_cause": q_stream_stop_cause,
     "stream_second_order": q_stream_second_order,
+    "stream_hop_second_order": q_stream_hop_second_order,
     "stream_bad_sessions": q_stream_bad_sessions,
     "stream_kmeans_outliers": q_stream_kmeans_outliers,
     "stream_alive_anomalies": q_stream_alive_anomalies,

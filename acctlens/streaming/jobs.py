@@ -17,8 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from acctlens.config import AnalyzerConfig
 from acctlens.operators import anomaly, cause_mix as cm, outliers as ol
-from acctlens.operators.first_order import agg_lines, alive_counts, stop_cause_counts
-from acctlens.operators.ingest import parse_cdr
+from acctlens.operators.first_order import ALIVE_AGG_NAME, agg_lines, alive_counts, stop_cause_counts
+from acctlens.operators.ingest import parse_agg_line, parse_cdr
 from acctlens.operators.second_order import second_order_stats
 from acctlens.sinks.documents import index_documents_1, index_documents_2
 from acctlens.sinks.topics import head_sorted, write_batch_table, write_topic
@@ -72,6 +72,22 @@ def chained_stats(records: DataFrame, cfg: AnalyzerConfig) -> DataFrame:
     return second_order_stats(first, cfg, chained=True)
 
 
+def hop_first_stage(records: DataFrame, cfg: AnalyzerConfig, path: str, checkpoint: str,
+                    trigger_seconds: int | None = None) -> StreamingQuery:
+    """Stage 1 published as aggregate lines (``name,ts,field,value``) to a
+    line folder - the intermediate topic of the reference, as files."""
+    lines = agg_lines(alive_counts(records, cfg, streaming=True)).select("value")
+    return to_table(lines, path, checkpoint, trigger_seconds, fmt="text")
+
+
+def hop_second_stage(agg_line_stream: DataFrame, cfg: AnalyzerConfig) -> DataFrame:
+    """Stage 2 reading the aggregate lines back: parse, keep the Alive
+    aggregate (the topic is multiplexed), watermark on its timestamp *after*
+    the name filter, then the closed-form statistics."""
+    first = parse_agg_line(agg_line_stream, 1).filter(F.col("aggName") == ALIVE_AGG_NAME)
+    return second_order_stats(first, cfg, watermark_seconds=cfg.agg_watermark_seconds)
+
+
 def alive_monitor_batch(cfg: AnalyzerConfig, out_root: str, stats_path: str,
                         topic: tuple[str, str] | None = None, show: int = 0) -> Callable[[DataFrame, int], None]:
     """Multi-output sink for stage-1 counts, per micro-batch: optional
