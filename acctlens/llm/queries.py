@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import importlib.util
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from acctlens.llm.ann import ann_search
+from acctlens.llm.bpe import bpe_digests
 from acctlens.llm.common import table
 from acctlens.llm.mixing import mix_sizes
+from acctlens.llm.simhash import simhash_groups
 from acctlens.llm.topk import exact_top_k
 from acctlens.llm.url_rules import apply_rules
 
@@ -14,6 +19,31 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+#: Place of the vocabulary files; a parameter of the operators.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """(path of the rank file, pattern that splits text)."""
+    try:
+        import public_tokenizers as known
+    except ImportError:
+        spec = importlib.util.spec_from_file_location("public_tokenizers", f"{TOKENIZERS}/__init__.py")
+        known = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(known)
+    return known.path(RANKS), known.PATTERN
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), words_in_shingle=3, bits=3)
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = tokenizer_files()
+    return bpe_digests(table(spark, sf_dir, "documents"), ranks, pattern)
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -31,7 +61,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_exact_top_k": op4_exact_top_k, "op6_url_rules": op6_url_rules, "op7_ann": op7_ann,
+QUERIES = {"op1_simhash": op1_simhash, "op2_byte_bpe": op2_byte_bpe, "op4_exact_top_k": op4_exact_top_k, "op6_url_rules": op6_url_rules, "op7_ann": op7_ann,
            "op8_mix_sources": op8_mix_sources}
 
 OP4_SQL = """
