@@ -12,6 +12,7 @@ from acctlens.llm.bpe import bpe_digests
 from acctlens.llm.common import table
 from acctlens.llm.mixing import mix_sizes
 from acctlens.llm.simhash import simhash_groups
+from acctlens.llm.suffixes import suffix_dedup
 from acctlens.llm.topk import exact_top_k
 from acctlens.llm.url_rules import apply_rules
 
@@ -48,6 +49,10 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), width=50)
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return apply_rules(table(spark, sf_dir, "pages"), rules, default="allow")
@@ -61,7 +66,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_byte_bpe": op2_byte_bpe, "op4_exact_top_k": op4_exact_top_k, "op6_url_rules": op6_url_rules, "op7_ann": op7_ann,
+QUERIES = {"op1_simhash": op1_simhash, "op2_byte_bpe": op2_byte_bpe, "op4_exact_top_k": op4_exact_top_k, "op5_suffix_dedup": op5_suffix_dedup, "op6_url_rules": op6_url_rules, "op7_ann": op7_ann,
            "op8_mix_sources": op8_mix_sources}
 
 OP4_SQL = """
