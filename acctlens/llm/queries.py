@@ -11,9 +11,11 @@ from acctlens.llm.ann import ann_search
 from acctlens.llm.bpe import bpe_digests
 from acctlens.llm.common import table
 from acctlens.llm.mixing import mix_sizes
+from acctlens.llm.quality import quality_scores
 from acctlens.llm.simhash import simhash_groups
 from acctlens.llm.suffixes import suffix_dedup
 from acctlens.llm.topk import exact_top_k
+from acctlens.llm.toxicity import toxicity_scores
 from acctlens.llm.url_rules import apply_rules
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -45,6 +47,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), ranks, pattern)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -66,8 +72,13 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sizes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_byte_bpe": op2_byte_bpe, "op4_exact_top_k": op4_exact_top_k, "op5_suffix_dedup": op5_suffix_dedup, "op6_url_rules": op6_url_rules, "op7_ann": op7_ann,
-           "op8_mix_sources": op8_mix_sources}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_byte_bpe": op2_byte_bpe, "op3_quality": op3_quality,
+           "op4_exact_top_k": op4_exact_top_k, "op5_suffix_dedup": op5_suffix_dedup, "op6_url_rules": op6_url_rules, "op7_ann": op7_ann,
+           "op8_mix_sources": op8_mix_sources, "op9_toxicity": op9_toxicity}
 
 OP4_SQL = """
 WITH v AS (
