@@ -11,6 +11,7 @@ from acctlens.llm.ann import ann_search
 from acctlens.llm.bpe import bpe_digests
 from acctlens.llm.common import table
 from acctlens.llm.mixing import mix_sizes
+from acctlens.llm.passages import passage_classes
 from acctlens.llm.quality import quality_scores
 from acctlens.llm.simhash import simhash_groups
 from acctlens.llm.suffixes import suffix_dedup
@@ -76,9 +77,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_classes(table(spark, sf_dir, "documents"), similarity=0.8)
+
+
 QUERIES = {"op1_simhash": op1_simhash, "op2_byte_bpe": op2_byte_bpe, "op3_quality": op3_quality,
            "op4_exact_top_k": op4_exact_top_k, "op5_suffix_dedup": op5_suffix_dedup, "op6_url_rules": op6_url_rules, "op7_ann": op7_ann,
-           "op8_mix_sources": op8_mix_sources, "op9_toxicity": op9_toxicity}
+           "op8_mix_sources": op8_mix_sources, "op9_toxicity": op9_toxicity,
+           "op10_substring_dedup": op10_substring_dedup}
 
 OP4_SQL = """
 WITH v AS (

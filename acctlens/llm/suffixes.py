@@ -21,7 +21,7 @@ document with a smaller doc_id.
 5. The removed strings go back to their blocks, where the rest of each text is put
    together.
 
-An anchor with more than ``HEAVY`` occurrences is spread: each of its strings goes to
+An anchor with very many occurrences (``exchange.HEAVY``) is spread: each of its strings goes to
 a salt by its own hash, so strings of a hot anchor are classed in many tasks.
 """
 
@@ -37,14 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from acctlens.llm.blocks import batch_of
 from acctlens.llm.common import parallelism, utf8_rows
+from acctlens.llm.exchange import KEYS_DDL, found, key_of, packed_keys, shared_keys
 from acctlens.session import scratch_path
 
 GRAM = 20
 BLOCK_BYTES = 8 << 20
 BLOCK_ROWS = 1 << 16
 RANGE_BYTES = 16 << 20
-HEAVY = 20_000
 SALTS = 256
 STEP = 1 << 16
 
@@ -55,9 +56,6 @@ BYTE_HASH = np.random.default_rng(20).integers(1, 1 << 32, 256, dtype=np.uint32)
 BLOCKS = pa.schema([("n", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("known", pa.binary()),
                     ("lens", pa.binary()), ("data", pa.binary()), ("rest", pa.binary())])
 BLOCKS_DDL = "n int, n_bytes long, ids binary, known binary, lens binary, data binary, rest binary"
-KEYS = pa.schema([("range", pa.int32()), ("uid", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()),
-                  ("many", pa.binary())])
-SHARED = pa.schema([("uid", pa.int64()), ("range", pa.int32()), ("keys", pa.binary()), ("heavy", pa.binary())])
 RUNS = pa.schema([("range", pa.int32()), ("salt", pa.int32()), ("uid", pa.int64()), ("spans", pa.binary()),
                   ("lcp", pa.binary()), ("size", pa.binary()), ("tails", pa.binary()), ("left", pa.binary()),
                   ("lefts", pa.binary()), ("doc", pa.binary()), ("place", pa.binary()), ("offsets", pa.binary())])
@@ -136,7 +134,7 @@ def rows_of(data: np.ndarray, at: np.ndarray, n: int, back: bool = False) -> np.
 
 
 def gram_keys(data: np.ndarray, at: np.ndarray, ranges: int) -> np.ndarray:
-    """range << 32 | 32 more bits of the hash of each anchor's gram."""
+    """The exchange's key of each anchor's gram."""
     words = np.ascontiguousarray(np.pad(rows_of(data, at, GRAM), ((0, 0), (0, 24 - GRAM)))).view(U64)
     h = np.zeros(len(at), U64)
     for j in range(3):
@@ -144,7 +142,7 @@ def gram_keys(data: np.ndarray, at: np.ndarray, ranges: int) -> np.ndarray:
         h ^= h >> U64(29)
         h *= _MIX2
         h ^= h >> U64(32)
-    return (((h >> U64(40)) * U64(ranges)) >> U64(24) << U64(32)) | ((h >> U64(8)) & U64(0xFFFFFFFF))
+    return key_of(h, ranges)
 
 
 class Block:
@@ -179,11 +177,11 @@ def to_blocks(docs: DataFrame, others: list[str]) -> DataFrame:
             if other is not None:
                 with pa.ipc.new_stream(sink, other.schema) as w:
                     w.write_table(other)
-            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(
-                (len(ids), size, np.array([i or 0 for i in ids], np.int64).tobytes(),
-                 np.array([i is not None for i in ids], bool).tobytes(),
-                 np.fromiter(map(len, texts), np.int64, len(texts)).tobytes(), b"".join(texts),
-                 sink.getvalue().to_pybytes()), BLOCKS)], schema=BLOCKS)
+            return batch_of(BLOCKS, (
+                len(ids), size, np.array([i or 0 for i in ids], np.int64).tobytes(),
+                np.array([i is not None for i in ids], bool).tobytes(),
+                np.fromiter(map(len, texts), np.int64, len(texts)).tobytes(), b"".join(texts),
+                sink.getvalue().to_pybytes()))
 
         for rb in batches:
             from_row = 0
@@ -210,66 +208,6 @@ def to_blocks(docs: DataFrame, others: list[str]) -> DataFrame:
     return spark.table(name)
 
 
-# ---- which anchors repeat -----------------------------------------------------
-
-def repeated_anchors(blocks: DataFrame, width: int, ranges: int) -> DataFrame:
-    """(uid, hot): the packed keys of a block's anchors that another document
-    has, with a flag for heavy ones."""
-
-    def send(batches):
-        for rb in batches:
-            for row in rb.to_pylist():
-                b = Block(row, width)
-                at, _, _, doc = b.anchors()
-                key = gram_keys(b.data, at, ranges)
-                order = np.argsort(key, kind="stable")
-                key, doc = key[order], doc[order]
-                new = np.ones(len(key), bool)
-                new[1:] = key[1:] != key[:-1]
-                begin = np.flatnonzero(new)
-                count = np.minimum(np.diff(np.append(begin, len(key))), 65535).astype(np.uint16)
-                many = np.zeros(0, bool)
-                if len(begin):
-                    ids = b.ids[doc]
-                    many = np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin)
-                key = key[begin]
-                cut = np.searchsorted(key, np.arange(ranges + 1, dtype=U64) << U64(32))
-                for r in np.flatnonzero(np.diff(cut)):
-                    s = slice(cut[r], cut[r + 1])
-                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(
-                        (int(r), row["uid"], key[s].astype(np.uint32).tobytes(), count[s].tobytes(), many[s].tobytes()),
-                        KEYS)], schema=KEYS)
-
-    def meet(group: pa.Table) -> pa.Table:
-        uid = group.column("uid").to_pylist()
-        keys = [np.frombuffer(x, np.uint32) for x in group.column("keys").to_pylist()]
-        sizes = np.array([len(k) for k in keys])
-        key = np.concatenate(keys)
-        count = np.concatenate([np.frombuffer(x, np.uint16) for x in group.column("counts").to_pylist()]).astype(np.int64)
-        many = np.concatenate([np.frombuffer(x, bool) for x in group.column("many").to_pylist()])
-        order = np.argsort(key, kind="stable")
-        new = np.ones(len(key), bool)
-        new[1:] = key[order][1:] != key[order][:-1]
-        begin = np.flatnonzero(new)
-        of = np.empty(len(key), np.int64)
-        of[order] = np.cumsum(new) - 1
-        total = np.add.reduceat(count[order], begin)
-        hot = (np.diff(np.append(begin, len(key))) > 1) | np.logical_or.reduceat(many[order], begin)
-        out = []
-        for k, (u, end) in enumerate(zip(uid, np.cumsum(sizes))):
-            s = of[end - sizes[k]: end]
-            mine = hot[s]
-            if mine.any():
-                out.append((u, group.column("range")[0].as_py(), keys[k][mine].tobytes(), (total[s][mine] > HEAVY).tobytes()))
-        cols = list(zip(*out)) or [[]] * 4
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, SHARED)], schema=SHARED)
-
-    keys = blocks.select("uid", *BLOCKS.names).drop("rest").mapInArrow(
-        send, "range int, uid long, keys binary, counts binary, many binary")
-    met = keys.groupBy("range").applyInArrow(meet, "uid long, range int, keys binary, heavy binary")
-    return met.groupBy("uid").agg(F.collect_list(F.struct("range", "keys", "heavy")).alias("hot"))
-
-
 # ---- runs of suffixes -----------------------------------------------------------
 
 def ordered(m: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -295,13 +233,8 @@ def runs_of(b: Block, hot: list, ranges: int) -> Iterator[tuple]:
     width, uid = b.width, b.row["uid"]
     at, first, last, doc = b.anchors()
     key = gram_keys(b.data, at, ranges)
-    wanted = np.concatenate([(U64(h["range"]) << U64(32)) | np.frombuffer(h["keys"], np.uint32).astype(U64) for h in hot])
-    heavy = np.concatenate([np.frombuffer(h["heavy"], bool) for h in hot])
-    order = np.argsort(wanted)
-    wanted, heavy = wanted[order], heavy[order]
-    where = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-    keep = wanted[where] == key
-    at, first, last, doc, key, heavy = (x[keep] for x in (at, first, last, doc, key, heavy[where]))
+    keep, heavy = found(key, hot)
+    at, first, last, doc, key, heavy = (x[keep] for x in (at, first, last, doc, key, heavy))
     begin = b.ends[doc] - np.frombuffer(b.row["lens"], np.int64)[doc]
     size = np.minimum(b.ends[doc] - at, width)
     left = at - first
@@ -504,13 +437,22 @@ def removals(docs: DataFrame, width: int, others: list[str]) -> DataFrame:
     blocks = to_blocks(docs, others)
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(1, -(-total // RANGE_BYTES))
-    hot = repeated_anchors(blocks, width, ranges)
+
+    def send_keys(batches):
+        for rb in batches:
+            for row in rb.to_pylist():
+                b = Block(row, width)
+                at, _, _, doc = b.anchors()
+                yield from packed_keys(row["uid"], gram_keys(b.data, at, ranges), b.ids[doc], ranges)
+
+    texts = blocks.drop("rest")
+    hot = shared_keys(texts.mapInArrow(send_keys, KEYS_DDL))
 
     def send(batches):
         for rb in batches:
             for row in rb.to_pylist():
                 for out in runs_of(Block(row, width), row["hot"], ranges):
-                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(out, RUNS)], schema=RUNS)
+                    yield batch_of(RUNS, out)
 
     def merge(group: pa.Table) -> pa.Table:
         found: dict[int, list[np.ndarray]] = {}
@@ -520,7 +462,6 @@ def removals(docs: DataFrame, width: int, others: list[str]) -> DataFrame:
                                      pa.array([np.concatenate(x).tobytes() for x in found.values()], pa.binary())],
                                     schema=SPANS)
 
-    texts = blocks.select("uid", "n", "n_bytes", "ids", "known", "lens", "data")
     runs = texts.join(hot.hint("shuffle_hash"), "uid").mapInArrow(send, RUNS_DDL)
     spans = runs.groupBy("range", "salt").applyInArrow(merge, "uid long, spans binary")
     gone = spans.groupBy("uid").agg(F.collect_list("spans").alias("gone"))
