@@ -24,10 +24,12 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPLITS_KEPT, LONGEST_KEPT, STATES_KEPT, PAIRS_KEPT = 300_000, 64, 100_000, 500_000
 LOOKBACK = 4096
@@ -267,21 +269,34 @@ def _shared(df: DataFrame, ranks_path: str, pattern: str):
         return df.sparkSession.sparkContext.broadcast((f.read(), pattern))
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids array<int>, decoded binary): the tokens of every whole
-    text and the bytes they decode to."""
+def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """The columns of ``docs`` but ``text`` and ``n_chars``, with n_tokens, ids
+    (array<int>) and round_trip, whether the ids decode to the text's bytes."""
     shared = _shared(docs, ranks_path, pattern)
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+    names = [c for c in docs.columns if c not in ("text", "n_chars", "n_tokens", "ids", "round_trip")]
+    rows = docs.select(*names, "text")
+    schema = rows.drop("text").schema.add("n_tokens", T.LongType()).add("ids", T.ArrayType(T.IntegerType())).add("round_trip", T.BooleanType())
 
     def run(batches):
-        tok = _worker_tokenizer(shared)
-        for rb in batches:
-            for doc_id, text in zip(rb.column(0).cast(pa.int64()), rb.column(1)):
-                ids = tok.encode(text.as_py() or "")
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id.as_py()], pa.int64()), pa.array([ids.tolist()], schema[1].type),
-                                                  pa.array([b"".join(tok.decode(ids))], pa.binary())], schema=schema)
+        gc.disable()  # memories of tuples: nothing cyclic to find, much to search
+        try:
+            tok = _worker_tokenizer(shared)
+            for rb in batches:
+                flat, ends, same = array("I"), [0], []
+                for text in rb.column(rb.num_columns - 1):
+                    text = text.as_py() or ""
+                    ids = tok.encode(text)
+                    same.append(b"".join(tok.decode(ids)) == text.encode())
+                    flat.extend(ids)
+                    ends.append(len(flat))
+                offsets = np.array(ends, np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(flat, np.uint32).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*rb.columns[:-1], pa.array(np.diff(offsets).astype(np.int64)), lists,
+                                                  pa.array(same, pa.bool_())], names=[*names, "n_tokens", "ids", "round_trip"])
+        finally:
+            gc.enable()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return rows.mapInArrow(run, schema)
 
 
 def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -19,8 +19,8 @@ nodes whose subtree is as wide as a passage are kept (two in a passage's length)
    each pair of documents is verified on the shingles of both passages.
 4. Verified pairs make classes of documents.
 
-Equal signatures under one key are one entry of their block (the smallest
-document's; the others are candidates with it at once), so copies do not gather.
+Equal passages under one key are one entry of their block (the smallest document's;
+the others are linked to it at once), so copies do not gather.
 """
 
 from __future__ import annotations
@@ -46,14 +46,16 @@ PASSAGE, SHINGLE, HASHES, AGREE = 50, 5, 8, 4
 SPAN = PASSAGE - SHINGLE + 1  # shingles in a passage
 PAIRS = tuple((i, i + 1) for i in range(0, HASHES, 2))
 WORDS_KEPT = 300_000
-SMALL, CELLS = 64, 1 << 20
+FEW, CELLS = 16, 1 << 20
+EQUAL = HASHES + 1  # agreement of passages with the same shingles
 
 U64 = np.uint64
 _MULTIPLIERS = np.random.default_rng(50).integers(1, 1 << 63, 64, dtype=U64) | U64(1)
 
-ENTRY_DDL = "range int, uid long, keys binary, signatures binary, doc binary, place binary, around binary, edges binary"
+ENTRY_DDL = "range int, uid long, keys binary, signatures binary, doc binary, place binary, around binary, content binary, edges binary"
 ENTRIES = pa.schema([("range", pa.int32()), ("uid", pa.int64()), ("keys", pa.binary()), ("signatures", pa.binary()),
-                     ("doc", pa.binary()), ("place", pa.binary()), ("around", pa.binary()), ("edges", pa.binary())])
+                     ("doc", pa.binary()), ("place", pa.binary()), ("around", pa.binary()), ("content", pa.binary()),
+                     ("edges", pa.binary())])
 EDGE_DDL = ("a_doc long, a_uid long, a_row int, a_start int, b_doc long, b_uid long, b_row int, b_start int, agree int")
 EDGES = pa.schema([(n, pa.int64() if n[2:] in ("doc", "uid") else pa.int32()) for n in
                    ("a_doc", "a_uid", "a_row", "a_start", "b_doc", "b_uid", "b_row", "b_start", "agree")])
@@ -165,17 +167,20 @@ class Passages:
         self.doc = np.searchsorted(self.first_word, self.first, side="right") - 1
         self.last = np.minimum(self.last, self.first_word[self.doc + 1] - PASSAGE)
 
-    def signatures(self, rows: np.ndarray) -> np.ndarray:
-        """(rows, HASHES) of 16 bits each, of the passage that begins as near
-        as can be to half its length before the stretch's first minimum."""
-        at = np.clip(self.c[rows] - SPAN // 2, self.first[rows], self.last[rows])
-        return np.stack([(mix(self.shingles[low[at]], k) >> U64(40)).astype(np.uint16) for k, low in enumerate(self.low)],
-                        axis=1) if len(rows) else np.zeros((0, HASHES), np.uint16)
+    def signed_at(self, rows: np.ndarray) -> np.ndarray:
+        """Where the passage begins that stands for a stretch: as near as can be
+        to half its length before the stretch's first minimum."""
+        return np.clip(self.c[rows] - SPAN // 2, self.first[rows], self.last[rows])
 
+    def signatures(self, at: np.ndarray) -> np.ndarray:
+        """(rows, HASHES) of 16 bits each, of the passages that begin at ``at``."""
+        return np.stack([(mix(self.shingles[low[at]], k) >> U64(40)).astype(np.uint16) for k, low in enumerate(self.low)],
+                        axis=1) if len(at) else np.zeros((0, HASHES), np.uint16)
 
-def signature_code(signatures: np.ndarray) -> np.ndarray:
-    words = np.ascontiguousarray(signatures).view(U64)
-    return mix(words[:, 0] ^ mix(words[:, 1], 27), 26)
+    def contents(self, at: np.ndarray) -> np.ndarray:
+        """A hash of the passage's shingles, repeats included, in any order."""
+        sums = np.concatenate((np.zeros(1, U64), np.cumsum(mix(self.shingles, 25), dtype=U64)))
+        return sums[at + SPAN] - sums[at]
 
 
 def spanning(label: np.ndarray, a: np.ndarray, b: np.ndarray, agree: np.ndarray):
@@ -194,23 +199,22 @@ def spanning(label: np.ndarray, a: np.ndarray, b: np.ndarray, agree: np.ndarray)
     return kept
 
 
-def candidate_forest(signatures: np.ndarray, groups: np.ndarray):
+def candidates(signatures: np.ndarray, groups: np.ndarray):
     """Edges (a, b, agreement) between rows of one group (``groups`` is sorted)
-    that agree in AGREE numbers or more; a forest."""
-    label, kept = np.arange(len(groups)), []
+    that agree in AGREE numbers or more: all of them in groups of up to FEW rows,
+    in larger ones a spanning forest."""
+    kept = []
     begin = np.flatnonzero(firsts(groups))
     size = np.diff(np.append(begin, len(groups)))
     row = np.arange(len(groups)) - np.repeat(begin, size)
     size_of = np.repeat(size, size)
-    pairs = []
-    for step in range(1, min(SMALL, int(size.max(initial=1)))):  # row i with row i + step
-        i = np.flatnonzero((size_of <= SMALL) & (row + step < size_of))
+    for step in range(1, min(FEW, int(size.max(initial=1)))):  # row i with row i + step
+        i = np.flatnonzero((size_of <= FEW) & (row + step < size_of))
         same = (signatures[i] == signatures[i + step]).sum(axis=1)
         near = same >= AGREE
-        pairs.append((i[near], i[near] + step, same[near]))
-    if pairs:
-        kept += spanning(label, *map(np.concatenate, zip(*pairs)))
-    for g, n in zip(begin[size > SMALL], size[size > SMALL]):
+        kept.append((i[near], i[near] + step, same[near]))
+    label = np.arange(len(groups))
+    for g, n in zip(begin[size > FEW], size[size > FEW]):
         own = signatures[g: g + n]
         rows = max(1, CELLS // n)
         for level in range(HASHES, AGREE - 1, -1):
@@ -224,43 +228,49 @@ def candidate_forest(signatures: np.ndarray, groups: np.ndarray):
 
 
 def edge_table(a, b, agree, doc, uid, place, around) -> pa.Table:
-    """Edges between entries, aligned at their minima: both passages begin at the same
-    distance from them, if the two stretches have one in common."""
+    """Edges between entries.  Equal passages begin where they are signed; others
+    are aligned at their minima, both beginning at the same distance from
+    them if the two stretches have one in common.  Of a pair of documents with equal
+    passages one edge is enough."""
     keep = doc[a] != doc[b]
     a, b, agree = a[keep], b[keep], agree[keep]
     low, high = np.maximum(around[a, 0], around[b, 0]), np.minimum(around[a, 1], around[b, 1])
     shift = np.clip(-(SPAN // 2), np.minimum(low, high), np.maximum(low, high))
-    side = lambda x: np.clip(shift, around[x, 0], around[x, 1])
-    # one edge a pair of documents, the most alike
-    best = np.lexsort((-agree, doc[b], doc[a]))
-    best = best[firsts(doc[a][best]) | firsts(doc[b][best])]
-    a_shift, b_shift = side(a)[best], side(b)[best]
-    a, b, agree = a[best], b[best], agree[best]
-    cols = (doc[a], uid[a], place[a, 0], place[a, 1] + a_shift, doc[b], uid[b], place[b, 0], place[b, 1] + b_shift, agree)
+    own = lambda x: np.clip(-(SPAN // 2), around[x, 0], around[x, 1])
+    side = lambda x: np.where(agree == EQUAL, own(x), np.clip(shift, around[x, 0], around[x, 1]))
+    a_start, b_start = place[a, 1] + side(a), place[b, 1] + side(b)
+    order = np.lexsort((b_start, a_start, -agree, doc[b], doc[a]))
+    a, b, agree, a_start, b_start = (x[order] for x in (a, b, agree, a_start, b_start))
+    pair = firsts(doc[a]) | firsts(doc[b])
+    lead = agree[pair][np.cumsum(pair) - 1]
+    one = pair | (lead < EQUAL) & (firsts(a_start) | firsts(b_start))
+    a, b = a[one], b[one]
+    cols = (doc[a], uid[a], place[a, 0], a_start[one], doc[b], uid[b], place[b, 0], b_start[one], agree[one])
     return pa.Table.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, EDGES)], schema=EDGES)
 
 
 def packed_entries(uid: int, p: Passages, rows: np.ndarray, ranges: int) -> Iterator[tuple]:
     """ENTRIES rows of a block."""
-    sign, key, doc, c = p.signatures(rows), p.key[rows], p.doc[rows], p.c[rows]
+    at = p.signed_at(rows)
+    sign, content, key, doc, c = p.signatures(at), p.contents(at), p.key[rows], p.doc[rows], p.c[rows]
     around = np.stack([p.first[rows] - c, p.last[rows] - c], 1).astype(np.int8)
     place = np.stack([doc, c - p.first_word[doc]], 1).astype(np.int32)
-    ids, code = p.ids[doc], signature_code(sign)
-    order = np.lexsort((ids, code, key))
-    new = firsts(key[order]) | firsts(code[order])
+    ids = p.ids[doc]
+    order = np.lexsort((ids, content, key))
+    new = firsts(key[order]) | firsts(content[order])
     head = order[new][np.cumsum(new) - 1]
     rest = ~new & (ids[order] != ids[head])
     if rest.any():
-        edges = edge_table(head[rest], order[rest], np.full(rest.sum(), HASHES), ids, np.full(len(ids), uid), place, around)
+        edges = edge_table(head[rest], order[rest], np.full(rest.sum(), EQUAL), ids, np.full(len(ids), uid), place, around.astype(np.int64))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, EDGES) as w:
             w.write_table(edges)
-        yield (-1 - int(uid % ranges), uid, *[None] * 5, sink.getvalue().to_pybytes())
+        yield (-1 - int(uid % ranges), uid, *[None] * 6, sink.getvalue().to_pybytes())
     order = order[new]
     for r, s in by_range(key[order], ranges):
         k = order[s]
         yield (r, uid, key[k].astype(np.uint32).tobytes(), sign[k].tobytes(), ids[k].tobytes(), place[k].tobytes(),
-               around[k].tobytes(), None)
+               around[k].tobytes(), content[k].tobytes(), None)
 
 
 def group_edges(group: pa.Table) -> pa.Table:
@@ -274,22 +284,21 @@ def group_edges(group: pa.Table) -> pa.Table:
         sign = cat("signatures", np.uint16).reshape(-1, HASHES)
         place, around = cat("place", np.int32).reshape(-1, 2), cat("around", np.int8).reshape(-1, 2).astype(np.int64)
         uid = np.repeat(np.array([r["uid"] for r in rows], np.int64), [len(r["keys"]) // 4 for r in rows])
-        code = signature_code(sign)
-        order = np.lexsort((doc, code, key))
-        new = firsts(key[order]) | firsts(code[order])
+        content = cat("content", U64)
+        order = np.lexsort((doc, content, key))
+        new = firsts(key[order]) | firsts(content[order])
         head = order[new][np.cumsum(new) - 1]
-        a, b, n = [head[~new]], [order[~new]], [np.full((~new).sum(), HASHES)]
         heads = order[new]
-        x, y, same = candidate_forest(sign[heads], key[heads])
-        done.append(edge_table(np.concatenate([*a, heads[x]]), np.concatenate([*b, heads[y]]), np.concatenate([*n, same]),
-                               doc, uid, place, around))
+        x, y, same = candidates(sign[heads], key[heads])
+        done.append(edge_table(np.concatenate([head[~new], heads[x]]), np.concatenate([order[~new], heads[y]]),
+                               np.concatenate([np.full((~new).sum(), EQUAL), same]), doc, uid, place, around))
     return pa.concat_tables(done)
 
 
 def near_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """Verified pairs (a_doc, a_start, b_doc, b_start, agree, similarity): word
-    positions of near-duplicate passages, at least one for each
-    linked pair of documents of a spanning forest."""
+    """Verified pairs (a_doc, a_start, b_doc, b_start, agree, similarity) with
+    word positions of near-duplicate passages; enough of them to connect
+    what is linked, not all pairs of a group."""
     blocks = to_blocks(docs, [])
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(1, -(-total // RANGE_BYTES))
@@ -317,10 +326,12 @@ def near_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     flip = F.col("a_doc") > F.col("b_doc")
     side = lambda s, n: F.when(flip, F.col(f"{'b' if s == 'a' else 'a'}_{n}")).otherwise(F.col(f"{s}_{n}"))
     edges = edges.select(*[side(s, n).alias(f"{s}_{n}") for s in "ab" for n in ("doc", "uid", "row", "start")], "agree")
-    pick = F.struct("agree", (-F.col("a_start")).alias("x"), (-F.col("b_start")).alias("y"),
-                    *[f"{s}_{n}" for s in "ab" for n in ("uid", "row", "start")])
-    best = edges.groupBy("a_doc", "b_doc").agg(F.max(pick).alias("e")).select("a_doc", "b_doc", "e.*").drop("x", "y")
-    best = stored(best.withColumn("pair", F.monotonically_increasing_id()), "passage_pairs")
+    pick = F.struct(*[f"{s}_{n}" for s in "ab" for n in ("uid", "row", "start")], "agree")
+    edges = stored(edges, "passage_edges")
+    equal = (edges.filter(F.col("agree") == EQUAL).groupBy("a_doc", "b_doc").agg(F.min(pick).alias("e"))
+             .select("a_doc", "b_doc", "e.*"))
+    alike = edges.join(equal, ["a_doc", "b_doc"], "left_anti").distinct()
+    best = stored(equal.unionByName(alike).withColumn("pair", F.monotonically_increasing_id()), "passage_pairs")
     asked = best.select("pair", F.col("a_uid").alias("uid"), F.col("a_row").alias("row"), F.col("a_start").alias("start"),
                         F.lit(0).alias("side")).unionByName(
         best.select("pair", F.col("b_uid").alias("uid"), F.col("b_row").alias("row"), F.col("b_start").alias("start"),

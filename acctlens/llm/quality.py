@@ -183,16 +183,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, reject_below: float = 0.5, **o
     """``docs`` less the rows scored under ``reject_below``; all columns stay."""
     model = fit_quality(docs, labels, **options)
     names = docs.columns
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
-                       *[x.alias(f"_{n}") for n, x in (
-                           (n, (F.col(n) if n in names else F.lit(None)).cast(t)) for n, t in
-                           (("text", "string"), ("source", "string"), ("lang", "string"), ("n_chars", "long")))])
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    kinds = {"text": pa.string(), "source": pa.string(), "lang": pa.string(), "n_chars": pa.int64()}
 
     def run(batches):
         for rb in batches:
-            seen = pa.RecordBatch.from_arrays(rb.columns[-4:], names=["text", "source", "lang", "n_chars"])
-            good = model.predict(*views(seen)) >= reject_below
-            yield rb.select(range(len(names))).filter(pa.array(good))
+            read = {n: rb.column(names.index(n)).cast(t) if n in names else pa.nulls(rb.num_rows, t) for n, t in kinds.items()}
+            good = model.predict(*views(pa.RecordBatch.from_pydict(read))) >= reject_below
+            yield rb.filter(pa.array(good))
 
-    kept = rows.mapInArrow(run, rows.drop("_text", "_source", "_lang", "_n_chars").schema)
-    return kept.toDF(*names)
+    return rows.mapInArrow(run, rows.schema).toDF(*names)

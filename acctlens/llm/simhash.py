@@ -212,8 +212,11 @@ def simhash_groups(docs: DataFrame, words_in_shingle: int = 3, bits: int = 3) ->
 
 def drop_near_copies(docs: DataFrame, words_in_shingle: int = 3, bits: int = 3) -> DataFrame:
     """``docs`` less all but one document of each group: the one with the
-    smallest doc_id stays; of repeated rows of it, one."""
+    smallest doc_id stays, and of repeated rows of it one.  Rows with a null
+    doc_id stay."""
     groups = simhash_groups(docs, words_in_shingle, bits)
-    keep = groups.filter("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null").limit(0))
+    keep = stored(groups.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n")).filter("c = doc_id").select("doc_id", "n"), "simhash_keep")
+    once = docs.join(keep.filter("n = 1").hint("shuffle_hash"), "doc_id", "left_semi")
+    repeated = docs.join(keep.filter("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(repeated).unionByName(docs.filter("doc_id is null")).select(*docs.columns)
