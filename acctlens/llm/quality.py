@@ -29,6 +29,7 @@ from acctlens.llm.linear import Logistic
 
 LABELLED, POOL = 8192, 8192
 SOURCE_BUCKETS, LANG_BUCKETS = 32, 8
+CONTENT, META = 15, 3 + SOURCE_BUCKETS + LANG_BUCKETS  # features of the views
 
 
 def content_features(text: str) -> list[float]:
@@ -36,7 +37,7 @@ def content_features(text: str) -> list[float]:
     words = text.split()
     n, chars = len(words), max(1, len(text))
     if not n:
-        return [0.0] * 15
+        return [0.0] * CONTENT
     tails = [w[-1:] for w in words]
     letters = sum(map(str.isalpha, words))
     lines = text.split("\n")
@@ -66,7 +67,7 @@ def views(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     col = {n: rb.column(rb.schema.get_field_index(n)).to_pylist() for n in ("text", "source", "lang", "n_chars")}
     content = np.array([content_features(t or "") for t in col["text"]])
     meta = np.array([metadata_features(*x) for x in zip(col["source"], col["lang"], col["n_chars"])])
-    return content.reshape(rb.num_rows, -1), meta.reshape(rb.num_rows, -1)
+    return content.reshape(rb.num_rows, CONTENT), meta.reshape(rb.num_rows, META)
 
 
 class CoTrained:
@@ -145,10 +146,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, po
                                               pa.array(a.tolist(), schema[2].type), pa.array(b.tolist(), schema[3].type)], schema=schema)
 
     got = with_y.unionByName(others).mapInArrow(features, "doc_id long, y int, a array<double>, b array<double>").toArrow()
-    a = np.array(got.column("a").to_pylist(), float).reshape(got.num_rows, -1)
-    b = np.array(got.column("b").to_pylist(), float).reshape(got.num_rows, -1)
-    if not got.num_rows:
-        a, b = np.zeros((0, 15)), np.zeros((0, 3 + SOURCE_BUCKETS + LANG_BUCKETS))
+    a = np.array(got.column("a").to_pylist(), float).reshape(got.num_rows, CONTENT)
+    b = np.array(got.column("b").to_pylist(), float).reshape(got.num_rows, META)
     y = np.array([math.nan if v is None else float(v) for v in got.column("y").to_pylist()])
     ids = got.column("doc_id").to_pylist()
     order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, tuple(a[i]))), int)

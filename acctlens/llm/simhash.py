@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, words_in_shingle: int = 3) -> DataFrame:
 
 
 def distance(a: np.ndarray, b) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
+    return np.bitwise_count((a ^ b).view(np.uint64))  # of a negative number it would count the absolute value's bits
 
 
 def vantage_tree(sample: np.ndarray, depth: int, seed: int = 3) -> list[tuple[int, int] | None]:
@@ -76,7 +76,7 @@ def vantage_tree(sample: np.ndarray, depth: int, seed: int = 3) -> list[tuple[in
         if level == depth or len(own) < 2:
             return
         tried = rng.choice(own, min(8, len(own)), replace=False)
-        spread = [distance(own, p) for p in tried]
+        spread = [distance(own, tried[i: i + 1]) for i in range(len(tried))]
         best = int(np.argmax([d.std() for d in spread]))
         d = spread[best]
         radius = int(np.median(d))
@@ -103,7 +103,7 @@ def route(fps: np.ndarray, heap: list, bits: int):
                     yield at, entries, home
             continue
         point, radius = heap[at]
-        d, g = distance(own, np.int64(point)).astype(int), distance(guests, np.int64(point)).astype(int)
+        d, g = distance(own, np.array([point])).astype(int), distance(guests, np.array([point])).astype(int)
         todo.append((2 * at, own[d <= radius], np.concatenate([own[(d > radius) & (d <= radius + bits)],
                                                                guests[g <= radius + bits]])))
         todo.append((2 * at + 1, own[d > radius], guests[g > radius - bits]))
@@ -117,7 +117,7 @@ def forest(residents: np.ndarray, queries: np.ndarray, bits: int) -> tuple[np.nd
     label = np.arange(len(nodes))
     if not len(residents) or not len(queries):
         return nodes[:0], nodes[:0]
-    point = residents[0]
+    point = residents[:1]
     residents = residents[np.argsort(distance(residents, point), kind="stable")]
     queries = queries[np.argsort(distance(queries, point), kind="stable")]
     steps = np.arange(66)

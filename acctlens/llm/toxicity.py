@@ -255,7 +255,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), rb.column(1).cast(pa.int32())], names=["x", "y"])
 
     got = texts.select("text", "y").mapInArrow(inputs, "x array<double>, y int").toArrow()
-    x = np.array(got.column(0).to_pylist(), float).reshape(got.num_rows, -1)
+    x = np.array(got.column(0).to_pylist(), float).reshape(got.num_rows, 4)
     y = np.array(got.column(1).to_pylist(), float)
     order = np.lexsort((y, *x.T)) if len(x) else np.zeros(0, int)
     if len(y) and y.min() < y.max():
