@@ -39,7 +39,7 @@ def valid_event_time(c) -> Column:
     """True when the text is a full date and time (``/`` or ``-`` separated)
     that converts to a timestamp."""
     c = _col(c)
-    return F.coalesce(c.rlike(EVENT_TIME_PATTERN) & parse_event_time(c).isNotNull(), F.lit(False))
+    return parse_event_time(c).isNotNull()
 
 
 def parse_event_time(c) -> Column:

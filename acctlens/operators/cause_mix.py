@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from acctlens.functions.vectors import vector_to_array
 
 
+UNKNOWN_CAUSE = "<unknown>"
+
+
 def scope_keys(scope: str) -> list[str]:
     if scope == "window":
         return ["aggField1", "timestamp"]
@@ -48,14 +51,15 @@ def cause_ratio(stop_counts: DataFrame, scope: str = "window") -> DataFrame:
 
 def feature_stages(labels: list[str] | None = None) -> list:
     """Indexer (fitted per input, or fixed ``labels`` so vectors are
-    comparable across batches), one-hot without dropping the last
-    category, and the ratio interaction."""
+    comparable across batches; causes outside of them share one further
+    bucket, ``UNKNOWN_CAUSE``), one-hot without dropping the last category,
+    and the ratio interaction."""
     if labels is None:
         indexer = StringIndexer(inputCol="aggField2", outputCol="terminateCauseIndex",
                                 stringOrderType="frequencyDesc")
     else:
         indexer = StringIndexerModel.from_labels(labels, inputCol="aggField2", outputCol="terminateCauseIndex",
-                                                 handleInvalid="error")
+                                                 handleInvalid="keep")
     encoder = OneHotEncoder(inputCols=["terminateCauseIndex"], outputCols=["featuresNotScaled"], dropLast=False)
     scale = Interaction(inputCols=["featuresNotScaled", "ratioInBras"], outputCol="featuresScaled")
     return [indexer, encoder, scale]
@@ -66,7 +70,8 @@ def fit_features(ratios: DataFrame, labels: list[str] | None = None) -> Pipeline
 
 
 def model_labels(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].labels)
+    indexer = model.stages[0]
+    return list(indexer.labels) + ([UNKNOWN_CAUSE] if indexer.getHandleInvalid() == "keep" else [])
 
 
 def cause_features(ratios: DataFrame, model: PipelineModel, scope: str = "window") -> DataFrame:

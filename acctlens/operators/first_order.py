@@ -75,15 +75,28 @@ def agg_lines(first: DataFrame) -> DataFrame:
 
 
 def fill_silent_windows(first: DataFrame, slide_seconds: int) -> DataFrame:
-    """Zero rows for windows without records, between each key's first and
-    last counted window (the reference only ever sees dips, never silence).
-
-    Per key the window ends come from ``sequence(first, last, slide)`` - one
-    generated row per window the key spans, no cross product of keys and
-    windows - then an equi-join on (key, timestamp) puts the counts back."""
+    """Zero rows for windows without records, for every key over the whole
+    range of windows in the input - before a key's first and after its last
+    record as well, so a server that falls silent shows (the reference only
+    ever sees dips).
+
+    The range is one scalar; windows come from two sequences, days and then the
+    windows of a day, so no row holds a key's whole history; an equi-join on
+    (key, timestamp) puts the counts back."""
     keys = sorted(c for c in first.columns if c.startswith("aggField"))
-    span = first.groupBy("aggName", *keys).agg(F.min("timestamp").alias("_lo"), F.max("timestamp").alias("_hi"))
-    step = F.expr(f"INTERVAL {int(slide_seconds)} SECONDS")
-    grid = span.select("aggName", *keys, F.explode(F.sequence("_lo", "_hi", step)).alias("timestamp"))
-    filled = grid.join(first.select("aggName", "timestamp", *keys, "value"), ["aggName", "timestamp", *keys], "left")
-    return filled.select("aggName", "timestamp", F.coalesce("value", F.lit(0).cast("bigint")).alias("value"), *keys)
+    span = first.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+    slide, day = int(slide_seconds), 86_400
+    per_day = max(1, day // slide)
+    lo, hi = F.unix_seconds(span.select("lo").scalar()), F.unix_seconds(span.select("hi").scalar())
+    last = F.floor((F.col("_hi") - F.col("_lo")) / slide)
+    days = (first.select("aggName", *keys).distinct().withColumn("_lo", lo).withColumn("_hi", hi)
+            .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / per_day)))))
+    grid = days.select("aggName", *keys, F.explode(F.transform(
+        F.sequence(F.col("_block") * per_day, F.least(last, (F.col("_block") + 1) * per_day - 1)),
+        lambda i: F.timestamp_seconds(F.col("_lo") + i * slide))).alias("timestamp"))
+    on = (F.col("g.timestamp") == F.col("c.timestamp")) & (F.col("g.aggName") == F.col("c.aggName"))
+    for k in keys:
+        on = on & F.col(f"g.{k}").eqNullSafe(F.col(f"c.{k}"))
+    counted = first.select("aggName", "timestamp", *keys, "value")
+    return grid.alias("g").join(counted.alias("c"), on, "left").select(
+        "g.aggName", "g.timestamp", F.coalesce("c.value", F.lit(0).cast("bigint")).alias("value"), *[f"g.{k}" for k in keys])

@@ -96,12 +96,6 @@ def cdr_tuple22(lines: DataFrame, strict: bool = False, **kw) -> DataFrame:
     return parse_cdr(lines, "cdr22", strict, **kw)
 
 
-def cdr_struct22(records: DataFrame) -> DataFrame:
-    """The 22 tuple columns packed in one struct column ``cdr``."""
-    names = [FIELD_NAMES_28[i] for i in CDR22_POSITIONS]
-    return records.select(F.struct(*names).alias("cdr"))
-
-
 def quarantine(lines: DataFrame, strict: bool = False, value: str = "value",
                keep: list[str] | None = None) -> DataFrame:
     """Rejected lines with the reason: ``too_few_fields`` or ``bad_date``."""

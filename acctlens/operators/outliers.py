@@ -17,7 +17,9 @@ def has_at_least(df: DataFrame, n: int) -> bool:
 
 
 def fit_kmeans(features: DataFrame, k: int = 2, seed: int = 1) -> KMeansModel:
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction").fit(features)
+    """Fitted until no centre moves (or 100 rounds), so a centre is the mean
+    of its members."""
+    return KMeans(k=k, seed=seed, tol=0.0, maxIter=100, featuresCol="features", predictionCol="prediction").fit(features)
 
 
 def centres_column(model: KMeansModel) -> Column:

@@ -9,8 +9,9 @@ truncating long arithmetic:
 
 The list is not needed: with n = count, s = sum, q = sum(v*v),
 ``sum((v-m)^2) = q - 2*m*s + m*m*max(n, N)`` exactly (an oversized list is
-not padded, hence ``max``).  Three long sums combine map-side, so the
-shuffle carries one partial row per task and key instead of every value.
+not padded, hence ``max``).  Three sums combine map-side, so the
+shuffle carries one partial row per task and key instead of every value.  Squares
+are summed as decimals: they neither overflow nor lose digits.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from acctlens.config import AnalyzerConfig
 from acctlens.operators.first_order import STATS_AGG_NAME, sliding_window
 
 
+_WIDE = "decimal(38,0)"
+
+
 def chained_window(cfg: AnalyzerConfig):
     """Stage-2 window over a *streaming* stage-1 result that still carries
     its ``window`` struct.  A plain copy of ``window.end`` has no event-time
@@ -57,15 +61,18 @@ def second_order_stats(first: DataFrame, cfg: AnalyzerConfig, exact: bool = Fals
     n_s = cfg.sample_size
     g = _windowed(first, cfg, key, watermark_seconds, chained).agg(
         F.count("value").alias("_n"), F.sum("value").alias("_s"),
-        F.sum(F.col("value") * F.col("value")).alias("_q"))
-    width = F.greatest(F.col("_n"), F.lit(n_s))
+        F.sum((F.col("value").cast("decimal(19,0)") * F.col("value").cast("decimal(19,0)")).cast(_WIDE)).alias("_q"))
     if exact:
+        # N^3 var = N^2 q - 2 N s^2 + max(n, N) s^2, in whole numbers
         mean = F.col("_s") / F.lit(float(n_s))
-        var = (F.col("_q") - 2 * mean * F.col("_s") + mean * mean * width) / F.lit(float(n_s))
-        std = F.sqrt(F.greatest(var, F.lit(0.0)))
+        s2 = f"CAST(CAST(_s AS DECIMAL(19,0)) * CAST(_s AS DECIMAL(19,0)) AS {_WIDE})"
+        scaled = F.expr(f"CAST({n_s * n_s} * _q AS {_WIDE}) + CAST((greatest(_n, {n_s}) - {2 * n_s}) * {s2} AS {_WIDE})")
+        std = F.sqrt(scaled.cast("double") / F.lit(float(n_s) ** 3))
     else:
         mean = F.expr(f"_s div {n_s}")
-        var = F.expr(f"(_q - 2 * (_s div {n_s}) * _s + (_s div {n_s}) * (_s div {n_s}) * greatest(_n, {n_s})) div {n_s}")
+        m = f"CAST(_s div {n_s} AS DECIMAL(19,0))"
+        var = F.expr(f"(_q - CAST(2 * {m} * CAST(_s AS DECIMAL(19,0)) AS {_WIDE}) "
+                     f"+ CAST(CAST({m} * {m} AS {_WIDE}) * greatest(_n, {n_s}) AS {_WIDE})) div {n_s}")
         std = F.sqrt(var.cast("double"))
     return g.select(F.lit(agg_name).alias("aggName"), _window_end(chained).alias("timestamp"),
                     F.col(key).alias("aggField1"), mean.cast("double").alias("mean"),

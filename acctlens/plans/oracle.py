@@ -9,18 +9,23 @@ arithmetic, the as-of lookup by ``ASOF JOIN``, label ranking by
 
 from __future__ import annotations
 
-from acctlens.config import SCALED_CONFIG as CFG
-from acctlens.functions.scalars import EVENT_TIME_PATTERN
-from acctlens.sources import events as ev
+from types import SimpleNamespace
 
 US = 1_000_000
-S1 = CFG.bras_agg1_seconds * US
-S2 = CFG.bras_agg2_seconds * US
-SC = CFG.term_cause_agg1_seconds * US
-N = CFG.sample_size
-LOOKBACK_US = CFG.lookback_seconds * US
+HOUR = 3600
 
-_TIME_RE = EVENT_TIME_PATTERN.lstrip("^").rstrip("$")
+# Written down here on purpose, not taken from the engine: cadences of the
+# test tables, the accepted date form and the rules of the line adapter.
+CFG = SimpleNamespace(bras_agg1_seconds=6 * HOUR, bras_std_dev_anomaly=2, outlier_sigmas=2, alive_watermark_seconds=12960,
+                      agg_watermark_seconds=21600, stop_watermark_seconds=14400)
+ev = SimpleNamespace(N_SERVERS=10, N_CAUSES=5, BAD_SESSION_TIME_EVERY=97, DECIMAL_OCTETS_EVERY=53, TRUNCATED_LINE_EVERY=211,
+                     DATE_ONLY_EVERY=223, STATUS_BY_EVENT={"view": "Alive", "click": "Alive", "error": "Stop",
+                                                           "purchase": "Stop", "signup": "Start"})
+S1, S2, SC = 6 * HOUR * US, 36 * HOUR * US, 24 * HOUR * US
+N = 12
+LOOKBACK_US = 180 * HOUR * US
+
+_TIME_RE = r"\d{4}[-/]\d{1,2}[-/]\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?"
 
 
 def safe_long(x: str, t: str = "BIGINT") -> str:
@@ -205,11 +210,15 @@ SELECT timestamp, aggField1, array_to_string(vals, ',') AS values,
 FROM v"""
 SQL["second_order_stats"] = with_ctes(ALIVE, STATS_RAW, STATS) + "\nSELECT * FROM stats"
 SQL["second_order_list_stats"] = SQL["second_order_stats"]
-SQL["second_order_exact"] = with_ctes(ALIVE, STATS_RAW) + f"""
-SELECT 'agg2_cdr_alive_bras' AS aggName, timestamp, aggField1, round(s / {float(N)}, 9) AS mean,
-       round(sqrt(greatest((q - 2 * (s / {float(N)}) * s + (s / {float(N)}) * (s / {float(N)}) * greatest(n, {N})) / {float(N)}, 0.0)), 9) AS stdDev,
+SQL["second_order_exact"] = with_ctes(ALIVE) + f""",
+v AS (SELECT {win_end('timestamp', S2)} AS timestamp, aggField1, list(value) AS vals
+      FROM alive, (VALUES (1), (2)) w(j) GROUP BY 1, 2),
+p AS (SELECT timestamp, aggField1, len(vals) AS n, list_sum(vals) / {N}.0 AS mean,
+             list_concat(vals, [0 FOR x IN range(greatest({N} - len(vals), 0))]) AS padded FROM v)
+SELECT 'agg2_cdr_alive_bras' AS aggName, timestamp, aggField1, round(mean::double, 9) AS mean,
+       round(sqrt(list_sum([(x - mean::double) * (x - mean::double) FOR x IN padded]) / {N}.0), 9) AS stdDev,
        CAST(n AS INTEGER) AS samples
-FROM s2"""
+FROM p"""
 SQL["latest_stats"] = with_ctes(ALIVE, STATS_RAW, STATS, LATEST) + "\nSELECT * FROM latest"
 SQL["alive_anomalies"] = with_ctes(ALIVE, STATS_RAW, STATS, LATEST) + f"""
 SELECT * FROM latest WHERE statsTimestamp IS NOT NULL AND (mean - value) > {float(CFG.bras_std_dev_anomaly)} * stdDev"""
@@ -277,40 +286,48 @@ SQL["sigma_outliers"] = with_ctes(STOPS, RATIO_W, LABELS, RAWMIX, DIST) + f"""
 SELECT aggField1, timestamp, round(distanceFromCenter, 9) AS distanceFromCenter FROM dist
 WHERE distanceFromCenter > (SELECT avg(distanceFromCenter) + {float(CFG.outlier_sigmas)} * stddev_samp(distanceFromCenter) FROM dist)"""
 
-REPLAY_START_US = 1704067200 * US          # 2024-01-01 00:00:00
+REPLAY_START_US = 1704240000 * US          # 2024-01-03 00:00:00
+MINUTES_FROM_US = 1704067200 * US          # 2024-01-01 00:00:00
 REPLAY_REAL_US = 1767225600 * US           # 2026-01-01 00:00:00
 REPLAY_FACTOR = 10
 
 REBASED = f"""
-rb AS (
-  SELECT f, make_timestamp({REPLAY_REAL_US} + (epoch_us(CAST(replace(f[1], '/', '-') AS TIMESTAMP)) - {REPLAY_START_US}) // {REPLAY_FACTOR}) AS releaseTime
-  FROM acc
-  WHERE regexp_full_match(f[1], '{_TIME_RE}') AND TRY_CAST(replace(f[1], '/', '-') AS TIMESTAMP) IS NOT NULL
-    AND len(f) >= 13 AND epoch_us(CAST(replace(f[1], '/', '-') AS TIMESTAMP)) >= {REPLAY_START_US}),
+due AS (
+  SELECT f, CASE WHEN t < {REPLAY_START_US} THEN {REPLAY_REAL_US}
+                 ELSE {REPLAY_REAL_US} + (t - {REPLAY_START_US}) // {REPLAY_FACTOR} END AS us
+  FROM (SELECT f, epoch_us(TRY_CAST(replace(f[1], '/', '-') AS TIMESTAMP)) AS t
+        FROM acc WHERE regexp_full_match(f[1], '{_TIME_RE}') AND len(f) > 12)
+  WHERE t IS NOT NULL),
 rebased AS (
-  SELECT f, releaseTime, strftime(releaseTime, '%Y/%m/%d %H:%M:%S') || ',' || array_to_string(f[2:], ',') AS value
-  FROM rb)"""
+  SELECT f, make_timestamp(us) AS releaseTime,
+         strftime(make_timestamp(us), '%Y/%m/%d %H:%M:%S') || ',' || array_to_string(f[2:], ',') AS value
+  FROM due)"""
 
+SQL["replay_quarantine"] = BASE + f"""
+SELECT value, CAST(len(f) AS INTEGER) AS n_fields,
+       CASE WHEN len(f) <= 12 THEN 'too_few_fields' ELSE 'bad_date' END AS reason
+FROM acc WHERE len(f) <= 12 OR NOT regexp_full_match(f[1], '{_TIME_RE}')
+   OR TRY_CAST(replace(f[1], '/', '-') AS TIMESTAMP) IS NULL"""
 SQL["replay_rebase"] = with_ctes(REBASED) + "\nSELECT releaseTime, value FROM rebased"
 SQL["replay_publish"] = with_ctes(REBASED) + """
 SELECT f[13] || '-' || f[4] || '-' || f[5] AS key, value, releaseTime FROM rebased"""
 
+# a minute is read if none of the leaf's gaps before it, the one after the start included, is too long
 SQL["minute_files"] = with_ctes() + f""",
 mf AS (
   SELECT COALESCE(nullif(f[12], ''), 'unassigned') AS leaf,
          date_trunc('minute', CAST(replace(f[1], '/', '-') AS TIMESTAMP)) AS minute, value
   FROM acc
   WHERE regexp_full_match(f[1], '{_TIME_RE}') AND TRY_CAST(replace(f[1], '/', '-') AS TIMESTAMP) IS NOT NULL),
-live AS (SELECT * FROM mf WHERE epoch_us(minute) >= {REPLAY_START_US}),
-mins AS (SELECT DISTINCT leaf, minute FROM live),
+live AS (SELECT * FROM mf WHERE epoch_us(minute) >= {MINUTES_FROM_US}),
 gaps AS (
   SELECT leaf, minute,
          (epoch_us(minute) - COALESCE(lag(epoch_us(minute)) OVER (PARTITION BY leaf ORDER BY minute),
-                                      {REPLAY_START_US} - 60000000)) // 60000000 - 1 AS missing
-  FROM mins),
-stops AS (SELECT leaf, min(minute) AS stop_minute FROM gaps WHERE missing > 20 GROUP BY leaf)
-SELECT l.leaf, l.minute, l.value FROM live l LEFT JOIN stops s ON l.leaf = s.leaf
-WHERE s.stop_minute IS NULL OR l.minute < s.stop_minute"""
+                                      {MINUTES_FROM_US} - 60000000)) // 60000000 - 1 AS missing
+  FROM (SELECT DISTINCT leaf, minute FROM live)),
+ok AS (SELECT leaf, minute, max(missing) OVER (PARTITION BY leaf ORDER BY minute) AS longest FROM gaps)
+SELECT l.leaf, l.minute, l.value FROM live l JOIN ok ON l.leaf = ok.leaf AND l.minute = ok.minute
+WHERE ok.longest <= 240"""
 
 WM_ALIVE = f"(SELECT max(date) FROM cdr) - INTERVAL {CFG.alive_watermark_seconds} SECOND"
 WM_STOP = f"(SELECT max(date) FROM cdr) - INTERVAL {CFG.stop_watermark_seconds} SECOND"
@@ -326,13 +343,29 @@ SQL["stream_alive_anomalies"] = with_ctes(_CLOSED_ALIVE, STATS_RAW, STATS, LATES
 SELECT aggName, timestamp, aggField1, value, statsTimestamp, mean, stdDev FROM latest
 WHERE statsTimestamp IS NOT NULL AND (mean - value) > {float(CFG.bras_std_dev_anomaly)} * stdDev"""
 
-SQL["alive_count_filled"] = with_ctes(ALIVE) + f""",
-span AS (SELECT aggName, aggField1, min(timestamp) AS lo, max(timestamp) AS hi FROM alive GROUP BY 1, 2),
-grid AS (
-  SELECT aggName, aggField1, unnest(generate_series(lo, hi, INTERVAL {CFG.bras_agg1_seconds} SECOND)) AS timestamp
-  FROM span)
-SELECT g.aggName, g.timestamp, COALESCE(a.value, 0) AS value, g.aggField1
-FROM grid g LEFT JOIN alive a ON a.aggField1 = g.aggField1 AND a.timestamp = g.timestamp"""
+FILLED = f"""
+calendar AS (
+  SELECT unnest(generate_series((SELECT min(timestamp) FROM alive), (SELECT max(timestamp) FROM alive),
+                                INTERVAL {CFG.bras_agg1_seconds} SECOND)) AS timestamp),
+filled AS (
+  SELECT k.aggName, t.timestamp, k.aggField1,
+         COALESCE((SELECT a.value FROM alive a WHERE a.aggField1 = k.aggField1 AND a.timestamp = t.timestamp), 0) AS value
+  FROM calendar t, (SELECT DISTINCT aggName, aggField1 FROM alive) k)"""
+SQL["alive_count_filled"] = with_ctes(ALIVE, FILLED) + "\nSELECT aggName, timestamp, value, aggField1 FROM filled"
+SQL["alive_anomalies_filled"] = with_ctes(ALIVE, STATS_RAW, STATS, FILLED, LATEST.replace("FROM alive c", "FROM filled c")) + f"""
+SELECT * FROM latest WHERE statsTimestamp IS NOT NULL AND (mean - value) > {float(CFG.bras_std_dev_anomaly)} * stdDev"""
+SQL["stream_second_order_batches"] = SQL["stream_second_order"]
+# every statistic that the final watermark closes
+SQL["stream_stats_docs"] = with_ctes(ALIVE, STATS_RAW, STATS) + f"""
+SELECT mean, stdDev, epoch_us(timestamp) // 1000 AS timestamp, aggName, aggField1, aggField1 AS nasIpAddress FROM stats
+WHERE timestamp <= {WM_ALIVE}"""
+
+# what holds for any clustering of the rows
+SQL["kmeans_distance"] = with_ctes(STOPS, RATIO_W) + """
+SELECT DISTINCT aggField1, timestamp, CAST((SELECT count(DISTINCT aggField2) FROM stops) AS INTEGER) AS causes,
+       true AS centreIsMean FROM ratio"""
+SQL["kmeans_outliers"] = with_ctes(STOPS, RATIO_W) + "\nSELECT DISTINCT aggField1, timestamp, true AS flagIsTheRule FROM ratio"
+SQL["stream_kmeans_outliers"] = with_ctes(_CLOSED_STOPS) + "\nSELECT DISTINCT aggField1, true AS flagIsTheRule FROM stops"
 
 SQL["stream_hop_second_order"] = with_ctes(_CLOSED_ALIVE, STATS_RAW, STATS) + f"""
 SELECT * FROM stats

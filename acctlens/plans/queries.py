@@ -9,12 +9,12 @@ matching SQL.
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from acctlens.functions.vectors import vector_to_array
 from acctlens.functions.scalars import access_node_adsl, access_node_fiber, epoch_millis
 from acctlens.operators import anomaly, cause_mix as cm, first_order as fo, ingest, outliers as ol
 from acctlens.operators import second_order as so
@@ -23,12 +23,17 @@ from acctlens.session import materialize, scratch_path
 from acctlens.sources.minute_files import minute_file_lines, write_minute_files
 from acctlens.streaming import jobs
 from acctlens.plans.common import CFG, lines, records, to_output
+from acctlens.schema import INDEX_DOC_2_SCHEMA
 from acctlens.sinks.documents import index_documents_1, index_documents_2
+from acctlens.sinks.topics import read_batch_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# longest gap of a replayed leaf, stretched to the tables' rate of a line in some tens of minutes
+MINUTE_FILES_MAX_MISSING = 240
 # replay parameters for the test tables (events start 2024-01-01)
-REPLAY_START = dt.datetime(2024, 1, 1, 0, 0)
+# events begin two days earlier: those records are due at once
+REPLAY_START = dt.datetime(2024, 1, 3, 0, 0)
 REPLAY_START_TEXT = "2024-01-01T00-00"
 REPLAY_REAL_START = dt.datetime(2026, 1, 1, 0, 0)
 REPLAY_FACTOR = 10
@@ -217,22 +222,46 @@ def q_sigma_outliers(spark, sf_dir):
 
 def _kmeans(spark, sf_dir):
     _, _, feats = mix(spark, sf_dir)
+    feats = materialize(feats)  # read by the guard, the fit and the result
     return ol.kmeans_outliers(feats, CFG.kmeans_k, CFG.kmeans_seed, CFG.outlier_sigmas)
 
 
-def _kmeans_rows(df):
-    return to_output(df.select("aggField1", "timestamp", "prediction",
-                               F.round("distanceFromCenter", 9).alias("distanceFromCenter")))
+def _cluster_checks(decorated, keys):
+    """What must hold for any clustering: the sum over a cluster's members of
+    (value - centre) is 0 in each place, which the distances show: the members' mean
+    squared distance equals the mean square less the square of the mean."""
+    own = Window.partitionBy("prediction")
+    v = vector_to_array("features")
+    places = F.transform(F.sequence(F.lit(0), F.size(v) - 1), lambda i: i)
+    moments = (decorated.select("prediction", F.posexplode(v).alias("place", "x")).groupBy("prediction", "place")
+               .agg(F.var_pop("x").alias("spread")).groupBy("prediction").agg(F.sum("spread").alias("spread")))
+    return (decorated.withColumn("places", F.size(places)).join(moments, "prediction")
+            .select(*keys, F.col("places").alias("causes"),
+                    (F.abs(F.avg("distanceFromCenter").over(own) - F.col("spread")) < 1e-9).alias("centreIsMean")))
 
 
 def q_kmeans_distance(spark, sf_dir):
     decorated, _ = _kmeans(spark, sf_dir)
-    return _kmeans_rows(decorated)
+    return to_output(_cluster_checks(decorated, ["aggField1", "timestamp"]))
 
 
 def q_kmeans_outliers(spark, sf_dir):
-    _, out = _kmeans(spark, sf_dir)
-    return _kmeans_rows(out)
+    """Every row with whether its outlier flag is the rule's, worked out anew
+    from the sums of distances and of their squares."""
+    decorated, out = _kmeans(spark, sf_dir)
+    keys = ["aggField1", "timestamp"]
+    flagged = decorated.join(out.select(*keys, F.lit(True).alias("flag")), keys, "left").fillna(False, ["flag"])
+    return to_output(_rule_checks(flagged, keys, "flag"))
+
+
+def _rule_checks(flagged, keys, flag):
+    d = F.col("distanceFromCenter").cast("decimal(30,18)")
+    sums = flagged.agg(F.count(F.lit(1)).alias("n"), F.sum(d).cast("double").alias("s"), F.sum(F.col("distanceFromCenter") ** 2).alias("q"))
+    limit = sums.select(F.col("s") / F.col("n") + F.lit(CFG.outlier_sigmas) * F.sqrt(
+        (F.col("q") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1))).scalar()
+    near = F.abs(F.col("distanceFromCenter") - F.col("limit")) < 1e-9
+    return flagged.withColumn("limit", limit).select(
+        *keys, (near | (F.col(flag) == (F.col("distanceFromCenter") > F.col("limit")))).alias("flagIsTheRule"))
 
 
 def rebased(spark, sf_dir):
@@ -247,16 +276,20 @@ def q_replay_publish(spark, sf_dir):
     return to_output(rp.publish_records(rebased(spark, sf_dir)))
 
 
+def q_replay_quarantine(spark, sf_dir):
+    return rp.replay_quarantine(lines(spark, sf_dir))
+
+
 def q_minute_files(spark, sf_dir):
     """Lines written as leaf/day folders under the checkpoint root, then read
     back the way a replay from the first minute would read them."""
-    root = scratch_path(spark, f"minute_files/{os.path.basename(sf_dir.rstrip('/'))}")
+    root = scratch_path(spark, "minute_files", unique=True)
     write_minute_files(lines(spark, sf_dir), root)
-    return to_output(minute_file_lines(spark, root, REPLAY_START_TEXT, layout="partitioned"))
+    return to_output(minute_file_lines(spark, root, REPLAY_START_TEXT, "partitioned", MINUTE_FILES_MAX_MISSING))
 
 
-def _stream_records(spark, sf_dir):
-    return ingest.parse_cdr(jobs.event_line_stream(spark, sf_dir))
+def _stream_records(spark, sf_dir, files: int | None = None):
+    return ingest.parse_cdr(jobs.event_line_stream(spark, sf_dir, files))
 
 
 def _run_to_table(spark, df, tag):
@@ -267,13 +300,13 @@ def _run_to_table(spark, df, tag):
 
 def q_stream_alive_count(spark, sf_dir):
     """Streamed Alive counts: the windows closed by the final watermark."""
-    return to_output(_run_to_table(spark, fo.alive_counts(_stream_records(spark, sf_dir), CFG, streaming=True),
-                                   "alive_count"))
+    records = _stream_records(spark, sf_dir, files=1)
+    return to_output(_run_to_table(spark, fo.alive_counts(records, CFG, streaming=True), "alive_count"))
 
 
 def q_stream_stop_cause(spark, sf_dir):
-    return to_output(_run_to_table(spark, fo.stop_cause_counts(_stream_records(spark, sf_dir), CFG, streaming=True),
-                                   "stop_cause"))
+    records = _stream_records(spark, sf_dir, files=1)
+    return to_output(_run_to_table(spark, fo.stop_cause_counts(records, CFG, streaming=True), "stop_cause"))
 
 
 def q_stream_second_order(spark, sf_dir):
@@ -281,10 +314,16 @@ def q_stream_second_order(spark, sf_dir):
     return to_output(_run_to_table(spark, jobs.chained_stats(_stream_records(spark, sf_dir), CFG), "second_order"))
 
 
+def q_stream_second_order_batches(spark, sf_dir):
+    """The same over one line file a micro-batch, in event-time order."""
+    records = _stream_records(spark, sf_dir, files=1)
+    return to_output(_run_to_table(spark, jobs.chained_stats(records, CFG), "second_order_batches"))
+
+
 def q_stream_hop_second_order(spark, sf_dir):
     """Two queries joined by an aggregate-line folder (the topic hop)."""
     root = scratch_path(spark, "streams/hop", unique=True)
-    jobs.hop_first_stage(_stream_records(spark, sf_dir), CFG, f"{root}/agg_lines", f"{root}/_ck1").awaitTermination()
+    jobs.hop_first_stage(_stream_records(spark, sf_dir, files=1), CFG, f"{root}/agg_lines", f"{root}/_ck1").awaitTermination()
     stats = jobs.hop_second_stage(spark.readStream.format("text").load(f"{root}/agg_lines"), CFG)
     return to_output(_run_to_table(spark, stats, "hop_stats"))
 
@@ -294,33 +333,46 @@ def q_stream_bad_sessions(spark, sf_dir):
     root = scratch_path(spark, "streams/bad_sessions", unique=True)
     stops = fo.stop_cause_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
     jobs.with_batches(stops, jobs.bad_session_batch(CFG, root), f"{root}/_ck").awaitTermination()
-    return spark.read.parquet(f"{root}/cause_mix").drop("batch_id")
+    return spark.read.option("basePath", f"{root}/cause_mix").parquet(f"{root}/cause_mix/batch_id=*").drop("batch_id")
 
 
 def q_stream_kmeans_outliers(spark, sf_dir):
-    """Micro-batch k-means predictions with the sigma-outlier flag."""
+    """Micro-batch k-means predictions: each server with whether its
+    sigma-outlier flag is the rule's."""
     root = scratch_path(spark, "streams/bad_sessions_km", unique=True)
     stops = fo.stop_cause_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
     jobs.with_batches(stops, jobs.bad_session_batch(CFG, root), f"{root}/_ck").awaitTermination()
     schema = "aggField1 string, prediction int, distanceFromCenter double, batch_id int"
-    preds = spark.read.schema(schema).parquet(f"{root}/predictions")
-    flagged = spark.read.schema(schema).parquet(f"{root}/outliers").select(
-        "aggField1", "batch_id", F.lit(True).alias("outlier"))
-    return preds.join(flagged, ["aggField1", "batch_id"], "left").fillna(False, ["outlier"])
+    preds = read_batch_table(spark, f"{root}/predictions", schema)
+    flagged = read_batch_table(spark, f"{root}/outliers", schema).select("aggField1", F.lit(True).alias("flag"))
+    return _rule_checks(preds.join(flagged, ["aggField1"], "left").fillna(False, ["flag"]), ["aggField1"], "flag")
+
+
+def _analyzer(spark, sf_dir):
+    """The analyzer as it is deployed: all queries of ``run_analyzer`` at once
+    over one line file a micro-batch; returns the folder of its outputs."""
+    root = scratch_path(spark, "streams/analyzer", unique=True)
+    started = jobs.run_analyzer(spark, jobs.event_line_stream(spark, sf_dir, 2), CFG, root, trigger=False)
+    for q in started:
+        q.awaitTermination()
+    jobs.judge_counts(spark, CFG, root, 1 << 30, rest=True)
+    return root
 
 
 def q_stream_alive_anomalies(spark, sf_dir):
-    """Stats stream first (its table is what the lookups read), then the
-    Alive stream through the multi-output sink."""
-    root = scratch_path(spark, "streams/alive_monitor", unique=True)
-    jobs.to_table(jobs.chained_stats(_stream_records(spark, sf_dir), CFG), f"{root}/stats",
-                  f"{root}/_ck/stats").awaitTermination()
-    counts = fo.alive_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
-    jobs.with_batches(counts, jobs.alive_monitor_batch(CFG, root, f"{root}/stats"),
-                      f"{root}/_ck/alive").awaitTermination()
-    schema = ("aggName string, timestamp timestamp, aggField1 string, value long, statsTimestamp timestamp, "
-              "mean double, stdDev double, batch_id int")
-    return to_output(spark.read.schema(schema).parquet(f"{root}/anomalies").drop("batch_id"))
+    """Anomalies of the two concurrent streams."""
+    return to_output(read_batch_table(spark, f"{_analyzer(spark, sf_dir)}/anomalies", jobs.ANOMALY_SCHEMA))
+
+
+def q_stream_stats_docs(spark, sf_dir):
+    """Stage-2 documents that the running analyzer wrote."""
+    return read_batch_table(spark, f"{_analyzer(spark, sf_dir)}/stats_docs", INDEX_DOC_2_SCHEMA)
+
+
+def q_alive_anomalies_filled(spark, sf_dir):
+    """Anomalies with zero counts for silent windows."""
+    counts, st = alive_and_stats(spark, sf_dir)
+    return to_output(anomaly.alive_anomalies(fo.fill_silent_windows(counts, CFG.bras_agg1_seconds), st, CFG))
 
 
 QUERIES: dict[str, Query] = {
@@ -365,4 +417,8 @@ QUERIES: dict[str, Query] = {
     "stream_bad_sessions": q_stream_bad_sessions,
     "stream_kmeans_outliers": q_stream_kmeans_outliers,
     "stream_alive_anomalies": q_stream_alive_anomalies,
+    "stream_stats_docs": q_stream_stats_docs,
+    "stream_second_order_batches": q_stream_second_order_batches,
+    "alive_anomalies_filled": q_alive_anomalies_filled,
+    "replay_quarantine": q_replay_quarantine,
 }

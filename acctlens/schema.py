@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # fixed values: position -> column name of the 28-field accounting line, in
@@ -82,6 +83,12 @@ SECOND_ORDER_STATS_SCHEMA = T.StructType([
     T.StructField("stdDev", T.DoubleType()), T.StructField("samples", T.IntegerType()),
 ])
 
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, in its order and types."""
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 # Output document tables (the search-index template, as Spark schemas).
 # timestamp is epoch milliseconds; agg2 documents carry no ``samples``.
 INDEX_DOC_1_SCHEMA = T.StructType([

@@ -12,14 +12,17 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "acctlens") -> SparkSession:
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    parts = shuffle_partitions or int(os.environ.get("ACCTLENS_SHUFFLE_PARTITIONS", "8"))
+    """Master and partition count are set only if given (tests, bench); a
+    submitted job keeps those of its cluster."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.ui.enabled", "false")
+        builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -69,8 +72,9 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = False) -> str:
 
 
 def materialize(df):
-    """Reliable checkpoint (written under ``spark.checkpoint.dir``): cuts the
-    lineage so iterative/multi-pass consumers (model fits) do not recompute
-    the raw scan, and a lost executor does not replay it either."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a columnar table under ``spark.checkpoint.dir`` and read
+    it back: cuts the lineage so multi-pass consumers (model fits) do not
+    recompute the raw scan, and a lost executor does not replay it either."""
+    path = scratch_path(df.sparkSession, "tables", unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

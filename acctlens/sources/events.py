@@ -98,6 +98,9 @@ def events_to_lines(events: DataFrame, keep_id: bool = False) -> DataFrame:
     return events.select(*cols)
 
 
+LINE_FILES = 8
+
+
 def _fs_status(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -105,30 +108,39 @@ def _fs_status(spark: SparkSession, path: str):
     return fs, p
 
 
+def _listing(fs, p) -> list[str]:
+    """``path|size|modification time`` of every file at or under ``p``."""
+    out, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
+    return sorted(out)
+
+
 def event_lines_path(spark: SparkSession, sf_dir: str) -> str:
     """Folder of text lines rendered from ``events`` (the recorded line
     files a deployment reads from a topic or folder).  Written once per
-    version of the events file under the shared checkpoint root; every
-    query then reads plain text lines, as it would in production."""
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
-    fs, p = _fs_status(spark, src)
-    st = fs.getFileStatus(p)
-    key = hashlib.sha1(f"{fs.makeQualified(p).toString()}|{st.getLen()}|{st.getModificationTime()}|v2"
-                       .encode()).hexdigest()[:16]
+    version of the events table - the key covers every file of it - under the
+    shared checkpoint root; every query then reads plain text lines, as it
+    would in production.  Files follow each other in event time, by name and by
+    modification time, so a file stream delivers them in order."""
+    fs, p = _fs_status(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    key = hashlib.sha1("\n".join([fs.makeQualified(p).toString(), "v3", *_listing(fs, p)]).encode()).hexdigest()[:16]
     out = scratch_path(spark, f"event_lines/{key}")
     ofs, target = _fs_status(spark, out)
     if not ofs.exists(target):
-        events = read_events(spark, sf_dir)
-        lines = events_to_lines(events)
-        parallelism = spark.sparkContext.defaultParallelism
-        if events.rdd.getNumPartitions() < parallelism:   # small input: spread the parse
-            lines = lines.repartition(parallelism)
+        n = max(LINE_FILES, spark.sparkContext.defaultParallelism)
+        events = read_events(spark, sf_dir).repartitionByRange(n, "ts", "event_id").sortWithinPartitions("ts", "event_id")
         # hidden name (leading "_"): if a concurrent writer published first and
         # the rename nests this folder inside the target, readers skip it
         staging = f"{scratch_path(spark, 'event_lines')}/_staging_{key}_{uuid.uuid4().hex}"
-        lines.write.mode("overwrite").text(staging)
-        # publish atomically; a concurrent writer that won the rename wins
+        events_to_lines(events).write.mode("overwrite").text(staging)
         _, sp = _fs_status(spark, staging)
+        parts = sorted(x.split("|")[0] for x in _listing(ofs, sp))
+        for i, part in enumerate(x for x in parts if "/part-" in x):
+            _, pp = _fs_status(spark, part)
+            ofs.setTimes(pp, 1_700_000_000_000 + 1000 * i, -1)
+        # publish atomically; a concurrent writer that won the rename wins
         if not ofs.rename(sp, target) and not ofs.exists(target):
             raise RuntimeError(f"could not publish {staging} to {out}")
     return out

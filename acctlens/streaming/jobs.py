@@ -21,8 +21,8 @@ from acctlens.operators.first_order import ALIVE_AGG_NAME, agg_lines, alive_coun
 from acctlens.operators.ingest import parse_agg_line, parse_cdr
 from acctlens.operators.second_order import second_order_stats
 from acctlens.sinks.documents import index_documents_1, index_documents_2
-from acctlens.sinks.topics import head_sorted, write_batch_table, write_topic
-from acctlens.sources.events import event_lines_path, events_to_lines
+from acctlens.sinks.topics import head_sorted, read_batch_table, write_batch_table, write_topic
+from acctlens.sources.events import event_lines_path
 
 
 def event_line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -33,14 +33,6 @@ def event_line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
     return reader.load(event_lines_path(spark, sf_dir))
 
 
-def event_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` parquet table itself as a file stream, rendered to
-    lines on the fly (for sources that deliver rows instead of lines)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return events_to_lines(reader.parquet(sf_dir.rstrip("/")))
-
-
 def _trigger(writer, trigger_seconds: int | None):
     if trigger_seconds:
         return writer.trigger(processingTime=f"{trigger_seconds} seconds")
@@ -88,18 +80,16 @@ def hop_second_stage(agg_line_stream: DataFrame, cfg: AnalyzerConfig) -> DataFra
     return second_order_stats(first, cfg, watermark_seconds=cfg.agg_watermark_seconds)
 
 
-def alive_monitor_batch(cfg: AnalyzerConfig, out_root: str, stats_path: str,
-                        topic: tuple[str, str] | None = None, show: int = 0) -> Callable[[DataFrame, int], None]:
+def alive_monitor_batch(cfg: AnalyzerConfig, out_root: str, topic: tuple[str, str] | None = None,
+                        show: int = 0) -> Callable[[DataFrame, int], None]:
     """Multi-output sink for stage-1 counts, per micro-batch: optional
     console head, message records (topic, or a table when no broker is
-    configured), index documents, and the anomaly check against the stats
-    table written so far.  The batch is persisted once and released after."""
+    configured), index documents, the counts themselves, and the anomaly check
+    of what can be judged now.  The batch is persisted once and released after."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if batch.isEmpty():
-                return
             if show:
                 head_sorted(batch, show, "timestamp", "aggField1").show(show, truncate=False)
             records = agg_lines(batch)
@@ -108,34 +98,59 @@ def alive_monitor_batch(cfg: AnalyzerConfig, out_root: str, stats_path: str,
             else:
                 write_batch_table(records, f"{out_root}/agg_records", batch_id)
             write_batch_table(index_documents_1(batch), f"{out_root}/agg_docs", batch_id)
-            stats = _read_if_exists(batch.sparkSession, stats_path)
-            if stats is not None:
-                lo, hi = batch.agg(F.min("timestamp"), F.max("timestamp")).first()
-                recent = stats.filter((F.col("timestamp") > F.lit(lo) - F.expr(f"INTERVAL {cfg.lookback_seconds} SECONDS"))
-                                      & (F.col("timestamp") <= F.lit(hi)))
-                found = anomaly.alive_anomalies(batch.select("aggName", "timestamp", "aggField1", "value"),
-                                                recent, cfg)
-                write_batch_table(found, f"{out_root}/anomalies", batch_id)
+            counts = batch.select("aggName", "timestamp", "aggField1", "value", F.to_date("timestamp").alias("day"))
+            write_batch_table(counts, f"{out_root}/counts", batch_id, by=("day",))
         finally:
             batch.unpersist()
+        judge_counts(batch.sparkSession, cfg, out_root, batch_id)
 
     return run
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no stats written yet
-        return None
-
-
-def stats_docs_batch(out_root: str, show: int = 0) -> Callable[[DataFrame, int], None]:
-    """Stage-2 sink: index documents of the stats (``samples`` dropped)."""
+COUNTS_SCHEMA = "aggName string, timestamp timestamp, aggField1 string, value long, day date"
+STATS_SCHEMA = "aggName string, timestamp timestamp, aggField1 string, mean double, stdDev double, samples int, day date"
+ANOMALY_SCHEMA = ("aggName string, timestamp timestamp, aggField1 string, value long, statsTimestamp timestamp, "
+                  "mean double, stdDev double")
+
+
+def judge_counts(spark: SparkSession, cfg: AnalyzerConfig, out_root: str, batch_id: int, rest: bool = False) -> None:
+    """Judge counts against the statistics in a defined order, whatever
+    the pace of the two streams: a count is judged once all statistics up to its own
+    timestamp are written, and waits for a later call until then.  ``rest``
+    judges what is left at the end of the input.  Each count is judged once: by the
+    first call whose ``judged`` mark reaches its timestamp."""
+    stats = read_batch_table(spark, f"{out_root}/stats", STATS_SCHEMA)
+    counts = read_batch_table(spark, f"{out_root}/counts", COUNTS_SCHEMA)
+    marks = read_batch_table(spark, f"{out_root}/judged", "upto timestamp, batch_id int").filter(F.col("batch_id") < batch_id)
+    since = marks.agg(F.max("upto")).first()[0]
+    newest = [t.agg(F.max("timestamp")).first()[0] for t in ([counts] if rest else [counts, stats])]
+    upto = None if None in newest else min(newest)  # both tables are whole up to there
+    if upto is None or since is not None and upto <= since:
+        upto = since
+        pending = counts.limit(0)
+    else:
+        pending = counts.filter(F.col("timestamp") <= F.lit(upto)).filter(F.col("day") <= F.to_date(F.lit(upto)))
+        if since is not None:
+            pending = pending.filter(F.col("timestamp") > F.lit(since)).filter(F.col("day") >= F.to_date(F.lit(since)))
+            look = F.lit(since) - F.expr(f"INTERVAL {cfg.lookback_seconds} SECONDS")
+            stats = stats.filter((F.col("day") >= F.to_date(look)) & (F.col("timestamp") > look))
+    write_batch_table(anomaly.alive_anomalies(pending, stats, cfg), f"{out_root}/anomalies", batch_id)
+    write_batch_table(spark.createDataFrame([(upto,)], "upto timestamp"), f"{out_root}/judged", batch_id)
+
+
+def stats_batch(out_root: str, show: int = 0) -> Callable[[DataFrame, int], None]:
+    """Stage-2 sink: the statistics by day (lookups read only the days they
+    reach) and their index documents (``samples`` dropped)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if show:
-            head_sorted(batch, show, "timestamp", "aggField1").show(show, truncate=False)
-        write_batch_table(index_documents_2(batch), f"{out_root}/stats_docs", batch_id)
+        batch = batch.persist()
+        try:
+            if show:
+                head_sorted(batch, show, "timestamp", "aggField1").show(show, truncate=False)
+            write_batch_table(index_documents_2(batch), f"{out_root}/stats_docs", batch_id)
+            write_batch_table(batch.withColumn("day", F.to_date("timestamp")), f"{out_root}/stats", batch_id, by=("day",))
+        finally:
+            batch.unpersist()
 
     return run
 
@@ -173,18 +188,17 @@ def bad_session_batch(cfg: AnalyzerConfig, out_root: str, labels: list[str] | No
 
 
 def run_analyzer(spark: SparkSession, lines: DataFrame, cfg: AnalyzerConfig, out_root: str,
-                 trigger: bool = True, topic: tuple[str, str] | None = None) -> list[StreamingQuery]:
+                 trigger: bool = True, topic: tuple[str, str] | None = None, show: int = 0) -> list[StreamingQuery]:
     """Both analyses on one line stream, as concurrent queries in one
-    session: liveness (stats, then counts with the anomaly check) and the
-    bad-session pattern.  Returns the started queries; callers wait with
+    session: liveness (stats with their documents, counts with the anomaly
+    check) and the bad-session pattern.  Returns the started queries; callers wait with
     ``spark.streams.awaitAnyTermination()``."""
     records = parse_cdr(lines)
     t1 = cfg.bras_agg1_seconds if trigger else None
     t2 = cfg.bras_agg2_seconds if trigger else None
     t3 = cfg.term_cause_agg1_seconds if trigger else None
-    stats_q = to_table(chained_stats(records, cfg), f"{out_root}/stats", f"{out_root}/_ck/stats", t2, name="stats")
-    alive_q = with_batches(alive_counts(records, cfg, streaming=True),
-                           alive_monitor_batch(cfg, out_root, f"{out_root}/stats", topic),
+    stats_q = with_batches(chained_stats(records, cfg), stats_batch(out_root, show), f"{out_root}/_ck/stats", t2, name="stats")
+    alive_q = with_batches(alive_counts(records, cfg, streaming=True), alive_monitor_batch(cfg, out_root, topic, show),
                            f"{out_root}/_ck/alive", t1, name="alive")
     bad_q = with_batches(stop_cause_counts(records, cfg, streaming=True), bad_session_batch(cfg, out_root),
                          f"{out_root}/_ck/bad_sessions", t3, name="bad_sessions")

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from acctlens.plans.oracle import SQL
 from tools.oracle_check import rows
 from tests.conftest import SF_SMALL
 
@@ -28,7 +29,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     spd = entry.queries()[name](spark, SF_SMALL).toPandas()
     dpd = con.execute(entry.oracle_sql()[name]).df()

@@ -5,21 +5,20 @@ import datetime as dt
 
 import pytest
 
-import __spark_entry__ as entry
+from acctlens.plans.queries import QUERIES
 from acctlens.operators.asof import asof_latest
 from acctlens.plans.common import records
 from tests.conftest import SF_SMALL
 
-SKIP = {"minute_files"}          # writes folders as part of the query
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("stream_") and n not in SKIP))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_no_python_and_no_cross_join(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
 
