@@ -5,84 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# fixed values: position -> column name of the 28-field accounting line, in
-# line order.  The second list holds the RADIUS attribute names of the same
-# positions (index-template / full-schema naming).
-FIELD_NAMES_28 = [
-    "date", "timestamp", "acctStatusType", "acctSessionId", "sessionTime",
-    "outputOctets", "outputGigawords", "inputOctets", "inputGigawords",
-    "outputPackets", "inputPackets", "nasIdentifier", "nasIpAddress", "nasPort",
-    "clientId", "accessType", "userName", "callingStationId", "circuitId",
-    "remoteId", "framedIPAddress", "connectInfo", "terminateCause",
-    "natStartPort", "natEndPort", "delayTime", "natIPAddress", "mac",
+# fixed values: the 28 fields of an accounting line in line order - column name,
+# RADIUS attribute name, kind (ts = event time, long/int = safe number with 0 for bad
+# text, str = text kept as is; the 22/24-column forms read accessType as text),
+# and whether the 22/24-column record keeps the field
+FIELDS_28 = [
+    ("date", "Date", "ts", True),
+    ("timestamp", "Timestamp", "long", True),
+    ("acctStatusType", "Acct-Status-Type", "str", True),
+    ("acctSessionId", "Acct-Session-Id", "str", True),
+    ("sessionTime", "Acct-Session-Time", "long", True),
+    ("outputOctets", "Acct-Output-Octets", "long", True),
+    ("outputGigawords", "Acct-Output-Gigawords", "long", True),
+    ("inputOctets", "Acct-Input-Octets", "long", True),
+    ("inputGigawords", "Acct-Input-Gigawords", "long", True),
+    ("outputPackets", "Acct-Output-Packets", "long", False),
+    ("inputPackets", "Acct-Input-Packets", "long", False),
+    ("nasIdentifier", "NAS-Identifier", "str", True),
+    ("nasIpAddress", "NAS-IP-Address", "str", True),
+    ("nasPort", "NAS-Port", "long", True),
+    ("clientId", "ClientId", "str", True),
+    ("accessType", "AccessType", "int", True),
+    ("userName", "User-Name", "str", True),
+    ("callingStationId", "Calling-Station-Id", "str", True),
+    ("circuitId", "DSLForum-Agent-Circuit-Id", "str", True),
+    ("remoteId", "DSLForum-Agent-Remote-Id", "str", True),
+    ("framedIPAddress", "Framed-IP-Address", "str", True),
+    ("connectInfo", "Connect-Info", "str", True),
+    ("terminateCause", "Acct-Terminate-Cause", "str", True),
+    ("natStartPort", "NAT-Start-Port", "int", False),
+    ("natEndPort", "NAT-End-Port", "int", False),
+    ("delayTime", "Acct-Delay-Time", "int", False),
+    ("natIPAddress", "NAT-IP-Address", "str", False),
+    ("mac", "User-Mac", "str", True),
 ]
-RADIUS_NAMES_28 = [
-    "Date", "Timestamp", "Acct-Status-Type", "Acct-Session-Id", "Acct-Session-Time",
-    "Acct-Output-Octets", "Acct-Output-Gigawords", "Acct-Input-Octets", "Acct-Input-Gigawords",
-    "Acct-Output-Packets", "Acct-Input-Packets", "NAS-Identifier", "NAS-IP-Address", "NAS-Port",
-    "ClientId", "AccessType", "User-Name", "Calling-Station-Id", "DSLForum-Agent-Circuit-Id",
-    "DSLForum-Agent-Remote-Id", "Framed-IP-Address", "Connect-Info", "Acct-Terminate-Cause",
-    "NAT-Start-Port", "NAT-End-Port", "Acct-Delay-Time", "NAT-IP-Address", "User-Mac",
-]
-N_FIELDS = len(FIELD_NAMES_28)
-
-# value kind per position: ts = event time, long/int = safe number (bad -> 0),
-# str = text kept as is.  The 24-column form reads accessType as text.
-FIELD_KINDS_28 = (
-    ["ts", "long", "str", "str"] + ["long"] * 7 + ["str", "str", "long"]
-    + ["str", "int"] + ["str"] * 7 + ["int", "int", "int", "str", "str"]
-)
-
-# positions kept by the 22/24-column record (packets and NAT fields dropped)
-CDR22_POSITIONS = [0, 1, 2, 3, 4, 5, 6, 7, 8, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 27]
+FIELD_NAMES_28 = [name for name, _, _, _ in FIELDS_28]
+RADIUS_NAMES_28 = [radius for _, radius, _, _ in FIELDS_28]
+FIELD_KINDS_28 = [kind for _, _, kind, _ in FIELDS_28]
+N_FIELDS = len(FIELDS_28)
+CDR22_POSITIONS = [i for i, (_, _, _, kept) in enumerate(FIELDS_28) if kept]
 CDR22_NAMES = [FIELD_NAMES_28[i] for i in CDR22_POSITIONS]
 CDR24_NAMES = CDR22_NAMES + ["accessNode", "day"]
 
-_SPARK_TYPES = {"ts": T.TimestampType(), "long": T.LongType(), "int": T.IntegerType(),
-                "str": T.StringType()}
-
-
-def _field(name: str, kind: str) -> T.StructField:
-    return T.StructField(name, _SPARK_TYPES[kind], True)
-
-
-CDR28_SCHEMA = T.StructType([_field(n, k) for n, k in zip(FIELD_NAMES_28, FIELD_KINDS_28)])
-CDR22_SCHEMA = T.StructType(
-    [_field(FIELD_NAMES_28[i], "str" if i == 15 else FIELD_KINDS_28[i]) for i in CDR22_POSITIONS])
-CDR24_SCHEMA = T.StructType(list(CDR22_SCHEMA.fields) + [_field("accessNode", "str"), _field("day", "str")])
-
-# stream envelope of a message source (key/value plus broker metadata)
-ENVELOPE_SCHEMA = T.StructType([
-    T.StructField("key", T.StringType()), T.StructField("value", T.StringType()),
-    T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()), T.StructField("timestamp", T.TimestampType()),
-    T.StructField("timestampType", T.IntegerType()),
-])
-
-
-def first_order_schema(n_keys: int) -> T.StructType:
-    if not 1 <= n_keys <= 4:
-        raise ValueError("first-order aggregates have 1 to 4 key fields")
-    return T.StructType(
-        [T.StructField("aggName", T.StringType()), T.StructField("timestamp", T.TimestampType()),
-         T.StructField("value", T.LongType())]
-        + [T.StructField(f"aggField{i}", T.StringType()) for i in range(1, n_keys + 1)])
-
-
-SECOND_ORDER_RAW_SCHEMA = T.StructType([
-    T.StructField("window", T.StructType([T.StructField("start", T.TimestampType()),
-                                          T.StructField("end", T.TimestampType())])),
-    T.StructField("aggField1", T.StringType()),
-    T.StructField("values", T.ArrayType(T.LongType())),
-    T.StructField("sampleSize", T.IntegerType()),
-])
-
-SECOND_ORDER_STATS_SCHEMA = T.StructType([
-    T.StructField("aggName", T.StringType()), T.StructField("timestamp", T.TimestampType()),
-    T.StructField("aggField1", T.StringType()), T.StructField("mean", T.DoubleType()),
-    T.StructField("stdDev", T.DoubleType()), T.StructField("samples", T.IntegerType()),
-])
-
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema``, in its order and types."""

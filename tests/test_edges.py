@@ -15,7 +15,7 @@ from acctlens.operators.first_order import ALIVE_AGG_NAME, agg_lines, alive_coun
 from acctlens.operators.ingest import parse_agg_line, parse_cdr
 from acctlens.operators.replay import rebase_lines, replay_quarantine
 from acctlens.operators.second_order import second_order_stats
-from acctlens.schema import INDEX_DOC_1_SCHEMA, INDEX_DOC_2_SCHEMA
+from acctlens.schema import INDEX_DOC_1_SCHEMA, INDEX_DOC_2_SCHEMA, INDEX_TEMPLATE_SCHEMA
 from acctlens.sinks.documents import index_documents_1, index_documents_2
 from acctlens.sinks.topics import head_sorted, read_batch_table, write_batch_table
 from acctlens.sources.events import event_lines_path
@@ -218,5 +218,6 @@ def test_guards_and_document_schemas(spark):
     first = counts(spark, [("a", 1, 1)])
     assert index_documents_1(first).schema == INDEX_DOC_1_SCHEMA or index_documents_1(first).schema.names == INDEX_DOC_1_SCHEMA.names
     assert [f.dataType for f in index_documents_2(second_order_stats(first, AnalyzerConfig())).schema] == [f.dataType for f in INDEX_DOC_2_SCHEMA]
-
-
+    known = {f.name: f.dataType for f in INDEX_TEMPLATE_SCHEMA}  # a date field takes epoch milliseconds, mean is the template's avg
+    for schema in (INDEX_DOC_1_SCHEMA, INDEX_DOC_2_SCHEMA):
+        assert all(known[f.name] == f.dataType for f in schema if f.name not in ("timestamp", "mean", "aggName"))
