@@ -93,4 +93,5 @@ def test_fill_silent_windows(spark):
                                   "aggName string, timestamp timestamp, value long, aggField1 string")
     got = sorted((r.aggField1, r.timestamp, r.value) for r in fill_silent_windows(first, 5).collect())
     assert got == [("k", t0, 4), ("k", t0 + dt.timedelta(seconds=5), 0), ("k", t0 + dt.timedelta(seconds=10), 0),
-                   ("k", t0 + dt.timedelta(seconds=15), 2), ("z", t0, 1)]
+                   ("k", t0 + dt.timedelta(seconds=15), 2), ("z", t0, 1),
+                   *[("z", t0 + dt.timedelta(seconds=x), 0) for x in (5, 10, 15)]]  # silent up to the end
