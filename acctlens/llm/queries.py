@@ -97,6 +97,26 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+# bytes as two hex digits each; spans are runs of covered bytes, touching ones are one
+OP5_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS s
+      FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE doc_id IS NOT NULL)),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+hit AS (SELECT w.r, w.i FROM w JOIN m ON w.s = m.s WHERE m.least < w.doc_id),
+isl AS (SELECT r, i, sum(CASE WHEN prev IS NULL OR i > prev + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS k
+        FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS prev FROM hit)),
+span AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM isl GROUP BY r, k),
+cut AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS after FROM span),
+parts AS (SELECT cut.r, string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS before_last,
+                 max(b) AS last, sum(b - a) AS removed, count(*) AS n
+          FROM cut JOIN d ON cut.r = d.r GROUP BY cut.r)
+SELECT d.doc_id, (length(h) // 2)::bigint AS n_bytes, coalesce(removed, 0)::bigint AS n_removed,
+       coalesce(n, 0)::bigint AS n_spans,
+       sha256(unhex(CASE WHEN parts.r IS NULL THEN h ELSE before_last || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN parts ON d.r = parts.r
+"""
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 OP6_SQL = f"""
 WITH rules(h, p, v) AS (VALUES {_RULES_SQL}),
@@ -110,4 +130,4 @@ m AS (SELECT u.*, h || p AS rule, v, row_number() OVER (
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
 """
 
-ORACLE_SQL = {"op4_exact_top_k": OP4_SQL, "op6_url_rules": OP6_SQL}
+ORACLE_SQL = {"op4_exact_top_k": OP4_SQL, "op5_suffix_dedup": OP5_SQL, "op6_url_rules": OP6_SQL}
