@@ -16,10 +16,13 @@ from acctlens.llm.queries import tokenizer_files
 from acctlens.llm.simhash import drop_near_copies
 from acctlens.llm.suffixes import drop_repeats
 
+REJECT_BELOW = 0.3
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier rejects go."""
-    return keep_good(docs, table(spark, sf_dir, "labels"))
+    """Documents that the co-trained classifier rejects go: those it scores
+    under REJECT_BELOW, on the far side of 0.5 so that clean documents stay."""
+    return keep_good(docs, table(spark, sf_dir, "labels"), reject_below=REJECT_BELOW)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from acctlens.llm.bpe import read_ranks
 from acctlens.llm.mixing import mix_sizes
 from acctlens.llm.quality import quality_scores
 from acctlens.llm.queries import ORACLE_SQL, QUERIES, tokenizer_files
-from tests.llm.helpers import brute_components, brute_kept
+from tests.llm.helpers import DOCS, brute_components, brute_kept, documents, edge_rows
 from tools.oracle_check import rows
 
 SF = "/root/testdata/sf0.001"
@@ -45,7 +45,7 @@ def test_stages_equal_brute_force(spark):
         kept = out
     names = [n for n, _ in corpus_pipeline.STAGES]
     before, after = done[names[0]]
-    good = {r.doc_id for r in quality_scores(before, spark.read.parquet(f"{SF}/labels.parquet")).collect() if r.predicted}
+    good = {r.doc_id for r in quality_scores(before, spark.read.parquet(f"{SF}/labels.parquet")).collect() if r.score >= corpus_pipeline.REJECT_BELOW}
     assert [d for d, _ in text(after)] == sorted(good)
     before, after = done[names[1]]
     assert [d for d, _ in text(after)] == sorted({c for _, _, c in brute_components(text(before))})
@@ -66,3 +66,17 @@ def test_stages_equal_brute_force(spark):
     assert all(r.round_trip for r in after.collect())
     whole = corpus_pipeline.run(spark, SF)
     assert sorted((r.doc_id, list(r.ids)) for r in whole.collect()) == sorted((r.doc_id, list(r.ids)) for r in after.collect())
+
+
+def test_stages_on_edge_cases(spark):
+    """Nulls in any column, repeated rows, very long texts, clashing names, no rows."""
+    rows = edge_rows()
+    odd = documents(spark, rows, clash=True).selectExpr("*", "'y' as n_tokens", "'z' as c0")
+    nulls = spark.createDataFrame([(None, None, None, None, None), (70, "some words here", None, None, None)], DOCS)
+    for docs in (odd.repartition(3), documents(spark, []), nulls, documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+            got = out.collect()
+            assert got or docs.isEmpty() or "suffix" in name or "mixing" in name, name
