@@ -81,7 +81,7 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return mix(h, 30)
 
 
-POSITION = U64(0xFFFFFF)  # a block has fewer words than this
+POSITION = U64(0xFFFFFFFF)  # low bits that hold a place in the block
 
 
 def least_at(values: np.ndarray, width: int) -> np.ndarray:

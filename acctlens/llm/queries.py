@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from acctlens.llm.ann import ann_search
@@ -23,20 +20,15 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
-#: Place of the vocabulary files; a parameter of the operators.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 RANKS = "byte_bpe_50k.tiktoken"
 
 
-def tokenizer_files() -> tuple[str, str]:
-    """(path of the rank file, pattern that splits text)."""
-    try:
-        import public_tokenizers as known
-    except ImportError:
-        spec = importlib.util.spec_from_file_location("public_tokenizers", f"{TOKENIZERS}/__init__.py")
-        known = importlib.util.module_from_spec(spec)
-        spec.loader.exec_module(known)
-    return known.path(RANKS), known.PATTERN
+def tokenizer_files(folder: str | None = None) -> tuple[str, str]:
+    """(path of the rank file, pattern that splits text); ``folder`` is where
+    the vocabulary files are, if not with their module."""
+    import public_tokenizers  # only the tokenizer queries need it
+
+    return f"{folder}/{RANKS}" if folder else public_tokenizers.path(RANKS), public_tokenizers.PATTERN
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

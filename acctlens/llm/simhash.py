@@ -32,6 +32,7 @@ MAX_DEPTH = 12
 SAMPLE = 1 << 16
 CHUNK = 2 * LEAF
 CELLS = 1 << 20
+SHINGLES_AT_ONCE = 1 << 16
 
 FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 ROUTED = pa.schema([("leaf", pa.int32()), ("fp", pa.int64()), ("home", pa.bool_())])
@@ -46,11 +47,13 @@ def fingerprint(text: bytes, words_in_shingle: int = 3, seed: int = 42) -> int:
     k = min(words_in_shingle, len(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(line[a:b], seed) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1:].tolist())],
-                 np.uint64)
-    ones = np.add.reduce(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0])
+    digest, n = xxhash.xxh64_intdigest, len(words) - k + 1
+    ones = np.zeros(64, np.int64)
+    for at in range(0, n, SHINGLES_AT_ONCE):
+        part = slice(at, min(n, at + SHINGLES_AT_ONCE))
+        h = np.array([digest(line[a:b], seed) for a, b in zip(starts[part].tolist(), ends[k - 1:][part].tolist())], np.uint64)
+        ones += np.add.reduce(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
 def fingerprints(docs: DataFrame, words_in_shingle: int = 3) -> DataFrame:
