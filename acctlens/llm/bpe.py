@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPLITS_KEPT, LONGEST_KEPT, STATES_KEPT, PAIRS_KEPT = 300_000, 64, 100_000, 500_000
-LOOKBACK = 4096
+SPLITS_KEPT, LONGEST_KEPT, STATES_KEPT, PAIRS_KEPT = 200_000, 64, 80_000, 400_000
+LOOKBACK, LISTED = 4096, 1 << 22
 #: Beyond Latin-1, or a number or separator of it that is no digit or white space to all.
 OUTSIDE = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0100-\U0010ffff]").search
 BYTES = [bytes((i,)) for i in range(256)]
-TOKENS_AT_ONCE = 1 << 16
+TOKENS_AT_ONCE, ROWS_AT_ONCE = 1 << 16, 256
 
 OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
                  ("decoded_sha256", pa.string())])
@@ -206,16 +206,18 @@ class Splits(dict):
 class Tokenizer:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.splits = Splits(Transducer(ranks))
-        self.find = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
         plain = (pattern.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)").replace(r"\p{L}", r"[^\W\d_]")
                  .replace(r"\p{N}", r"\d"))
         #: the same for texts in Latin-1 without the characters where the two modules' classes differ
-        self.find_plain = self.find if r"\p" in plain else re.compile(plain).findall
+        self.plain = self.pattern if r"\p" in plain else re.compile(plain)
         self.table = self.splits.machine.bytes_of
 
     def encode(self, text: str) -> array:
-        find = self.find if OUTSIDE(text) else self.find_plain
-        return array("I", chain.from_iterable(map(self.splits.__getitem__, find(text))))
+        pattern = self.pattern if OUTSIDE(text) else self.plain
+        # a list of splits is quicker, but takes many times the text's memory
+        splits = pattern.findall(text) if len(text) <= LISTED else (m[0] for m in pattern.finditer(text))
+        return array("I", chain.from_iterable(map(self.splits.__getitem__, splits)))
 
     def decode(self, ids: Iterable[int]) -> Iterator[bytes]:
         """Chunks of bytes, each of whole characters as far as the ids are
@@ -281,7 +283,7 @@ def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         gc.disable()  # memories of tuples: nothing cyclic to find, much to search
         try:
             tok = _worker_tokenizer(shared)
-            for rb in batches:
+            for rb in (rb.slice(k, ROWS_AT_ONCE) for rb in batches for k in range(0, rb.num_rows, ROWS_AT_ONCE)):
                 flat, ends, same = array("I"), [0], []
                 for text in rb.column(rb.num_columns - 1):
                     text = text.as_py() or ""
