@@ -11,16 +11,16 @@ nodes whose subtree is as wide as a passage are kept (two in a passage's length)
    joined: stretches of starts on which both minima stay the same.  The two minima
    are the stretch's key.  Blocks exchange packed keys; those that no second document
    has are dropped.
-2. Stretches with a shared key meet with their signatures, the minima under all
-   hash functions.  Those that agree in ``AGREE`` of them or more are candidates;
-   of each group only a spanning forest is kept, the most alike first, so no group
-   is written out in pairs.
-3. A forest edge is an overlap of two intervals, aligned at the minima.  One edge for
-   each pair of documents is verified on the shingles of both passages.
+2. Equal stretches under one key are one member (the smallest document's; the others
+   are linked to it at once), first in each block, then over all blocks.  Stretches
+   of a heavy key meet by their content's salt.
+3. Members of a key with several send their shingles and meet.  Members with an equal
+   passage are linked.  Of the other pairs, those whose signatures (the minima under all
+   hash functions) agree in ``AGREE`` or more are candidates, and each is verified there
+   on all starts that the two stretches have in common, unless verified links join its
+   two ends already.  Only verified pairs are links, so no candidate displaces another.
+   Many members of a heavy key are dealt as pairs of chunks.
 4. Verified pairs make classes of documents.
-
-Equal passages under one key are one entry of their block (the smallest document's;
-the others are linked to it at once), so copies do not gather.
 """
 
 from __future__ import annotations
@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 
 from acctlens.llm.blocks import batch_of
 from acctlens.llm.common import stored
-from acctlens.llm.exchange import KEYS_DDL, by_range, firsts, found, key_of, packed_keys, shared_keys
+from acctlens.llm.exchange import KEYS_DDL, firsts, found, key_of, packed_keys, shared_keys
 from acctlens.llm.graph import components
 from acctlens.llm.simhash import join
-from acctlens.llm.suffixes import RANGE_BYTES, Block, to_blocks
+from acctlens.llm.suffixes import RANGE_BYTES, SALTS, Block, to_blocks
 from acctlens.llm.toxicity import Memo
 
 PASSAGE, SHINGLE, HASHES, AGREE = 50, 5, 8, 4
@@ -47,18 +47,27 @@ SPAN = PASSAGE - SHINGLE + 1  # shingles in a passage
 PAIRS = tuple((i, i + 1) for i in range(0, HASHES, 2))
 WORDS_KEPT = 300_000
 FEW, CELLS = 16, 1 << 20
+CHUNK = 4096  # members of a heavy key in a chunk
+BULK = 1 << 14  # candidates verified at a time
+EDGES_HELD = 1 << 20
 EQUAL = HASHES + 1  # agreement of passages with the same shingles
 
 U64 = np.uint64
 _MULTIPLIERS = np.random.default_rng(50).integers(1, 1 << 63, 64, dtype=U64) | U64(1)
-
-ENTRY_DDL = "range int, uid long, keys binary, signatures binary, doc binary, place binary, around binary, content binary, edges binary"
-ENTRIES = pa.schema([("range", pa.int32()), ("uid", pa.int64()), ("keys", pa.binary()), ("signatures", pa.binary()),
-                     ("doc", pa.binary()), ("place", pa.binary()), ("around", pa.binary()), ("content", pa.binary()),
-                     ("edges", pa.binary())])
-EDGE_DDL = ("a_doc long, a_uid long, a_row int, a_start int, b_doc long, b_uid long, b_row int, b_start int, agree int")
-EDGES = pa.schema([(n, pa.int64() if n[2:] in ("doc", "uid") else pa.int32()) for n in
-                   ("a_doc", "a_uid", "a_row", "a_start", "b_doc", "b_uid", "b_row", "b_start", "agree")])
+_BACK = U64(pow(int(_MULTIPLIERS[27]), -1, 1 << 64))
+
+#: Stretches of a block under the keys of a range (``key`` names the one of a heavy key's
+#: members, else -1), or links.
+ENTRY_DDL = ("range int, salt int, uid long, key long, n long, keys binary, signatures binary, doc binary, place binary, "
+             "around binary, content binary, edges binary")
+ENTRIES = pa.schema([("range", pa.int32()), ("salt", pa.int32()), ("uid", pa.int64()), ("key", pa.int64()), ("n", pa.int64()),
+                     *[(n, pa.binary()) for n in ("keys", "signatures", "doc", "place", "around", "content", "edges")]])
+MEMBER_DDL = "range int, key long, cell long, keys binary, signatures binary, doc binary, place binary, around binary, codes binary"
+MEMBERS = pa.schema([("range", pa.int32()), ("key", pa.int64()), ("cell", pa.int64()),
+                     *[(n, pa.binary()) for n in ("keys", "signatures", "doc", "place", "around", "codes")]])
+EDGE_DDL = "a_doc long, a_start int, b_doc long, b_start int, agree int, similarity double"
+EDGES = pa.schema([("a_doc", pa.int64()), ("a_start", pa.int32()), ("b_doc", pa.int64()), ("b_start", pa.int32()),
+                   ("agree", pa.int32()), ("similarity", pa.float64())])
 
 
 def mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -177,82 +186,187 @@ class Passages:
         return np.stack([(mix(self.shingles[low[at]], k) >> U64(40)).astype(np.uint16) for k, low in enumerate(self.low)],
                         axis=1) if len(at) else np.zeros((0, HASHES), np.uint16)
 
-    def contents(self, at: np.ndarray) -> np.ndarray:
-        """A hash of the passage's shingles, repeats included, in any order."""
-        sums = np.concatenate((np.zeros(1, U64), np.cumsum(mix(self.shingles, 25), dtype=U64)))
-        return sums[at + SPAN] - sums[at]
+    def contents(self, rows: np.ndarray) -> np.ndarray:
+        """A hash of all shingles of a stretch in their order, and of where in it
+        its first minimum is."""
+        n = len(self.shingles)
+        up, down = (np.cumprod(np.concatenate((np.ones(1, U64), np.full(n, m, U64))), dtype=U64) for m in (_MULTIPLIERS[27], _BACK))
+        sums = np.concatenate((np.zeros(1, U64), np.cumsum(self.shingles * up[:n], dtype=U64)))
+        first, end = self.first[rows], self.last[rows] + SPAN
+        where = (self.c[rows] - first + SPAN) * 4 * SPAN + end - first
+        return mix((sums[end] - sums[first]) * down[first] ^ mix(where.astype(U64), 26), 25)
 
 
-def spanning(label: np.ndarray, a: np.ndarray, b: np.ndarray, agree: np.ndarray):
-    """Of candidate pairs the edges of a spanning forest, the most alike first."""
+def spanning(label: np.ndarray, a: np.ndarray, b: np.ndarray, agree: np.ndarray, verify=None):
+    """Of candidate pairs the edges of a spanning forest, the most alike first;
+    ``verify`` tells which pairs hold.  A pair is left out only if edges that hold join its ends."""
     kept = []
     for level in range(HASHES, AGREE - 1, -1):
         u, v = a[agree == level], b[agree == level]
-        while len(u):
+        tried = 0
+        while True:
             apart = label[u] != label[v]
             u, v = u[apart], v[apart]
             if not len(u):
                 break
-            _, one = np.unique(np.maximum(label[u], label[v]), return_index=True)
+            one = np.unique(np.maximum(label[u], label[v]), return_index=True)[1]
+            if verify is not None:
+                part = np.arange(min(len(u), BULK)) if tried else one
+                tried += 1
+                x, y = u[part], v[part]
+                u, v = np.delete(u, part), np.delete(v, part)
+                good = verify(x, y)
+                kept += spanning(label, x[good], y[good], np.full(int(good.sum()), level))
+                continue
             kept.append((u[one], v[one], np.full(len(one), level)))
             join(label, u[one], v[one])
     return kept
 
 
-def candidates(signatures: np.ndarray, groups: np.ndarray):
+def candidates(signatures: np.ndarray, groups: np.ndarray, label: np.ndarray | None = None, verify=None):
     """Edges (a, b, agreement) between rows of one group (``groups`` is sorted)
-    that agree in AGREE numbers or more: all of them in groups of up to FEW rows,
-    in larger ones a spanning forest."""
+    that agree in AGREE numbers or more and that ``verify`` confirms: all of them in groups
+    of up to FEW rows, in larger ones a spanning forest.  Rows of one ``label`` are
+    joined already."""
     kept = []
     begin = np.flatnonzero(firsts(groups))
     size = np.diff(np.append(begin, len(groups)))
     row = np.arange(len(groups)) - np.repeat(begin, size)
     size_of = np.repeat(size, size)
+    label = np.arange(len(groups)) if label is None else label
     for step in range(1, min(FEW, int(size.max(initial=1)))):  # row i with row i + step
         i = np.flatnonzero((size_of <= FEW) & (row + step < size_of))
+        i = i[label[i] != label[i + step]]
         same = (signatures[i] == signatures[i + step]).sum(axis=1)
         near = same >= AGREE
-        kept.append((i[near], i[near] + step, same[near]))
-    label = np.arange(len(groups))
+        i, same = i[near], same[near]
+        if verify is not None:
+            good = verify(i, i + step)
+            i, same = i[good], same[good]
+        kept.append((i, i + step, same))
     for g, n in zip(begin[size > FEW], size[size > FEW]):
         own = signatures[g: g + n]
         rows = max(1, CELLS // n)
         for level in range(HASHES, AGREE - 1, -1):
-            for a in range(0, n, rows):
+            # pairs within the largest class are joined already
+            _, of, many = np.unique(label[g: g + n], return_inverse=True, return_counts=True)
+            outside = of != np.argmax(many)
+            at = np.flatnonzero(outside)
+            for a in range(0, len(at), rows):
                 if (label[g: g + n] == label[g]).all():
                     break
-                same = sum((own[a: a + rows, k][:, None] == own[None, :, k]).astype(np.uint8) for k in range(HASHES))
+                part = at[a: a + rows]
+                same = sum((own[part, k][:, None] == own[None, :, k]).astype(np.uint8) for k in range(HASHES))
                 i, j = np.nonzero(same == level)
-                kept += spanning(label, g + a + i, g + j, np.full(len(i), level))
+                i = part[i]
+                once = ~outside[j] | (i < j)
+                i, j = i[once], j[once]
+                kept += spanning(label, g + i, g + j, np.full(len(i), level), verify)
     return [np.concatenate(x) for x in zip(*kept)] if kept else [np.zeros(0, np.int64)] * 3
 
 
-def edge_table(a, b, agree, doc, uid, place, around) -> pa.Table:
-    """Edges between entries.  Equal passages begin where they are signed; others
-    are aligned at their minima, both beginning at the same distance from
-    them if the two stretches have one in common.  Of a pair of documents with equal
-    passages one edge is enough."""
-    keep = doc[a] != doc[b]
-    a, b, agree = a[keep], b[keep], agree[keep]
-    low, high = np.maximum(around[a, 0], around[b, 0]), np.minimum(around[a, 1], around[b, 1])
-    shift = np.clip(-(SPAN // 2), np.minimum(low, high), np.maximum(low, high))
-    own = lambda x: np.clip(-(SPAN // 2), around[x, 0], around[x, 1])
-    side = lambda x: np.where(agree == EQUAL, own(x), np.clip(shift, around[x, 0], around[x, 1]))
-    a_start, b_start = place[a, 1] + side(a), place[b, 1] + side(b)
-    order = np.lexsort((b_start, a_start, -agree, doc[b], doc[a]))
-    a, b, agree, a_start, b_start = (x[order] for x in (a, b, agree, a_start, b_start))
-    pair = firsts(doc[a]) | firsts(doc[b])
-    lead = agree[pair][np.cumsum(pair) - 1]
-    one = pair | (lead < EQUAL) & (firsts(a_start) | firsts(b_start))
-    a, b = a[one], b[one]
-    cols = (doc[a], uid[a], place[a, 0], a_start[one], doc[b], uid[b], place[b, 0], b_start[one], agree[one])
-    return pa.Table.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, EDGES)], schema=EDGES)
-
-
-def packed_entries(uid: int, p: Passages, rows: np.ndarray, ranges: int) -> Iterator[tuple]:
+class Stretches:
+    """Shingles (32 bits) of stretches that lie one after the other in ``codes``; ``around`` has
+    the first and last start of each, counted from its first minimum."""
+
+    def __init__(self, codes: np.ndarray, around: np.ndarray):
+        self.codes, self.around = codes, around
+        size = around[:, 1] - around[:, 0] + SPAN
+        self.begin = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(size)), size).astype(U64) << U64(32) | codes
+        self.before = np.full(len(codes), -1)  # where a stretch had the same shingle before
+        x = np.sort(of)
+        repeats = np.unique(x[1:][x[1:] == x[:-1]] >> U64(32)).astype(np.int64)
+        if len(repeats):
+            n = size[repeats]
+            at = np.repeat(self.begin[repeats] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            at = at[np.argsort(of[at], kind="stable")]
+            again = np.flatnonzero(~firsts(of[at]))
+            self.before[at[again]] = at[again - 1]
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(stretch, start, hash of its shingles, repeats included, in any order) of each passage."""
+        n = self.around[:, 1] - self.around[:, 0] + 1
+        of = np.repeat(np.arange(len(n)), n)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        sums = np.concatenate((np.zeros(1, U64), np.cumsum(mix(self.codes.astype(U64), 25), dtype=U64)))
+        at = self.begin[of] + nth
+        return of, self.around[of, 0] + nth, sums[at + SPAN] - sums[at]
+
+    def slide(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best similarity of passages of a[i] and b[i] that begin at the same distance from
+        the minima, and those two starts.  Stretches without a common start are compared
+        where they come nearest."""
+        fa, la, fb, lb = *self.around[a].T, *self.around[b].T
+        low, high = np.maximum(fa, fb), np.minimum(la, lb)
+        x, y = np.clip(low, fa, la), np.clip(low, fb, lb)  # first starts
+        many = np.maximum(high - low + 1, 1)
+        best, at = np.zeros(len(a)), np.zeros(len(a), np.int64)
+        order = np.argsort(many, kind="stable")
+        for k in range(0, len(a), 512):
+            p = order[k: k + 512]
+            best[p], at[p] = self._slide(self.begin[a[p]] + x[p] - fa[p], self.begin[b[p]] + y[p] - fb[p], many[p])
+        return best, x + at, y + at
+
+    def _slide(self, a: np.ndarray, b: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        most = int(many.max())
+        step = np.arange(most + SPAN - 1)
+
+        def spans(begin):
+            """Shingles, and the first and last passage in which each is the first of its value."""
+            at = np.minimum(begin[:, None] + step, len(self.codes) - 1)
+            lo = np.maximum(np.maximum(step - SPAN + 1, 0), self.before[at] - begin[:, None] + 1)
+            return self.codes[at], lo, np.minimum(step, many[:, None] - 1)
+
+        def counted(of, lo, hi):
+            own = lo <= hi
+            n = len(a) * (most + 1)
+            up, down = (np.bincount(of[own] * (most + 1) + z[own], minlength=n) for z in (lo, hi + 1))
+            return np.cumsum((up - down).reshape(len(a), most + 1), axis=1)[:, :most]
+
+        (ca, alo, ahi), (cb, blo, bhi) = spans(a), spans(b)
+        of = np.broadcast_to(np.arange(len(a))[:, None], ca.shape)
+        na, nb = counted(of, alo, ahi), counted(of, blo, bhi)
+        k, i, j = np.nonzero(ca[:, :, None] == cb[:, None, :])
+        both = counted(k, np.maximum(alo[k, i], blo[k, j]), np.minimum(ahi[k, i], bhi[k, j]))
+        alike = np.where(np.arange(most) < many[:, None], both / np.maximum(na + nb - both, 1), -1.0)
+        at = alike.argmax(axis=1)
+        return alike[np.arange(len(a)), at], at
+
+
+def edge_table(a_doc, a_start, b_doc, b_start, agree, similarity) -> pa.Table:
+    """Links between documents, the smaller one first; of each pair of documents the most similar."""
+    flip = a_doc > b_doc
+    a_doc, b_doc = np.where(flip, b_doc, a_doc), np.where(flip, a_doc, b_doc)
+    a_start, b_start = np.where(flip, b_start, a_start), np.where(flip, a_start, b_start)
+    cols = (a_doc, a_start, b_doc, b_start, agree, similarity)
+    order = np.lexsort((b_start, a_start, -agree, -similarity, b_doc, a_doc))
+    order = order[(a_doc != b_doc)[order]]
+    order = order[firsts(a_doc[order]) | firsts(b_doc[order])]
+    return pa.Table.from_arrays([pa.array(c[order].astype(f.type.to_pandas_dtype()), f.type) for c, f in zip(cols, EDGES)], schema=EDGES)
+
+
+def best_edges(tables: list[pa.Table]) -> list[pa.RecordBatch]:
+    return edge_table(*[c.to_numpy() for c in pa.concat_tables(tables).columns]).to_batches()
+
+
+def packed_edges(edges: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, EDGES) as w:
+        w.write_table(edges)
+    return sink.getvalue().to_pybytes()
+
+
+def equal_edges(a: np.ndarray, b: np.ndarray, doc: np.ndarray, place: np.ndarray, around: np.ndarray) -> pa.Table:
+    """Links of equal stretches: their passages that begin half a length before the minimum,
+    or as near to that as can be."""
+    start = place[:, 1] + np.clip(-(SPAN // 2), around[:, 0], around[:, 1])
+    return edge_table(doc[a], start[a], doc[b], start[b], np.full(len(a), EQUAL), np.ones(len(a)))
+
+
+def packed_entries(uid: int, p: Passages, rows: np.ndarray, heavy: np.ndarray, ranges: int) -> Iterator[tuple]:
     """ENTRIES rows of a block."""
-    at = p.signed_at(rows)
-    sign, content, key, doc, c = p.signatures(at), p.contents(at), p.key[rows], p.doc[rows], p.c[rows]
+    sign, content, key, doc, c = p.signatures(p.signed_at(rows)), p.contents(rows), p.key[rows], p.doc[rows], p.c[rows]
     around = np.stack([p.first[rows] - c, p.last[rows] - c], 1).astype(np.int8)
     place = np.stack([doc, c - p.first_word[doc]], 1).astype(np.int32)
     ids = p.ids[doc]
@@ -261,38 +375,101 @@ def packed_entries(uid: int, p: Passages, rows: np.ndarray, ranges: int) -> Iter
     head = order[new][np.cumsum(new) - 1]
     rest = ~new & (ids[order] != ids[head])
     if rest.any():
-        edges = edge_table(head[rest], order[rest], np.full(rest.sum(), EQUAL), ids, np.full(len(ids), uid), place, around.astype(np.int64))
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, EDGES) as w:
-            w.write_table(edges)
-        yield (-1 - int(uid % ranges), uid, *[None] * 6, sink.getvalue().to_pybytes())
+        edges = equal_edges(head[rest], order[rest], ids, place, around.astype(np.int64))
+        yield (-1 - int(uid % ranges), 0, uid, -1, 0, *[None] * 6, packed_edges(edges))
     order = order[new]
-    for r, s in by_range(key[order], ranges):
-        k = order[s]
-        yield (r, uid, key[k].astype(np.uint32).tobytes(), sign[k].tobytes(), ids[k].tobytes(), place[k].tobytes(),
-               around[k].tobytes(), content[k].tobytes(), None)
+    salts = max(SALTS, ranges)
+    salt = np.where(heavy, 1 + (content >> U64(20)).astype(np.int64) % salts, 0)
+    order = order[np.lexsort((key[order], salt[order], key[order] >> U64(32)))]
+    group = (key[order] >> U64(32)).astype(np.int64) * (salts + 1) + salt[order]
+    cut = np.flatnonzero(firsts(group))
+    for begin, end in zip(cut, [*cut[1:], len(order)]) if len(order) else ():
+        k = order[begin:end]
+        yield (int(key[k[0]] >> U64(32)), int(salt[k[0]]), uid, -1, len(k), key[k].astype(np.uint32).tobytes(), sign[k].tobytes(),
+               ids[k].tobytes(), place[k].tobytes(), around[k].tobytes(), content[k].tobytes(), None)
+
+
+COLUMNS = {"keys": (np.uint32, 1), "signatures": (np.uint16, HASHES), "doc": (np.int64, 1), "place": (np.int32, 2),
+           "around": (np.int8, 2), "content": (U64, 1), "codes": (np.uint32, 1)}
+
+
+def column(data: bytes, name: str) -> np.ndarray:
+    kind, width = COLUMNS[name]
+    x = np.frombuffer(data, kind)
+    return x.reshape(-1, width) if width > 1 else x
 
 
-def group_edges(group: pa.Table) -> pa.Table:
-    """Candidate edges of one range of keys."""
+def joined(rows: list[dict], name: str) -> np.ndarray:
+    return np.concatenate([column(r[name], name) for r in rows])
+
+
+def gather(group: pa.Table) -> pa.Table:
+    """ENTRIES of one range and salt -> links of equal stretches, and the entries that are
+    members: one of each content, if another may be linked to it under its key."""
     rows = group.to_pylist()
-    done = [pa.ipc.open_stream(r["edges"]).read_all() for r in rows if r["edges"] is not None]
+    out = [tuple(r.values()) for r in rows if r["edges"] is not None]
     rows = [r for r in rows if r["edges"] is None]
     if rows:
-        cat = lambda n, t: np.concatenate([np.frombuffer(r[n], t) for r in rows])
-        key, doc = cat("keys", np.uint32), cat("doc", np.int64)
-        sign = cat("signatures", np.uint16).reshape(-1, HASHES)
-        place, around = cat("place", np.int32).reshape(-1, 2), cat("around", np.int8).reshape(-1, 2).astype(np.int64)
-        uid = np.repeat(np.array([r["uid"] for r in rows], np.int64), [len(r["keys"]) // 4 for r in rows])
-        content = cat("content", U64)
+        key, doc, content = joined(rows, "keys"), joined(rows, "doc"), joined(rows, "content")
         order = np.lexsort((doc, content, key))
         new = firsts(key[order]) | firsts(content[order])
-        head = order[new][np.cumsum(new) - 1]
-        heads = order[new]
-        x, y, same = candidates(sign[heads], key[heads])
-        done.append(edge_table(np.concatenate([head[~new], heads[x]]), np.concatenate([order[~new], heads[y]]),
-                               np.concatenate([np.full((~new).sum(), EQUAL), same]), doc, uid, place, around))
-    return pa.concat_tables(done)
+        head, heads = order[new][np.cumsum(new) - 1], order[new]
+        if not new.all():
+            edges = equal_edges(head[~new], order[~new], doc, joined(rows, "place"), joined(rows, "around").astype(np.int64))
+            out.append((rows[0]["range"], rows[0]["salt"], rows[0]["uid"], -1, 0, *[None] * 6, packed_edges(edges)))
+        if not rows[0]["salt"]:
+            begin = np.flatnonzero(firsts(key[heads]))
+            apart = np.minimum.reduceat(doc[heads], begin) != np.maximum.reduceat(doc[heads], begin)
+            heads = heads[np.repeat(apart, np.diff(np.append(begin, len(heads))))]
+        member = np.zeros(len(key), bool)
+        member[heads] = True
+        end = 0
+        for r in rows:
+            own = np.flatnonzero(member[end: end + r["n"]])
+            keys = key[end: end + r["n"]][own]
+            end += r["n"]
+            # a heavy key's members are dealt apart from others
+            for k in np.unique(keys).tolist() if r["salt"] else [-1] if len(own) else []:
+                part = own[keys == k] if r["salt"] else own
+                out.append((r["range"], r["salt"], r["uid"], k, len(part),
+                            *[column(r[n], n)[part].tobytes() for n in ("keys", "signatures", "doc", "place", "around")], None, None))
+    cols = list(zip(*out)) or [[]] * len(ENTRIES)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, ENTRIES)], schema=ENTRIES)
+
+
+def verified_edges(key, sign, doc, place, around, codes, similarity: float) -> pa.Table:
+    """Links between members that meet (sorted by key): enough of the verified pairs to join all
+    that are verified or have an equal passage."""
+    s = Stretches(codes, around)
+    # rows of one document, and such with an equal passage, are of one class
+    label = np.arange(len(key))
+    order = np.lexsort((doc, key))
+    new = firsts(key[order]) | firsts(doc[order])
+    join(label, order[new][np.cumsum(new) - 1], order)
+    of, start, content = s.windows()
+    content = mix(content ^ mix(key[of].astype(U64), 24), 23)
+    order = np.argsort(content)
+    new = firsts(content[order])
+    head = np.minimum.reduceat(order, np.flatnonzero(new))[np.cumsum(new) - 1]
+    head, rest = head[head != order], order[head != order]
+    join(label, of[head], of[rest])
+    equal = edge_table(doc[of[head]], place[of[head], 1] + start[head], doc[of[rest]], place[of[rest], 1] + start[rest],
+                       np.full(len(rest), EQUAL), np.ones(len(rest)))
+    a, b, agree = candidates(sign, key, label, lambda a, b: s.slide(a, b)[0] >= similarity)
+    alike, x, y = s.slide(a, b)
+    return pa.concat_tables([equal, edge_table(doc[a], place[a, 1] + x, doc[b], place[b, 1] + y, agree, alike)])
+
+
+def dealt(members: DataFrame) -> DataFrame:
+    """``members`` with the cells in which they meet others of their range and key: a heavy key's
+    are dealt to chunks, of which each pair is a cell."""
+    heavy = members.filter("key >= 0")
+    chunks = heavy.groupBy("range", "key").agg(F.ceil(F.sum("n") / CHUNK).alias("t"))
+    own = heavy.join(chunks, ["range", "key"]).withColumn("own", F.pmod(F.xxhash64("uid", "salt"), "t"))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("t") - 1), lambda i: (i != F.col("own")) | (F.col("t") == 1))
+    own = own.withColumn("cells", F.transform(others, lambda i: F.least(i, "own") * F.col("t") + F.greatest(i, "own")))
+    light = members.filter("key < 0").withColumn("cells", F.array(F.lit(0).cast("long")))
+    return light.unionByName(own.select(*light.columns))
 
 
 def near_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -315,29 +492,18 @@ def near_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         for rb in batches:
             for row in rb.to_pylist():
                 p = Passages(row, memo, ranges)
-                rows = np.flatnonzero(found(p.key, row["hot"])[0])
-                for out in packed_entries(row["uid"], p, rows, ranges):
+                hot, heavy = found(p.key, row["hot"])
+                rows = np.flatnonzero(hot)
+                for out in packed_entries(row["uid"], p, rows, heavy[rows], ranges):
                     yield batch_of(ENTRIES, out)
 
     texts = blocks.drop("rest")
     hot = shared_keys(texts.mapInArrow(send_keys, KEYS_DDL))
     entries = texts.join(hot.hint("shuffle_hash"), "uid").mapInArrow(send_entries, ENTRY_DDL)
-    edges = entries.groupBy("range").applyInArrow(group_edges, EDGE_DDL)
-    flip = F.col("a_doc") > F.col("b_doc")
-    side = lambda s, n: F.when(flip, F.col(f"{'b' if s == 'a' else 'a'}_{n}")).otherwise(F.col(f"{s}_{n}"))
-    edges = edges.select(*[side(s, n).alias(f"{s}_{n}") for s in "ab" for n in ("doc", "uid", "row", "start")], "agree")
-    pick = F.struct(*[f"{s}_{n}" for s in "ab" for n in ("uid", "row", "start")], "agree")
-    edges = stored(edges, "passage_edges")
-    equal = (edges.filter(F.col("agree") == EQUAL).groupBy("a_doc", "b_doc").agg(F.min(pick).alias("e"))
-             .select("a_doc", "b_doc", "e.*"))
-    alike = edges.join(equal, ["a_doc", "b_doc"], "left_anti").distinct()
-    best = stored(equal.unionByName(alike).withColumn("pair", F.monotonically_increasing_id()), "passage_pairs")
-    asked = best.select("pair", F.col("a_uid").alias("uid"), F.col("a_row").alias("row"), F.col("a_start").alias("start"),
-                        F.lit(0).alias("side")).unionByName(
-        best.select("pair", F.col("b_uid").alias("uid"), F.col("b_row").alias("row"), F.col("b_start").alias("start"),
-                    F.lit(1).alias("side")))
-    asked = asked.groupBy("uid").agg(F.collect_list(F.struct("pair", "side", "row", "start")).alias("asked"))
-    answers = pa.schema([("pair", pa.int64()), ("side", pa.int32()), ("shingles", pa.list_(pa.int64()))])
+    met = stored(entries.groupBy("range", "salt").applyInArrow(gather, ENTRY_DDL), "passage_members")
+    members = met.filter("edges is null").drop("edges", "content")
+    asked = dealt(members)
+    asked = asked.groupBy("uid").agg(F.collect_list(F.struct(*[c for c in asked.columns if c != "uid"])).alias("asked"))
 
     def answer(batches):
         memo = word_memo()
@@ -345,27 +511,50 @@ def near_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
             for row in rb.to_pylist():
                 ends = np.cumsum(np.frombuffer(row["lens"], np.int64))
                 begin = np.concatenate(([0], ends[:-1]))
-                by_doc: dict[int, list[dict]] = {}
-                for q in row["asked"]:
-                    by_doc.setdefault(q["row"], []).append(q)
-                pairs, sides, sets = [], [], []
-                for d, qs in by_doc.items():
+                needed = np.unique(np.concatenate([column(q["place"], "place")[:, 0] for q in row["asked"]]))
+                parts = []
+                for d in needed.tolist():
                     words = row["data"][begin[d]: ends[d]].lower().split()
-                    s = shingles(np.fromiter(map(memo.__getitem__, words), U64, len(words))).view(np.int64)
-                    for q in qs:
-                        pairs.append(q["pair"])
-                        sides.append(q["side"])
-                        sets.append(np.unique(s[q["start"]: q["start"] + SPAN]))
-                yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(sides, pa.int32()),
-                                                  pa.array(sets, answers[2].type)], schema=answers)
-
-    got = texts.join(asked.hint("shuffle_hash"), "uid").mapInArrow(answer, "pair long, side int, shingles array<long>")
-    sides = got.groupBy("pair").agg(F.max(F.when(F.col("side") == 0, F.col("shingles"))).alias("sa"),
-                                    F.max(F.when(F.col("side") == 1, F.col("shingles"))).alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    sides = sides.select("pair", (common / (F.size("sa") + F.size("sb") - common)).alias("similarity"))
-    return best.join(sides.filter(F.col("similarity") >= similarity), "pair").select(
-        "a_doc", "a_start", "b_doc", "b_start", "agree", "similarity")
+                    parts.append((shingles(np.fromiter(map(memo.__getitem__, words), U64, len(words))) >> U64(32)).astype(np.uint32))
+                first = np.cumsum([0, *map(len, parts)])
+                codes = np.concatenate(parts)
+                for q in row["asked"]:
+                    place, around = column(q["place"], "place").astype(np.int64), column(q["around"], "around").astype(np.int64)
+                    at = first[np.searchsorted(needed, place[:, 0])] + place[:, 1] + around[:, 0]
+                    size = around[:, 1] - around[:, 0] + SPAN
+                    mine = codes[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())].tobytes()
+                    for cell in q["cells"]:
+                        yield batch_of(MEMBERS, (q["range"], q["key"], cell, q["keys"], q["signatures"], q["doc"], q["place"],
+                                                 q["around"], mine))
+
+    def verified(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        key, around, codes = joined(rows, "keys"), joined(rows, "around").astype(np.int64), joined(rows, "codes")
+        doc = joined(rows, "doc")
+        order = np.lexsort((doc, key))
+        size = around[:, 1] - around[:, 0] + SPAN
+        begin, size = (np.cumsum(size) - size)[order], size[order]
+        codes = codes[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        return verified_edges(key[order], joined(rows, "signatures")[order], doc[order], joined(rows, "place")[order].astype(np.int64),
+                              around[order], codes, similarity)
+
+    def unpacked(batches):
+        # many ranges name the same pair of documents
+        tables: list[pa.Table] = []
+        for rb in batches:
+            tables += [pa.ipc.open_stream(e.as_py()).read_all() for e in rb.column(0)]
+            if sum(map(len, tables)) >= EDGES_HELD:
+                yield from best_edges(tables)
+                tables = []
+        if tables:
+            yield from best_edges(tables)
+
+    equal = met.filter("edges is not null").select("edges").mapInArrow(unpacked, EDGE_DDL)
+    near = texts.join(asked.hint("shuffle_hash"), "uid").mapInArrow(answer, MEMBER_DDL).groupBy("range", "key", "cell").applyInArrow(
+        verified, EDGE_DDL)
+    links = equal.unionByName(near).groupBy("a_doc", "b_doc").agg(
+        F.max(F.struct("similarity", "agree", (-F.col("a_start")).alias("s"), "a_start", "b_start")).alias("e"))
+    return links.select("a_doc", "e.a_start", "b_doc", "e.b_start", "e.agree", "e.similarity")
 
 
 def passage_classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:

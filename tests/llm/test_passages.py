@@ -1,7 +1,9 @@
+import random
+
 import numpy as np
 
 from acctlens.llm.passages import (FEW, HASHES, SPAN, candidates, compact_windows, firsts, least_at, passage_classes)
-from tests.llm.helpers import documents, edge_rows, prose
+from tests.llm.helpers import Union, documents, edge_rows, prose
 
 
 def test_planted_passages(spark):
@@ -58,3 +60,32 @@ def test_large_groups_are_joined_by_a_forest():
     a, b, n = candidates(sign[:FEW], np.zeros(FEW, np.uint32))
     assert len(a) == FEW * (FEW - 1) // 2
     assert firsts(np.array([3, 3, 4])).tolist() == [True, False, True]
+
+
+def brute_similarity(a, b):
+    """The best of all pairs of passages of two texts."""
+    def sets(t):
+        w = t.lower().split()
+        s = [tuple(w[i: i + 5]) for i in range(len(w) - 4)]
+        return [set(s[i: i + SPAN]) for i in range(len(s) - SPAN + 1)]
+    return max((len(x & y) / len(x | y) for x in sets(a) for y in sets(b)), default=0.0)
+
+
+def test_variants_of_one_template_are_classed_as_by_brute_force(spark):
+    """Families differ by two words amid the passage (unlike), members of one at its ends (alike)."""
+    r = random.Random(11)
+    base, rows = prose(500, 50).split(), []
+    for f in range(100):
+        w = list(base)
+        for p in (r.randrange(4, 22), r.randrange(28, 46)):
+            w[p] = f"f{f}x{p}"
+        for m in range(3):
+            rows.append((len(rows), " ".join([f"m{len(rows)}", *w[1:-1], w[-1] if m else f"e{f}"])))
+    r.shuffle(rows)
+    u = Union()
+    for i, (d, t) in enumerate(rows):
+        for e, v in rows[:i]:
+            if brute_similarity(t, v) >= 0.8:
+                u.join(d, e)
+    got = {x.doc_id: x.class_id for x in passage_classes(documents(spark, rows).repartition(3)).collect()}
+    assert got == {d: u.find(d) for d, _ in rows} and len(set(got.values())) > FEW
