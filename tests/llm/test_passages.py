@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from acctlens.llm.passages import (FEW, HASHES, SPAN, candidates, compact_windows, firsts, least_at, passage_classes)
+from acctlens.llm.passages import (FEW, HASHES, SPAN, Stretches, candidates, compact_windows, firsts, least_at, passage_classes)
 from tests.llm.helpers import Union, documents, edge_rows, prose
 
 
@@ -89,3 +89,44 @@ def test_variants_of_one_template_are_classed_as_by_brute_force(spark):
                 u.join(d, e)
     got = {x.doc_id: x.class_id for x in passage_classes(documents(spark, rows).repartition(3)).collect()}
     assert got == {d: u.find(d) for d, _ in rows} and len(set(got.values())) > FEW
+
+
+def test_runs_of_words_in_different_texts_are_found_at_any_start(spark):
+    """Runs of 50 to 52 equal words always, longer ones with changed words nearly always."""
+    r = random.Random(12)
+    rows, exact, edited = [], set(), set()
+    for k in range(600):
+        run = prose(10_000 + k, (50, 51, 52, 60)[k % 4]).split()
+        other = list(run)
+        for p in r.sample(range(60), 2) if len(run) == 60 else ():
+            other[p] = f"changed{k}"
+        texts = [" ".join([prose(20_000 + 4 * k + s, r.randrange(60)), *w, prose(20_002 + 4 * k + s, r.randrange(60))])
+                 for s, w in enumerate((run, other))]
+        rows += [(2 * k, texts[0]), (2 * k + 1, texts[1])]
+        if len(run) < 60:
+            exact.add(2 * k)
+        elif brute_similarity(" ".join(run), " ".join(other)) >= 0.8:
+            edited.add(2 * k)
+    got = {x.doc_id: x for x in passage_classes(documents(spark, rows)).collect()}
+    assert all(x.class_id == d // 2 * 2 for d, x in got.items())
+    assert exact <= set(got) and all(got[d].similarity == 1 for d in exact)
+    assert len(edited) > 50 and len(edited & set(got)) >= 0.95 * len(edited)
+
+
+def test_slide_equals_brute_force():
+    rng = np.random.default_rng(13)
+    size = rng.integers(SPAN, 2 * SPAN, 40)
+    first = rng.integers(1 - SPAN, 1, 40)
+    around = np.stack([first, np.minimum(first + size - SPAN, 0)], 1)
+    size = around[:, 1] - around[:, 0] + SPAN
+    codes = rng.integers(0, 60, size.sum()).astype(np.uint32)
+    s = Stretches(codes, around)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(40)))
+    for i, j, alike, x, y in zip(a, b, *s.slide(a, b)):
+        def window(k, at):
+            begin = s.begin[k] + at - around[k, 0]
+            return set(codes[begin: begin + SPAN].tolist())
+        both = range(max(around[i, 0], around[j, 0]), min(around[i, 1], around[j, 1]) + 1)
+        want = [len(window(i, o) & window(j, o)) / len(window(i, o) | window(j, o)) for o in both]
+        assert not want or alike == max(want)
+        assert alike == len(window(i, x) & window(j, y)) / len(window(i, x) | window(j, y))
