@@ -2,7 +2,8 @@ import random
 
 import numpy as np
 
-from acctlens.llm.passages import (FEW, HASHES, SPAN, Stretches, candidates, compact_windows, firsts, least_at, passage_classes)
+from acctlens.llm.passages import (CHUNK, FEW, HASHES, SPAN, Passages, Stretches, candidates, compact_windows, dealt, firsts, least_at,
+                                   packed_entries, passage_classes, word_memo)
 from tests.llm.helpers import Union, documents, edge_rows, prose
 
 
@@ -130,3 +131,26 @@ def test_slide_equals_brute_force():
         want = [len(window(i, o) & window(j, o)) / len(window(i, o) | window(j, o)) for o in both]
         assert not want or alike == max(want)
         assert alike == len(window(i, x) & window(j, y)) / len(window(i, x) | window(j, y))
+
+
+def test_a_heavy_key_is_spread(spark):
+    """Entries go to salts; members to cells in which each two of them meet."""
+    text = " ".join(["x", *(prose(30_000, 60) + f" {prose(40_000 + i, 12)}" for i in range(300))]).encode()
+    row = {"ids": np.arange(1).tobytes(), "known": np.ones(1, bool).tobytes(), "lens": np.array([len(text)]).tobytes(), "data": text}
+    p = Passages(row, word_memo(), 1)
+    rows = np.arange(len(p.key))
+    salts = {e[1] for e in packed_entries(7, p, rows, np.ones(len(rows), bool), 1)}
+    assert len(salts) > 200 and min(salts) > 0
+    assert {e[1] for e in packed_entries(7, p, rows, np.zeros(len(rows), bool), 1)} == {0}
+    many = 5 * CHUNK // 16
+    members = spark.createDataFrame([(3, i % 256, i // 256, 9, 16) for i in range(many)] + [(3, 0, 1, -1, 99), (4, 1, 1, 9, 5)],
+                                    "range int, salt int, uid long, key long, n long")
+    got = dealt(members).collect()
+    assert len(got) == many + 2
+    cells = [set(x.cells) for x in got if x.range == 3 and x.key == 9]
+    assert all(a & b for a in cells for b in set(map(frozenset, cells)))
+    load = {}
+    for x in got:
+        for c in x.cells:
+            load[x.range, x.key, c] = load.get((x.range, x.key, c), 0) + x.n
+    assert load[3, -1, 0] == 99 and load[4, 9, 0] == 5 and max(load.values()) < 2.4 * CHUNK
