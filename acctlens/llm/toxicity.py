@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acctlens.llm.common import stored
 from acctlens.llm.linear import Logistic
 from acctlens.llm.quality import held_out
 
 LABELLED = 16_384
-EVIDENCE = 20_000
 KEPT = 300_000
 SYMBOLS = 27  # 0: a word's edge, 1-26: letters without accents
 
@@ -200,20 +200,18 @@ def learn_evidence(texts: DataFrame, restorer: Restorer) -> dict[str, float]:
 
     counted = texts.select("text", F.col("y").cast("int")).mapInArrow(run, "f string, n0 long, n1 long").groupBy("f").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).filter("f = '' or n1 >= 3")
-    counted = counted.orderBy(F.desc("n1"), "f").limit(EVIDENCE).toArrow().to_pylist()
-    docs = next((r for r in counted if r["f"] == ""), {"n0": 0, "n1": 0})
-    if not docs["n0"] or not docs["n1"]:
+    counted = stored(counted, "toxic_evidence")
+    docs = counted.filter("f = ''").first()
+    if not docs or not docs["n0"] or not docs["n1"]:
         return {}
     base = docs["n1"] / (docs["n0"] + docs["n1"])
-    out = {}
-    for r in counted:
-        n0, n1 = r["n0"], r["n1"]
-        share = n1 / (n0 + n1)
-        gain = n1 * math.log(share / base) + (n0 * math.log((1 - share) / (1 - base)) if n0 else 0)
-        odds = math.log((n1 + 0.5) / (docs["n1"] + 1) * (docs["n0"] + 1) / (n0 + 0.5))
-        if r["f"] and share > base and gain > 14 and odds > 2:
-            out[r["f"]] = odds
-    return out
+    n0, n1 = F.col("n0"), F.col("n1")
+    share = n1 / (n0 + n1)
+    gain = n1 * F.log(share / base) + F.when(n0 > 0, n0 * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    odds = F.log((n1 + 0.5) / (docs["n1"] + 1) * (docs["n0"] + 1) / (n0 + 0.5))
+    # what passes is bounded by the labelled rows
+    passed = counted.filter("f <> ''").filter((share > base) & (gain > 14) & (odds > 2)).select("f", odds.alias("odds")).toArrow()
+    return dict(zip(passed.column(0).to_pylist(), passed.column(1).to_pylist()))
 
 
 class ToxicityModel:

@@ -3,7 +3,7 @@ import pytest
 
 from acctlens.llm.linear import Logistic
 from acctlens.llm.quality import CoTrained, keep_good, quality_scores
-from acctlens.llm.toxicity import Restorer, character_counts, symbol, toxicity_scores
+from acctlens.llm.toxicity import Restorer, character_counts, learn_evidence, symbol, toxicity_scores
 from tests.llm.helpers import documents, edge_rows, prose
 
 LABELS = "doc_id long, quality int, toxic int, score string, y string"
@@ -91,3 +91,12 @@ def test_views_teach_each_other():
     both = ((m.predict(a[600:], b[600:]) >= 0.5) == y[600:]).mean()
     alone = ((Logistic().fit(b[:100], y[:100]).predict(b[600:]) >= 0.5) == y[600:]).mean()
     assert both > alone and both > 0.95
+
+
+def test_evidence_counts_rare_words_beside_many_common_ones(spark):
+    rng = np.random.default_rng(21)
+    common = " ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (7000, 8)))
+    rows = [(f"{common} zyxwvut" if i < 8 else common, 1) for i in range(20)] + [(common if i < 40 else "plain", 0) for i in range(180)]
+    texts = spark.createDataFrame(rows, "text string, y int").repartition(8)
+    found = learn_evidence(texts, Restorer(np.zeros((27, 27, 27))))
+    assert "zyxwvut" in found and min(found.values()) > 2
