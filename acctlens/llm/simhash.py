@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from acctlens.llm.common import stored, utf8_rows
 from acctlens.llm.graph import components
@@ -196,6 +197,16 @@ def near_links(entries: DataFrame, bits: int = 3) -> DataFrame:
     return cells.groupBy("leaf", "t", "q").applyInArrow(search, "u long, v long")
 
 
+def _rooted(docs: DataFrame, words_in_shingle: int, bits: int) -> DataFrame:
+    """(fp, doc_id, root, component_id) for every row of ``docs``; ``root`` tells components apart."""
+    rows = stored(fingerprints(docs, words_in_shingle), "simhash_rows")
+    entries = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash_entries")
+    roots = components(near_links(entries, bits)).withColumnRenamed("node", "fp")
+    rooted = entries.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp")
+
+
 def simhash_groups(docs: DataFrame, words_in_shingle: int = 3, bits: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -205,21 +216,30 @@ def simhash_groups(docs: DataFrame, words_in_shingle: int = 3, bits: int = 3) ->
     one entry.  Rows with a null doc_id stay, but name no component unless all
     of it has none.  Empty table: empty result.  Other columns are not read.
     """
-    rows = stored(fingerprints(docs, words_in_shingle), "simhash_rows")
-    entries = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash_entries")
-    roots = components(near_links(entries, bits)).withColumnRenamed("node", "fp")
-    rooted = entries.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _rooted(docs, words_in_shingle, bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, words_in_shingle: int = 3, bits: int = 3) -> DataFrame:
-    """``docs`` less all but one document of each group: the one with the
-    smallest doc_id stays, and of repeated rows of it one.  Rows with a null
-    doc_id stay."""
-    groups = simhash_groups(docs, words_in_shingle, bits)
-    keep = stored(groups.filter("doc_id is not null").groupBy("doc_id").agg(
-        F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n")).filter("c = doc_id").select("doc_id", "n"), "simhash_keep")
+    """``docs`` less all but one row of each group: one with the smallest doc_id.  Rows of one
+    doc_id whose texts are in different groups are judged apart.  Rows with a null doc_id stay."""
+    rows = stored(_rooted(docs, words_in_shingle, bits).filter("doc_id is not null").select("doc_id", "fp", "root", "component_id"),
+                  "simhash_known")
+    least = rows.filter("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select("k.*")
+    keep = stored(least.join(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "doc_id"), "simhash_keep")
     once = docs.join(keep.filter("n = 1").hint("shuffle_hash"), "doc_id", "left_semi")
-    repeated = docs.join(keep.filter("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    # rows of a repeated doc_id are told apart by their fingerprints
+    names = docs.columns
+    at = names.index("text")
+    repeated = docs.join(keep.filter("n > 1"), "doc_id", "left_semi").select(*names).toDF(*[f"c{i}" for i in range(len(names))])
+
+    def with_fingerprint(batches):
+        for rb in batches:
+            fps = [fingerprint(t, words_in_shingle) for t in utf8_rows(rb, f"c{at}")]
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(fps, pa.int64())], names=[*rb.schema.names, "fp"])
+
+    kind = StructType([*repeated.schema.fields, StructField("fp", LongType())])
+    doc = f"c{names.index('doc_id')}"
+    wanted = keep.filter("n > 1").select(F.col("doc_id").alias(doc), "fp")
+    several = repeated.mapInArrow(with_fingerprint, kind).join(wanted, [doc, "fp"], "left_semi").dropDuplicates([doc, "fp"])
+    several = several.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+    return once.unionByName(several).unionByName(docs.filter("doc_id is null")).select(*names)

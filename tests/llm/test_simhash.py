@@ -62,3 +62,10 @@ def test_components_of_a_long_path_and_a_star(spark):
     df = spark.createDataFrame([*path, *star, (7, 7)], "u long, v long")
     got = {r.node: r.root for r in components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(50)}}
+
+
+def test_a_doc_id_with_unlike_texts_takes_no_group_along(spark):
+    a, b, c = prose(61, 200), prose(62, 200), prose(63, 200)
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, prose(64, 200)), (4, c), (5, c)]
+    left = sorted((r.doc_id, r.text) for r in drop_near_copies(documents(spark, rows, clash=True)).collect())
+    assert left == sorted([(1, a), (2, b), (4, c), (4, prose(64, 200))])
