@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acctlens.llm.ann import ann_search
 from acctlens.llm.bpe import bpe_digests
 from acctlens.llm.common import table
+from acctlens.llm.merkle import merkle_manifest
 from acctlens.llm.mixing import mix_sizes
+from acctlens.llm.packing import placed, token_pieces
 from acctlens.llm.passages import passage_classes
 from acctlens.llm.quality import quality_scores
 from acctlens.llm.simhash import simhash_groups
@@ -15,6 +18,7 @@ from acctlens.llm.suffixes import suffix_dedup
 from acctlens.llm.topk import exact_top_k
 from acctlens.llm.toxicity import toxicity_scores
 from acctlens.llm.url_rules import apply_rules
+from acctlens.llm.whitening import whiten
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -73,10 +77,34 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_classes(table(spark, sf_dir, "documents"), similarity=0.8)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations that a long can't hold are null."""
+    white = whiten(table(spark, sf_dir, "embeddings"), components=32)
+    long = white.select(F.col("id").alias("vec_id"), "n", F.col("deviation").try_cast("long").alias("deviation"), "explained",
+                        "identity_error", F.posexplode("whitened").alias("place", "whitened"))
+    return long.select("vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "whitened",
+                       F.get("explained", F.col("place")).alias("explained"), "identity_error")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"), every=5).drop("proof")
+
+
+WORDS = "word_bpe_49k.json"
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only the tokenizer queries need it
+
+    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), capacity=4096)
+    return placed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=4096)
+
+
 QUERIES = {"op1_simhash": op1_simhash, "op2_byte_bpe": op2_byte_bpe, "op3_quality": op3_quality,
            "op4_exact_top_k": op4_exact_top_k, "op5_suffix_dedup": op5_suffix_dedup, "op6_url_rules": op6_url_rules, "op7_ann": op7_ann,
            "op8_mix_sources": op8_mix_sources, "op9_toxicity": op9_toxicity,
-           "op10_substring_dedup": op10_substring_dedup}
+           "op10_substring_dedup": op10_substring_dedup, "op11_whitening": op11_whitening, "op12_merkle": op12_merkle,
+           "op13_packing": op13_packing}
 
 OP4_SQL = """
 WITH v AS (
