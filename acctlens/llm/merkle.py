@@ -267,9 +267,10 @@ def merkle_manifest(docs: DataFrame, every: int = 5) -> DataFrame:
     """
     columns = {c: docs[c] for c in FIELDS}
     altered = leaf_digest(columns | {"text": tampered_text(docs["text"])})
-    leaves = docs.select(
+    # written first: finding the ranges reads the rows once more, which should not hash the texts again
+    leaves = stored(docs.select(
         F.coalesce(F.concat(F.lit("+"), docs["source"]), F.lit("")).alias("tree"), docs["doc_id"].cast("long").alias("doc_id"),
-        leaf_digest(columns).alias("digest"), F.when(picked_for_tampering(docs["doc_id"], every), altered).alias("altered"))
+        leaf_digest(columns).alias("digest"), F.when(picked_for_tampering(docs["doc_id"], every), altered).alias("altered")), "merkle_digests")
     by_id = [F.col("doc_id").asc_nulls_first(), F.col("digest")]
     sources = rounds(stored(numbered(leaves, by_id, "merkle_order"), "merkle_leaves"), "merkle_up")
 
