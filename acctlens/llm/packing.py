@@ -18,6 +18,7 @@
 from __future__ import annotations
 
 import bisect
+import os
 import re
 from collections.abc import Iterator
 
@@ -35,8 +36,11 @@ PARTS = 3
 #: A class counts for less in the fit the shorter it is: short pieces fill gaps anyhow.
 LEAST_WEIGHT = 0.1
 
-#: ASCII white space always separates words of this tokenizer, so ids of a text are those of its parts.
-PART = re.compile(rb"[^\x20\x09-\x0D]+")
+#: ASCII white space always separates words of this tokenizer, so ids of a text are those of its parts.  So
+#: does the edge between a word of ASCII letters and the one mark behind it.
+PART = re.compile(rb"[A-Za-z]+(?=[.,;:!?]?(?:[\x20\x09-\x0D]|\Z))|[.,;:!?](?=[\x20\x09-\x0D]|\Z)|[^\x20\x09-\x0D]+")
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+WORD_END = "</w>"
 MEMO_PARTS = 400_000
 LONG_PART = 64
 TEXT_SLICE = 1 << 20
@@ -54,14 +58,33 @@ class Ids:
     those over ``LONG_PART`` bytes never are."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.memo: dict[bytes, bytes] = {}
 
-    def encode(self, parts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-        return [np.fromiter(e.ids, "<u4").tobytes() for e in found]
+    def encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """Words of ASCII letters are one word to the tokenizer, so many are encoded as
+        one text and told apart by the tokens that end a word; other parts
+        are texts of their own."""
+        words = [p for p in parts if p.isalpha()]
+        out: dict[bytes, bytes] = {}
+        if words:
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) == len(words):
+                data, begin = ids.tobytes(), 0
+                for word, end in zip(words, ends):
+                    out[word] = data[begin:end]
+                    begin = end
+        rest = [p for p in parts if p not in out]
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False) if rest else []
+        out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(rest, found))
+        return out
 
     def of(self, text: bytes) -> Iterator[bytes]:
         """Ids of a text, some of it at a time."""
@@ -69,18 +92,31 @@ class Ids:
         while at < len(text):
             end = len(text)
             if end - at > TEXT_SLICE:  # cut before white space, so that no part is cut
-                m = re.compile(rb"[\x20\x09-\x0D]").search(text, at + TEXT_SLICE)
+                m = SPACE.search(text, at + TEXT_SLICE)
                 end = m.start() if m else end
-            parts = PART.findall(text, at, end)
+            some = text[at:end]
             at = end
+            if some.isascii() and b"<|" not in some:  # the tokenizer is blind to case, but for its special tokens
+                some = some.lower()
+            parts = PART.findall(some)
             memo = self.memo
             new = [p for p in dict.fromkeys(parts) if p not in memo]
             if len(memo) + len(new) > MEMO_PARTS:
                 memo.clear()
                 new = list(dict.fromkeys(parts))
-            own = dict(zip(new, self.encode(new))) if new else {}
+            own = self.encode(new) if new else {}
             memo.update((p, i) for p, i in own.items() if len(p) <= LONG_PART)
-            yield b"".join([own[p] if p in own else memo[p] for p in parts])
+            yield b"".join([memo[p] if p in memo else own[p] for p in parts])
+
+
+#: One for each file and Python process: tasks that follow each other share what is remembered.
+_IDS: dict[str, Ids] = {}
+
+
+def ids_by(path: str) -> Ids:
+    if path not in _IDS:
+        _IDS[path] = Ids(path)
+    return _IDS[path]
 
 
 def pieces_of(ids: Iterator[bytes], capacity: int) -> Iterator[tuple[int, int, int, bytes]]:
@@ -108,7 +144,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096) ->
     encoded whole, some MB at a time; a part without white space is held whole."""
 
     def run(batches):
-        ids = Ids(tokenizer_file)
+        ids = ids_by(tokenizer_file)
         out, size = [], 0
         for rb in batches:
             for doc_id, text in zip(rb.column(0).to_pylist(), utf8_rows(rb, "text")):
