@@ -20,7 +20,8 @@ from __future__ import annotations
 import bisect
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +38,16 @@ PARTS = 3
 LEAST_WEIGHT = 0.1
 
 #: ASCII white space always separates words of this tokenizer, so ids of a text are those of its parts.  So
-#: does the edge between a word of ASCII letters and the one mark behind it.
-PART = re.compile(rb"[A-Za-z]+(?=[.,;:!?]?(?:[\x20\x09-\x0D]|\Z))|[.,;:!?](?=[\x20\x09-\x0D]|\Z)|[^\x20\x09-\x0D]+")
+#: does the edge between a word of ASCII or Latin-1 letters and the one mark behind it.
+PART = re.compile(rb"(?:[A-Za-z]++|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])++(?=[.,;:!?]?(?:[\x20\x09-\x0D]|\Z))"
+                  rb"|[.,;:!?](?=[\x20\x09-\x0D]|\Z)|[^\x20\x09-\x0D]+")
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 WORD_END = "</w>"
-MEMO_PARTS = 400_000
+MEMO_PARTS = 600_000
 LONG_PART = 64
 TEXT_SLICE = 1 << 20
 IDS_OUT = 8 << 20
+ROWS_AT_ONCE = 4096
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids", pa.binary())])
@@ -68,25 +71,42 @@ class Ids:
         self.memo: dict[bytes, bytes] = {}
 
     def encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        """Words of ASCII letters are one word to the tokenizer, so many are encoded as
+        """Parts of letters are one word to the tokenizer, so many are encoded as
         one text and told apart by the tokens that end a word; other parts
         are texts of their own."""
-        words = [p for p in parts if p.isalpha()]
+        texts = dict(zip(parts, map(bytes.decode, parts)))
+        words = [p for p, t in texts.items() if t.isalpha()]
         out: dict[bytes, bytes] = {}
         if words:
             ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) == len(words):
-                data, begin = ids.tobytes(), 0
-                for word, end in zip(words, ends):
-                    out[word] = data[begin:end]
-                    begin = end
+                data = ids.tobytes()
+                out.update(zip(words, map(data.__getitem__, map(slice, [0, *ends], ends))))
         rest = [p for p in parts if p not in out]
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False) if rest else []
+        found = self.tokenizer.encode_batch_fast([texts[p] for p in rest], add_special_tokens=False) if rest else []
         out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(rest, found))
         return out
 
-    def of(self, text: bytes) -> Iterator[bytes]:
+    def parts(self, text: bytes) -> list[bytes]:
+        # the tokenizer is blind to case, but for its special tokens and letters that a combining mark follows
+        if b"<|" not in text and b"\xCC" not in text and b"\xCD" not in text:
+            text = text.lower()
+        return PART.findall(text)
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text; what is new in any of them is encoded at once."""
+        split = [self.parts(t) for t in texts]
+        memo = self.memo
+        ids = {p: memo.get(p) for p in dict.fromkeys(chain.from_iterable(split))}  # a small table for many look-ups
+        new = self.encode([p for p, i in ids.items() if i is None])
+        ids.update(new)
+        if len(memo) + len(new) > MEMO_PARTS:
+            memo.clear()
+        memo.update((p, i) for p, i in new.items() if len(p) <= LONG_PART)
+        return [b"".join(map(ids.__getitem__, parts)) for parts in split]
+
+    def of_long(self, text: bytes) -> Iterator[bytes]:
         """Ids of a text, some of it at a time."""
         at = 0
         while at < len(text):
@@ -94,19 +114,8 @@ class Ids:
             if end - at > TEXT_SLICE:  # cut before white space, so that no part is cut
                 m = SPACE.search(text, at + TEXT_SLICE)
                 end = m.start() if m else end
-            some = text[at:end]
+            yield self.of([text[at:end]])[0]
             at = end
-            if some.isascii() and b"<|" not in some:  # the tokenizer is blind to case, but for its special tokens
-                some = some.lower()
-            parts = PART.findall(some)
-            memo = self.memo
-            new = [p for p in dict.fromkeys(parts) if p not in memo]
-            if len(memo) + len(new) > MEMO_PARTS:
-                memo.clear()
-                new = list(dict.fromkeys(parts))
-            own = self.encode(new) if new else {}
-            memo.update((p, i) for p, i in own.items() if len(p) <= LONG_PART)
-            yield b"".join([memo[p] if p in memo else own[p] for p in parts])
 
 
 #: One for each file and Python process: tasks that follow each other share what is remembered.
@@ -119,7 +128,7 @@ def ids_by(path: str) -> Ids:
     return _IDS[path]
 
 
-def pieces_of(ids: Iterator[bytes], capacity: int) -> Iterator[tuple[int, int, int, bytes]]:
+def pieces_of(ids: Iterable[bytes], capacity: int) -> Iterator[tuple[int, int, int, bytes]]:
     """(piece, start, length, ids) of a document whose ids end with END_ID."""
     size, rest, piece = 4 * capacity, b"", 0
 
@@ -143,17 +152,31 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096) ->
     A null text counts as empty and gives END_ID alone.  Texts are
     encoded whole, some MB at a time; a part without white space is held whole."""
 
-    def run(batches):
+    def encoded(batches):
+        """(doc_id, ids, some at a time), short texts by the slice."""
         ids = ids_by(tokenizer_file)
-        out, size = [], 0
+        waiting, size = [], 0
         for rb in batches:
             for doc_id, text in zip(rb.column(0).to_pylist(), utf8_rows(rb, "text")):
-                for piece in pieces_of(ids.of(text), capacity):
-                    out.append((doc_id, *piece))
-                    size += len(piece[3])
-                    if size > IDS_OUT:
-                        yield batch(PIECES, list(zip(*out)))
-                        out, size = [], 0
+                if len(text) > TEXT_SLICE:
+                    yield doc_id, ids.of_long(text)
+                    continue
+                waiting.append((doc_id, text))
+                size += len(text)
+                if size > TEXT_SLICE or len(waiting) == ROWS_AT_ONCE:
+                    yield from ((d, [i]) for (d, _), i in zip(waiting, ids.of([t for _, t in waiting])))
+                    waiting, size = [], 0
+        yield from ((d, [i]) for (d, _), i in zip(waiting, ids.of([t for _, t in waiting])))
+
+    def run(batches):
+        out, size = [], 0
+        for doc_id, ids in encoded(batches):
+            for piece in pieces_of(ids, capacity):
+                out.append((doc_id, *piece))
+                size += len(piece[3])
+                if size > IDS_OUT or len(out) == ROWS_AT_ONCE:
+                    yield batch(PIECES, list(zip(*out)))
+                    out, size = [], 0
         if out:
             yield batch(PIECES, list(zip(*out)))
 
@@ -361,7 +384,7 @@ def placed(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
 
     before = Window.partitionBy("c_length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("_part", "c_length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    ranked = (rows.withColumn("_part", part).join(counts, ["_part", "c_length"])
+    ranked = (rows.withColumn("_part", part).join(counts.hint("merge"), ["_part", "c_length"])
               .withColumn("_rank", F.col("_before") + F.row_number().over(in_task) - 1))
 
     def run(batches):
