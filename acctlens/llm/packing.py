@@ -37,15 +37,14 @@ PARTS = 3
 #: A class counts for less in the fit the shorter it is: short pieces fill gaps anyhow.
 LEAST_WEIGHT = 0.1
 
-#: ASCII white space always separates words of this tokenizer, so ids of a text are those of its parts.  So
-#: does the edge between a word of ASCII or Latin-1 letters and the one mark behind it.
-PART = re.compile(rb"(?:[A-Za-z]++|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])++(?=[.,;:!?]?(?:[\x20\x09-\x0D]|\Z))"
-                  rb"|[.,;:!?](?=[\x20\x09-\x0D]|\Z)|[^\x20\x09-\x0D]+")
+#: ASCII white space (what bytes.split() splits at) always separates words of this tokenizer, so ids of a text
+#: are those of its parts; so does the edge between letters and one mark behind them.
+MARKS = ".,;:!?"
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 WORD_END = "</w>"
-MEMO_PARTS = 600_000
+MEMO_PARTS = 1_000_000
 LONG_PART = 64
-TEXT_SLICE = 1 << 20
+TEXT_SLICE = 3 << 20
 IDS_OUT = 8 << 20
 ROWS_AT_ONCE = 4096
 
@@ -69,22 +68,37 @@ class Ids:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.memo: dict[bytes, bytes] = {}
+        self.marks = {m: self.one(m) for m in MARKS}
+
+    def one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
         """Parts of letters are one word to the tokenizer, so many are encoded as
-        one text and told apart by the tokens that end a word; other parts
-        are texts of their own."""
-        texts = dict(zip(parts, map(bytes.decode, parts)))
-        words = [p for p, t in texts.items() if t.isalpha()]
+        one text and told apart by the tokens that end a word; a mark behind them
+        adds its own ids; other parts are texts of their own."""
+        words: dict[str, list[tuple[bytes, bytes]]] = {}
+        rest = []
+        for p, t in zip(parts, map(bytes.decode, parts)):
+            if t.isalpha():
+                words.setdefault(t, []).append((p, b""))
+            elif t[-1] in self.marks and t[:-1].isalpha():
+                words.setdefault(t[:-1], []).append((p, self.marks[t[-1]]))
+            else:
+                rest.append(p)
         out: dict[bytes, bytes] = {}
         if words:
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            data, begin = ids.tobytes(), 0
             if len(ends) == len(words):
-                data = ids.tobytes()
-                out.update(zip(words, map(data.__getitem__, map(slice, [0, *ends], ends))))
-        rest = [p for p in parts if p not in out]
-        found = self.tokenizer.encode_batch_fast([texts[p] for p in rest], add_special_tokens=False) if rest else []
+                for end, uses in zip(ends, words.values()):
+                    for p, mark in uses:
+                        out[p] = data[begin:end] + mark
+                    begin = end
+            else:
+                rest = parts
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False) if rest else []
         out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(rest, found))
         return out
 
@@ -92,18 +106,21 @@ class Ids:
         # the tokenizer is blind to case, but for its special tokens and letters that a combining mark follows
         if b"<|" not in text and b"\xCC" not in text and b"\xCD" not in text:
             text = text.lower()
-        return PART.findall(text)
+        return text.split()
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; what is new in any of them is encoded at once."""
         split = [self.parts(t) for t in texts]
         memo = self.memo
-        ids = {p: memo.get(p) for p in dict.fromkeys(chain.from_iterable(split))}  # a small table for many look-ups
+        distinct = dict.fromkeys(chain.from_iterable(split))
+        ids = dict(zip(distinct, map(memo.get, distinct)))  # a small table for many look-ups
         new = self.encode([p for p, i in ids.items() if i is None])
         ids.update(new)
         if len(memo) + len(new) > MEMO_PARTS:
             memo.clear()
-        memo.update((p, i) for p, i in new.items() if len(p) <= LONG_PART)
+        for p in [p for p in new if len(p) > LONG_PART]:
+            del new[p]
+        memo.update(new)
         return [b"".join(map(ids.__getitem__, parts)) for parts in split]
 
     def of_long(self, text: bytes) -> Iterator[bytes]:
@@ -384,7 +401,7 @@ def placed(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
 
     before = Window.partitionBy("c_length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("_part", "c_length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    ranked = (rows.withColumn("_part", part).join(counts.hint("merge"), ["_part", "c_length"])
+    ranked = (rows.withColumn("_part", part).join(counts.hint("shuffle_hash"), ["_part", "c_length"])
               .withColumn("_rank", F.col("_before") + F.row_number().over(in_task) - 1))
 
     def run(batches):
