@@ -42,9 +42,9 @@ LEAST_WEIGHT = 0.1
 MARKS = ".,;:!?"
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 WORD_END = "</w>"
-MEMO_PARTS = 1_000_000
+MEMO_PARTS = 600_000
 LONG_PART = 64
-TEXT_SLICE = 3 << 20
+TEXT_SLICE = 2 << 20
 IDS_OUT = 8 << 20
 ROWS_AT_ONCE = 4096
 
@@ -61,9 +61,14 @@ class Ids:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # for words of ASCII letters in lower case, which the normaliser leaves as they are and white space separates
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -87,17 +92,20 @@ class Ids:
             else:
                 rest.append(p)
         out: dict[bytes, bytes] = {}
-        if words:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        plain = [w for w in words if w.isascii() and w.islower()]
+        for some, tokenizer in ((plain, self.plain), ([w for w in words if not (w.isascii() and w.islower())], self.tokenizer)):
+            if not some:
+                continue
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(some):
+                rest += [p for w in some for p, _ in words[w]]
+                continue
             data, begin = ids.tobytes(), 0
-            if len(ends) == len(words):
-                for end, uses in zip(ends, words.values()):
-                    for p, mark in uses:
-                        out[p] = data[begin:end] + mark
-                    begin = end
-            else:
-                rest = parts
+            for w, end in zip(some, ends):
+                for p, mark in words[w]:
+                    out[p] = data[begin:end] + mark
+                begin = end
         found = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False) if rest else []
         out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(rest, found))
         return out
