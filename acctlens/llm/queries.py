@@ -150,4 +150,62 @@ m AS (SELECT u.*, h || p AS rule, v, row_number() OVER (
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
 """
 
-ORACLE_SQL = {"op4_exact_top_k": OP4_SQL, "op5_suffix_dedup": OP5_SQL, "op6_url_rules": OP6_SQL}
+# one statement a level: runs of 16 hash to their parent while a tree has more than one node
+MERKLE_LEVELS, MERKLE_TOP = 6, 4
+
+
+def _merkle_levels(name: str, levels: int) -> str:
+    """CTEs ``name``0 (tree, pos, total, digest) are given; adds the levels above and, for each, its runs."""
+    out = []
+    for k in range(levels):
+        out.append(f"{name}run{k} AS (SELECT tree, pos // 16 AS run, any_value(total) AS total, list(digest ORDER BY pos) AS ds "
+                   f"FROM {name}{k} GROUP BY tree, pos // 16)")
+        out.append(f"{name}{k + 1} AS (SELECT tree, run AS pos, (total + 15) // 16 AS total, "
+                   f"CASE WHEN total = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS digest FROM {name}run{k})")
+    return ",\n".join(out)
+
+
+def _merkle_path(rows: str, name: str, levels: int, tag: str) -> str:
+    """CTEs that lead ``rows`` (tree, pos, proof, folded, ...) up through the levels of ``name``."""
+    out, last = [], rows
+    for k in range(levels):
+        at = f"(a.pos // {16 ** k})"
+        before, after = f"array_to_string(ds[1:{at} % 16], '')", f"array_to_string(ds[{at} % 16 + 2:], '')"
+        out.append(f"{tag}{k} AS (SELECT a.* REPLACE (CASE WHEN r.total = 1 THEN proof ELSE proof || {before} || {after} END AS proof, "
+                   f"CASE WHEN r.total = 1 THEN folded ELSE sha256({before} || folded || {after}) END AS folded) "
+                   f"FROM {last} a JOIN {name}run{k} r ON a.tree = r.tree AND {at} // 16 = r.run)")
+        last = f"{tag}{k}"
+    return ",\n".join(out)
+
+
+def _crc32(text: str) -> str:
+    byte = ("list_reduce([xor(c, b)] || [0::ubigint FOR _ IN range(8)], "
+            "lambda r, z: xor(r >> 1, 3988292384::ubigint * (r & 1)))")
+    return (f"(4294967295 - list_reduce([4294967295::ubigint] || [ascii(x)::ubigint FOR x IN string_split({text}, '')], "
+            f"lambda c, b: {byte}))")
+
+
+def _merkle_leaf(text: str) -> str:
+    fields = [f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+OP12_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce('+' || source, '') AS tree, {_merkle_leaf("text")} AS leaf,
+                  {_merkle_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered FROM documents),
+doc AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS total,
+               CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id::varchar")} % 5 = 0 THEN lowered ELSE leaf END AS first FROM d),
+s0 AS (SELECT tree, pos, total, leaf AS digest FROM doc),
+{_merkle_levels("s", MERKLE_LEVELS)},
+t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS total, digest, tree AS source FROM s{MERKLE_LEVELS}),
+{_merkle_levels("t", MERKLE_TOP)},
+p AS (SELECT doc_id, tree, pos, leaf, '' AS proof, first AS folded FROM doc),
+{_merkle_path("p", "s", MERKLE_LEVELS, "up")},
+q AS (SELECT u.doc_id, u.leaf, t0.digest AS subroot, u.proof, u.folded, t0.tree, t0.pos FROM up{MERKLE_LEVELS - 1} u JOIN t0 ON u.tree = t0.source),
+{_merkle_path("q", "t", MERKLE_TOP, "on")}
+SELECT doc_id, leaf, subroot, (SELECT digest FROM t{MERKLE_TOP}) AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+       folded = (SELECT digest FROM t{MERKLE_TOP}) AS verified
+FROM on{MERKLE_TOP - 1}
+"""
+
+ORACLE_SQL = {"op12_merkle": OP12_SQL, "op4_exact_top_k": OP4_SQL, "op5_suffix_dedup": OP5_SQL, "op6_url_rules": OP6_SQL}
