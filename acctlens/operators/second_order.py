@@ -54,10 +54,11 @@ def _window_end(chained: bool):
 
 def second_order_stats(first: DataFrame, cfg: AnalyzerConfig, exact: bool = False, key: str = "aggField1",
                        agg_name: str = STATS_AGG_NAME, watermark_seconds: int | None = None,
-                       chained: bool = False) -> DataFrame:
+                       chained: bool = False, keep_event_time: bool = False) -> DataFrame:
     """``aggName, timestamp, aggField1, mean, stdDev, samples``.
     ``exact=True`` gives real-valued mean and standard deviation;
-    ``chained=True`` reads a streaming stage-1 result with its ``window``."""
+    ``chained=True`` reads a streaming stage-1 result with its ``window``;
+    ``keep_event_time`` adds ``eventTime``, which carries the watermark on."""
     n_s = cfg.sample_size
     g = _windowed(first, cfg, key, watermark_seconds, chained).agg(
         F.count("value").alias("_n"), F.sum("value").alias("_s"),
@@ -76,7 +77,8 @@ def second_order_stats(first: DataFrame, cfg: AnalyzerConfig, exact: bool = Fals
         std = F.sqrt(var.cast("double"))
     return g.select(F.lit(agg_name).alias("aggName"), _window_end(chained).alias("timestamp"),
                     F.col(key).alias("aggField1"), mean.cast("double").alias("mean"),
-                    std.alias("stdDev"), F.col("_n").cast("int").alias("samples"))
+                    std.alias("stdDev"), F.col("_n").cast("int").alias("samples"),
+                    *([F.window_time("window").alias("eventTime")] if keep_event_time else []))
 
 
 def second_order_values(first: DataFrame, cfg: AnalyzerConfig, key: str = "aggField1",

@@ -332,6 +332,8 @@ WHERE ok.longest <= 240"""
 WM_ALIVE = f"(SELECT max(date) FROM cdr) - INTERVAL {CFG.alive_watermark_seconds} SECOND"
 WM_STOP = f"(SELECT max(date) FROM cdr) - INTERVAL {CFG.stop_watermark_seconds} SECOND"
 SQL["stream_alive_count"] = with_ctes(ALIVE) + f"\nSELECT * FROM alive WHERE timestamp <= {WM_ALIVE}"
+SQL["stream_restart"] = with_ctes(ALIVE) + f"\nSELECT aggName, timestamp, aggField1, value FROM alive WHERE timestamp <= {WM_ALIVE}"
+SQL["stream_minute_files"] = SQL["minute_files"]
 SQL["stream_stop_cause"] = with_ctes(STOPS) + f"\nSELECT * FROM stops WHERE timestamp <= {WM_STOP}"
 SQL["stream_second_order"] = with_ctes(ALIVE, STATS_RAW, STATS) + f"\nSELECT * FROM stats WHERE timestamp <= {WM_ALIVE}"
 _CLOSED_STOPS = STOPS.replace("stops AS (", "stops_all AS (") + f""",
@@ -355,6 +357,25 @@ SQL["alive_count_filled"] = with_ctes(ALIVE, FILLED) + "\nSELECT aggName, timest
 SQL["alive_anomalies_filled"] = with_ctes(ALIVE, STATS_RAW, STATS, FILLED, LATEST.replace("FROM alive c", "FROM filled c")) + f"""
 SELECT * FROM latest WHERE statsTimestamp IS NOT NULL AND (mean - value) > {float(CFG.bras_std_dev_anomaly)} * stdDev"""
 SQL["stream_second_order_batches"] = SQL["stream_second_order"]
+# a server whose lines name another from a time on; zeros from its first window to the last that is closed
+_FAILOVER = CDR.replace("cdr AS (", "cdr_all AS (") + """,
+cdr AS (SELECT * REPLACE (CASE WHEN nasIpAddress = '10.0.0.3' AND date >= TIMESTAMP '2024-01-16 00:00:00' THEN '10.0.0.4'
+                               ELSE nasIpAddress END AS nasIpAddress) FROM cdr_all)"""
+_LIVE_FILLED = f"""
+closing AS (SELECT {WM_ALIVE} AS wm),
+seen AS (SELECT aggName, aggField1, min(timestamp) AS since FROM alive GROUP BY 1, 2),
+filled AS (
+  SELECT k.aggName, t.timestamp, k.aggField1,
+         COALESCE((SELECT a.value FROM alive a WHERE a.aggField1 = k.aggField1 AND a.timestamp = t.timestamp), 0) AS value
+  FROM (SELECT unnest(generate_series((SELECT min(since) FROM seen), (SELECT wm FROM closing),
+                                      INTERVAL {CFG.bras_agg1_seconds} SECOND)) AS timestamp) t, seen k
+  WHERE t.timestamp >= k.since)"""
+SQL["stream_alive_anomalies_filled"] = ("WITH " + LINES + "," + SPLIT + "," + _FAILOVER + "," + _CLOSED_ALIVE + "," + STATS_RAW + ","
+                                        + STATS + "," + _LIVE_FILLED + "," + LATEST.replace("FROM alive c", "FROM filled c") + f"""
+SELECT aggName, timestamp, aggField1, value, statsTimestamp, mean, stdDev FROM latest
+WHERE statsTimestamp IS NOT NULL AND (mean - value) > {float(CFG.bras_std_dev_anomaly)} * stdDev""")
+SQL["stream_index_docs"] = with_ctes(_CLOSED_ALIVE) + """
+SELECT value, epoch_us(timestamp) // 1000 AS timestamp, aggName, aggField1, aggField1 AS nasIpAddress FROM alive"""
 # every statistic that the final watermark closes
 SQL["stream_stats_docs"] = with_ctes(ALIVE, STATS_RAW, STATS) + f"""
 SELECT mean, stdDev, epoch_us(timestamp) // 1000 AS timestamp, aggName, aggField1, aggField1 AS nasIpAddress FROM stats

@@ -9,6 +9,7 @@ matching SQL.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,11 +22,11 @@ from acctlens.operators import second_order as so
 from acctlens.operators import replay as rp
 from acctlens.session import materialize, scratch_path
 from acctlens.sources.minute_files import minute_file_lines, write_minute_files
+from acctlens.sinks.committed import CommittedTable
 from acctlens.streaming import jobs
+from acctlens.streaming.minutes import LINES, lines_of_table, replay_stream
 from acctlens.plans.common import CFG, lines, records, to_output
-from acctlens.schema import INDEX_DOC_2_SCHEMA
 from acctlens.sinks.documents import index_documents_1, index_documents_2
-from acctlens.sinks.topics import read_batch_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -288,6 +289,28 @@ def q_minute_files(spark, sf_dir):
     return to_output(minute_file_lines(spark, root, REPLAY_START_TEXT, "partitioned", MINUTE_FILES_MAX_MISSING))
 
 
+# the minutes of these days arrive after all others
+LATE_DAYS = ("2024-01-08", "2024-01-13")
+
+
+def q_stream_minute_files(spark, sf_dir):
+    """The same replay as a stream: the present minutes arrive in five batches,
+    those of some days only in the last; lines are committed as minutes are released."""
+    root = scratch_path(spark, "minute_stream", unique=True)
+    write_minute_files(lines(spark, sf_dir), f"{root}/recorded")
+    present = spark.read.schema("leaf string, minute timestamp").parquet(f"{root}/recorded/minutes")
+    late = F.to_date("minute").between(*LATE_DAYS)
+    turn = F.when(late, 4).otherwise(F.least(F.floor(F.datediff("minute", F.lit(REPLAY_START.date())) / 7), F.lit(3)))
+    arrival = F.greatest(turn, F.lit(0)).alias("arrival")
+    for n in range(5):
+        present.filter(arrival == n).coalesce(1).write.mode("append").parquet(f"{root}/arrived")
+    arrived = spark.readStream.schema("leaf string, minute timestamp").option("maxFilesPerTrigger", 1).parquet(f"{root}/arrived")
+    out = CommittedTable(spark, f"{root}/replayed", LINES, "minute")
+    replay_stream(arrived.withColumn("path", F.lit(None)), REPLAY_START_TEXT, out, f"{root}/_ck", lines_of_table(f"{root}/recorded"),
+                  MINUTE_FILES_MAX_MISSING).awaitTermination()
+    return to_output(out.read())
+
+
 def _stream_records(spark, sf_dir, files: int | None = None):
     return ingest.parse_cdr(jobs.event_line_stream(spark, sf_dir, files))
 
@@ -304,6 +327,26 @@ def q_stream_alive_count(spark, sf_dir):
     return to_output(_run_to_table(spark, fo.alive_counts(records, CFG, streaming=True), "alive_count"))
 
 
+def q_stream_restart(spark, sf_dir):
+    """Streamed Alive counts on a processing-time trigger: the query is stopped after
+    some micro-batches and started again from its checkpoint."""
+    root = scratch_path(spark, "streams/restart", unique=True)
+    out = jobs.output(spark, root, "counts")
+    counts = fo.alive_counts(_stream_records(spark, sf_dir, files=1), CFG, streaming=True)
+
+    def start():
+        return jobs.with_batches(counts, lambda batch, n: out.write(batch, n) and None, f"{root}/_ck", trigger_seconds=1)
+
+    query = start()
+    while query.isActive and (query.lastProgress is None or query.lastProgress.batchId < 2):
+        time.sleep(0.2)
+    query.stop()
+    query = start()
+    query.processAllAvailable()
+    query.stop()
+    return to_output(out.read())
+
+
 def q_stream_stop_cause(spark, sf_dir):
     records = _stream_records(spark, sf_dir, files=1)
     return to_output(_run_to_table(spark, fo.stop_cause_counts(records, CFG, streaming=True), "stop_cause"))
@@ -328,45 +371,65 @@ def q_stream_hop_second_order(spark, sf_dir):
     return to_output(_run_to_table(spark, stats, "hop_stats"))
 
 
+def _analyzer(spark, sf_dir, *only, lines=None, files=2, **options):
+    """The analyzer as it is deployed, or some queries of it, over line files in
+    event-time order; returns the folder of its outputs."""
+    root = scratch_path(spark, "streams/analyzer", unique=True)
+    lines = jobs.event_line_stream(spark, sf_dir, files) if lines is None else lines
+    if only:
+        options["only"] = only
+    for q in jobs.run_analyzer(spark, lines, CFG, root, trigger=False, **options):
+        q.awaitTermination()
+    return root
+
+
 def q_stream_bad_sessions(spark, sf_dir):
-    """Micro-batch cause mix (reference batch scope) written per batch_id."""
-    root = scratch_path(spark, "streams/bad_sessions", unique=True)
-    stops = fo.stop_cause_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
-    jobs.with_batches(stops, jobs.bad_session_batch(CFG, root), f"{root}/_ck").awaitTermination()
-    return spark.read.option("basePath", f"{root}/cause_mix").parquet(f"{root}/cause_mix/batch_id=*").drop("batch_id")
+    """Micro-batch cause mix (reference batch scope), all closed windows in one batch."""
+    return jobs.output(spark, _analyzer(spark, sf_dir, "bad_sessions", files=None), "cause_mix").read()
 
 
 def q_stream_kmeans_outliers(spark, sf_dir):
     """Micro-batch k-means predictions: each server with whether its
     sigma-outlier flag is the rule's."""
-    root = scratch_path(spark, "streams/bad_sessions_km", unique=True)
-    stops = fo.stop_cause_counts(_stream_records(spark, sf_dir), CFG, streaming=True)
-    jobs.with_batches(stops, jobs.bad_session_batch(CFG, root), f"{root}/_ck").awaitTermination()
-    schema = "aggField1 string, prediction int, distanceFromCenter double, batch_id int"
-    preds = read_batch_table(spark, f"{root}/predictions", schema)
-    flagged = read_batch_table(spark, f"{root}/outliers", schema).select("aggField1", F.lit(True).alias("flag"))
+    root = _analyzer(spark, sf_dir, "bad_sessions", files=None)
+    preds = jobs.output(spark, root, "predictions").read()
+    flagged = jobs.output(spark, root, "outliers").read().select("aggField1", F.lit(True).alias("flag"))
     return _rule_checks(preds.join(flagged, ["aggField1"], "left").fillna(False, ["flag"]), ["aggField1"], "flag")
 
 
-def _analyzer(spark, sf_dir):
-    """The analyzer as it is deployed: all queries of ``run_analyzer`` at once
-    over one line file a micro-batch; returns the folder of its outputs."""
-    root = scratch_path(spark, "streams/analyzer", unique=True)
-    started = jobs.run_analyzer(spark, jobs.event_line_stream(spark, sf_dir, 2), CFG, root, trigger=False)
-    for q in started:
-        q.awaitTermination()
-    jobs.judge_counts(spark, CFG, root, 1 << 30, rest=True)
-    return root
-
-
 def q_stream_alive_anomalies(spark, sf_dir):
-    """Anomalies of the two concurrent streams."""
-    return to_output(read_batch_table(spark, f"{_analyzer(spark, sf_dir)}/anomalies", jobs.ANOMALY_SCHEMA))
+    """Anomalies that the running analyzer finds, all of its queries at once."""
+    return to_output(jobs.output(spark, _analyzer(spark, sf_dir), "anomalies").read())
 
 
 def q_stream_stats_docs(spark, sf_dir):
-    """Stage-2 documents that the running analyzer wrote."""
-    return read_batch_table(spark, f"{_analyzer(spark, sf_dir)}/stats_docs", INDEX_DOC_2_SCHEMA)
+    """Stage-2 documents that the running analyzer commits."""
+    return jobs.output(spark, _analyzer(spark, sf_dir, "stats"), "stats_docs").read()
+
+
+def q_stream_index_docs(spark, sf_dir):
+    """Stage-1 documents that the running analyzer commits."""
+    return jobs.output(spark, _analyzer(spark, sf_dir, "alive"), "agg_docs").read()
+
+
+# stand-in input with a server that stops: from this time on its sessions are served by another
+FAILOVER_FROM, FAILOVER_TO = ("bras3", "10.0.0.3"), ("bras4", "10.0.0.4")
+FAILOVER_TIME = "2024/01/16 00:00:00"
+
+
+def failover_lines(lines_):
+    """All lines; fields 11 and 12 of those that a server would have sent after it stopped name the other."""
+    f = F.split(F.col("value"), ",", -1)
+    moved = (F.substring_index("value", ",", 1) >= FAILOVER_TIME) & (F.get(f, 12) == FAILOVER_FROM[1])
+    other = F.array_join(F.concat(F.slice(f, 1, 11), F.array(*map(F.lit, FAILOVER_TO)), F.slice(f, 14, 100)), ",")
+    return lines_.select(F.when(moved, other).otherwise(F.col("value")).alias("value"))
+
+
+def q_stream_alive_anomalies_filled(spark, sf_dir):
+    """The live check with zero windows for silent servers; one stops mid-stream."""
+    lines_ = failover_lines(jobs.event_line_stream(spark, sf_dir, 2))
+    root = _analyzer(spark, sf_dir, "anomalies", lines=lines_, fill=True)
+    return to_output(jobs.output(spark, root, "anomalies").read())
 
 
 def q_alive_anomalies_filled(spark, sf_dir):
@@ -410,14 +473,18 @@ QUERIES: dict[str, Query] = {
     "replay_rebase": q_replay_rebase,
     "replay_publish": q_replay_publish,
     "minute_files": q_minute_files,
+    "stream_minute_files": q_stream_minute_files,
     "stream_alive_count": q_stream_alive_count,
+    "stream_restart": q_stream_restart,
     "stream_stop_cause": q_stream_stop_cause,
     "stream_second_order": q_stream_second_order,
     "stream_hop_second_order": q_stream_hop_second_order,
     "stream_bad_sessions": q_stream_bad_sessions,
     "stream_kmeans_outliers": q_stream_kmeans_outliers,
     "stream_alive_anomalies": q_stream_alive_anomalies,
+    "stream_alive_anomalies_filled": q_stream_alive_anomalies_filled,
     "stream_stats_docs": q_stream_stats_docs,
+    "stream_index_docs": q_stream_index_docs,
     "stream_second_order_batches": q_stream_second_order_batches,
     "alive_anomalies_filled": q_alive_anomalies_filled,
     "replay_quarantine": q_replay_quarantine,

@@ -63,7 +63,8 @@ def write_minute_files(lines: DataFrame, root: str, leaf_position: int = 11, pre
     return lines.sparkSession.read.text(f"{root}/undated").count()
 
 
-def _name_parts(path):
+def name_parts(path):
+    """leaf and minute of a file's path."""
     leaf = F.regexp_extract(path, r"/([^/]+)/cdr\.[^/]*$", 1)
     minute = F.to_timestamp(F.regexp_extract(path, r"cdr\.([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}-[0-9]{2})\.txt$", 1),
                             FILE_MINUTE_FORMAT)
@@ -73,22 +74,26 @@ def _name_parts(path):
 def present_minutes(spark: SparkSession, root: str, layout: str) -> DataFrame:
     """(leaf, minute) with a file."""
     root = root.rstrip("/")
-    if layout == "reference":  # the listing that a scan of the folder begins with; empty files are in it
-        files = spark.read.text(f"{root}/*/cdr.*.txt").inputFiles()
-        return spark.createDataFrame([(x,) for x in files], "path string").select(*_name_parts(F.col("path"))).distinct()
+    if layout == "reference":  # one row a file, empty ones included; contents are not read
+        files = spark.read.format("binaryFile").load(f"{root}/*/cdr.*.txt").select("path")
+        return files.select(*name_parts(F.col("path"))).distinct()
     if layout == "partitioned":
         return spark.read.schema("leaf string, minute timestamp").parquet(f"{root}/minutes")
     raise ValueError(f"unknown minute-file layout {layout!r}")
 
 
+def dated_lines(spark: SparkSession, root: str, since: dt.date) -> DataFrame:
+    """leaf, day, minute, value of the partitioned layout, from a day on (partition pruning)."""
+    df = spark.read.schema("value string, leaf string, day date").text(f"{root}/lines")
+    return df.filter(F.col("day") >= F.lit(since)).select("leaf", "day", _line_minute(F.col("value")).alias("minute"), "value")
+
+
 def _lines(spark: SparkSession, root: str, layout: str, start: dt.datetime) -> DataFrame:
     root = root.rstrip("/")
     if layout == "reference":
         df = spark.read.text(f"{root}/*/cdr.*.txt").select("value", F.col("_metadata.file_path").alias("_p"))
-        return df.select(*_name_parts(F.col("_p")), "value")
-    df = spark.read.schema("value string, leaf string, day date").text(f"{root}/lines")
-    df = df.filter(F.col("day") >= F.lit(start.date()))        # partition pruning
-    return df.select("leaf", _line_minute(F.col("value")).alias("minute"), "value")
+        return df.select(*name_parts(F.col("_p")), "value")
+    return dated_lines(spark, root, start.date()).select("leaf", "minute", "value")
 
 
 def replay_cutoffs(minutes: DataFrame, start: dt.datetime, max_missing: int = DEFAULT_MAX_MISSING) -> DataFrame:

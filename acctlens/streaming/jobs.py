@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from acctlens.config import AnalyzerConfig
-from acctlens.operators import anomaly, cause_mix as cm, outliers as ol
+from acctlens.operators import cause_mix as cm, outliers as ol
 from acctlens.operators.first_order import ALIVE_AGG_NAME, agg_lines, alive_counts, stop_cause_counts
 from acctlens.operators.ingest import parse_agg_line, parse_cdr
 from acctlens.operators.second_order import second_order_stats
+from acctlens.schema import INDEX_DOC_1_SCHEMA, INDEX_DOC_2_SCHEMA
+from acctlens.sinks.committed import CommittedTable
 from acctlens.sinks.documents import index_documents_1, index_documents_2
-from acctlens.sinks.topics import head_sorted, read_batch_table, write_batch_table, write_topic
+from acctlens.sinks.topics import head_sorted, write_topic
 from acctlens.sources.events import event_lines_path
+from acctlens.streaming.live import batch_anomalies, live_candidates, use_keyed_timers
 
 
 def event_line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -80,14 +83,40 @@ def hop_second_stage(agg_line_stream: DataFrame, cfg: AnalyzerConfig) -> DataFra
     return second_order_stats(first, cfg, watermark_seconds=cfg.agg_watermark_seconds)
 
 
-def alive_monitor_batch(cfg: AnalyzerConfig, out_root: str, topic: tuple[str, str] | None = None,
-                        show: int = 0) -> Callable[[DataFrame, int], None]:
+COUNTS_SCHEMA = "aggName string, timestamp timestamp, aggField1 string, value long"
+STATS_SCHEMA = "aggName string, timestamp timestamp, aggField1 string, mean double, stdDev double, samples int"
+ANOMALY_SCHEMA = ("aggName string, timestamp timestamp, aggField1 string, value long, statsTimestamp timestamp, "
+                  "mean double, stdDev double")
+PREDICTION_SCHEMA = "aggField1 string, prediction int, distanceFromCenter double"
+
+#: The analyzer's tables: schema and event-time column.
+OUTPUTS = {
+    "agg_records": ("key string, value string", None),
+    "agg_docs": (INDEX_DOC_1_SCHEMA, None),
+    "counts": (COUNTS_SCHEMA, "timestamp"),
+    "stats_docs": (INDEX_DOC_2_SCHEMA, None),
+    "stats": (STATS_SCHEMA, "timestamp"),
+    "anomalies": (ANOMALY_SCHEMA, "timestamp"),
+    "cause_mix": ("aggField1 string, causeIndex int, cause string, ratioSum double, minSumPerBras long", None),
+    "predictions": (PREDICTION_SCHEMA, None),
+    "outliers": (PREDICTION_SCHEMA, None),
+}
+
+
+def output(spark: SparkSession, out_root: str, name: str) -> CommittedTable:
+    schema, time = OUTPUTS[name]
+    return CommittedTable(spark, f"{out_root}/{name}", schema, time)
+
+
+def alive_monitor_batch(out_root: str, topic: tuple[str, str] | None = None, show: int = 0) -> Callable[[DataFrame, int], None]:
     """Multi-output sink for stage-1 counts, per micro-batch: optional
     console head, message records (topic, or a table when no broker is
-    configured), index documents, the counts themselves, and the anomaly check
-    of what can be judged now.  The batch is persisted once and released after."""
+    configured), index documents and the counts themselves.  The batch is
+    persisted once and released after.  Each table commits the batch for itself; a
+    retry writes those that have not."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch = batch.persist()
         try:
             if show:
@@ -96,75 +125,64 @@ def alive_monitor_batch(cfg: AnalyzerConfig, out_root: str, topic: tuple[str, st
             if topic:
                 write_topic(records, topic[0], topic[1])
             else:
-                write_batch_table(records, f"{out_root}/agg_records", batch_id)
-            write_batch_table(index_documents_1(batch), f"{out_root}/agg_docs", batch_id)
-            counts = batch.select("aggName", "timestamp", "aggField1", "value", F.to_date("timestamp").alias("day"))
-            write_batch_table(counts, f"{out_root}/counts", batch_id, by=("day",))
+                output(spark, out_root, "agg_records").write(records, batch_id)
+            output(spark, out_root, "agg_docs").write(index_documents_1(batch), batch_id)
+            output(spark, out_root, "counts").write(batch, batch_id)
         finally:
             batch.unpersist()
-        judge_counts(batch.sparkSession, cfg, out_root, batch_id)
 
     return run
 
 
-COUNTS_SCHEMA = "aggName string, timestamp timestamp, aggField1 string, value long, day date"
-STATS_SCHEMA = "aggName string, timestamp timestamp, aggField1 string, mean double, stdDev double, samples int, day date"
-ANOMALY_SCHEMA = ("aggName string, timestamp timestamp, aggField1 string, value long, statsTimestamp timestamp, "
-                  "mean double, stdDev double")
-
-
-def judge_counts(spark: SparkSession, cfg: AnalyzerConfig, out_root: str, batch_id: int, rest: bool = False) -> None:
-    """Judge counts against the statistics in a defined order, whatever
-    the pace of the two streams: a count is judged once all statistics up to its own
-    timestamp are written, and waits for a later call until then.  ``rest``
-    judges what is left at the end of the input.  Each count is judged once: by the
-    first call whose ``judged`` mark reaches its timestamp."""
-    stats = read_batch_table(spark, f"{out_root}/stats", STATS_SCHEMA)
-    counts = read_batch_table(spark, f"{out_root}/counts", COUNTS_SCHEMA)
-    marks = read_batch_table(spark, f"{out_root}/judged", "upto timestamp, batch_id int").filter(F.col("batch_id") < batch_id)
-    since = marks.agg(F.max("upto")).first()[0]
-    newest = [t.agg(F.max("timestamp")).first()[0] for t in ([counts] if rest else [counts, stats])]
-    upto = None if None in newest else min(newest)  # both tables are whole up to there
-    if upto is None or since is not None and upto <= since:
-        upto = since
-        pending = counts.limit(0)
-    else:
-        pending = counts.filter(F.col("timestamp") <= F.lit(upto)).filter(F.col("day") <= F.to_date(F.lit(upto)))
-        if since is not None:
-            pending = pending.filter(F.col("timestamp") > F.lit(since)).filter(F.col("day") >= F.to_date(F.lit(since)))
-            look = F.lit(since) - F.expr(f"INTERVAL {cfg.lookback_seconds} SECONDS")
-            stats = stats.filter((F.col("day") >= F.to_date(look)) & (F.col("timestamp") > look))
-    write_batch_table(anomaly.alive_anomalies(pending, stats, cfg), f"{out_root}/anomalies", batch_id)
-    write_batch_table(spark.createDataFrame([(upto,)], "upto timestamp"), f"{out_root}/judged", batch_id)
-
-
 def stats_batch(out_root: str, show: int = 0) -> Callable[[DataFrame, int], None]:
-    """Stage-2 sink: the statistics by day (lookups read only the days they
-    reach) and their index documents (``samples`` dropped)."""
+    """Stage-2 sink: the statistics by day and their index documents
+    (``samples`` dropped)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch = batch.persist()
         try:
             if show:
                 head_sorted(batch, show, "timestamp", "aggField1").show(show, truncate=False)
-            write_batch_table(index_documents_2(batch), f"{out_root}/stats_docs", batch_id)
-            write_batch_table(batch.withColumn("day", F.to_date("timestamp")), f"{out_root}/stats", batch_id, by=("day",))
+            output(spark, out_root, "stats_docs").write(index_documents_2(batch), batch_id)
+            output(spark, out_root, "stats").write(batch, batch_id)
         finally:
             batch.unpersist()
 
     return run
 
 
+def anomaly_batch(cfg: AnalyzerConfig, out_root: str, show: int = 0) -> Callable[[DataFrame, int], None]:
+    """Sink of the live check: what it finds, committed per micro-batch."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        found = batch_anomalies(batch, cfg)
+        if show:
+            head_sorted(found, show, "timestamp", "aggField1").show(show, truncate=False)
+        output(batch.sparkSession, out_root, "anomalies").write(found, batch_id)
+
+    return run
+
+
 def bad_session_batch(cfg: AnalyzerConfig, out_root: str, labels: list[str] | None = None,
                       show: int = 0) -> Callable[[DataFrame, int], None]:
     """Per micro-batch: ratios (batch scope), feature pipeline fitted on the
     batch (or fixed ``labels``), cause-mix vectors, k-means, distance to
-    own centre and sigma outliers, each written as ``batch_id`` partition."""
+    own centre and sigma outliers, each committed; a batch without rows, or with
+    too few to cluster, commits empty ones."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mix, predictions, outliers = (output(spark, out_root, x) for x in ("cause_mix", "predictions", "outliers"))
+
+        def nothing(table: CommittedTable) -> None:
+            table.write(spark.createDataFrame([], table.schema), batch_id)
+
         batch = batch.persist()
         try:
             if batch.isEmpty():
+                for table in (mix, predictions, outliers):
+                    nothing(table)
                 return
             ratios = cm.cause_ratio(batch, "batch")
             model = cm.fit_features(ratios, labels)
@@ -172,13 +190,14 @@ def bad_session_batch(cfg: AnalyzerConfig, out_root: str, labels: list[str] | No
             try:
                 if show:
                     head_sorted(feats, 30, "aggField1").show(30, truncate=False)
-                write_batch_table(cm.features_long(feats, cm.model_labels(model), "batch"),
-                                  f"{out_root}/cause_mix", batch_id)
+                mix.write(cm.features_long(feats, cm.model_labels(model), "batch"), batch_id)
                 decorated, outl = ol.kmeans_outliers(feats, cfg.kmeans_k, cfg.kmeans_seed, cfg.outlier_sigmas)
-                if decorated is not None:
-                    cols = ["aggField1", "prediction", "distanceFromCenter"]
-                    write_batch_table(decorated.select(*cols), f"{out_root}/predictions", batch_id)
-                    write_batch_table(outl.select(*cols), f"{out_root}/outliers", batch_id)
+                if decorated is None:
+                    nothing(predictions)
+                    nothing(outliers)
+                else:
+                    predictions.write(decorated, batch_id)
+                    outliers.write(outl, batch_id)
             finally:
                 feats.unpersist()
         finally:
@@ -188,18 +207,21 @@ def bad_session_batch(cfg: AnalyzerConfig, out_root: str, labels: list[str] | No
 
 
 def run_analyzer(spark: SparkSession, lines: DataFrame, cfg: AnalyzerConfig, out_root: str,
-                 trigger: bool = True, topic: tuple[str, str] | None = None, show: int = 0) -> list[StreamingQuery]:
+                 trigger: bool = True, topic: tuple[str, str] | None = None, show: int = 0, fill: bool = False,
+                 only: tuple[str, ...] = ("stats", "alive", "anomalies", "bad_sessions")) -> list[StreamingQuery]:
     """Both analyses on one line stream, as concurrent queries in one
-    session: liveness (stats with their documents, counts with the anomaly
-    check) and the bad-session pattern.  Returns the started queries; callers wait with
+    session: statistics with their documents, counts with theirs, the live anomaly
+    check (``fill``: also of servers that fall silent) and the bad-session pattern.
+    Returns the started queries; callers wait with
     ``spark.streams.awaitAnyTermination()``."""
     records = parse_cdr(lines)
-    t1 = cfg.bras_agg1_seconds if trigger else None
-    t2 = cfg.bras_agg2_seconds if trigger else None
-    t3 = cfg.term_cause_agg1_seconds if trigger else None
-    stats_q = with_batches(chained_stats(records, cfg), stats_batch(out_root, show), f"{out_root}/_ck/stats", t2, name="stats")
-    alive_q = with_batches(alive_counts(records, cfg, streaming=True), alive_monitor_batch(cfg, out_root, topic, show),
-                           f"{out_root}/_ck/alive", t1, name="alive")
-    bad_q = with_batches(stop_cause_counts(records, cfg, streaming=True), bad_session_batch(cfg, out_root),
-                         f"{out_root}/_ck/bad_sessions", t3, name="bad_sessions")
-    return [stats_q, alive_q, bad_q]
+    if fill and "anomalies" in only:
+        use_keyed_timers(spark)
+    jobs = {
+        "stats": (lambda: chained_stats(records, cfg), stats_batch(out_root, show), cfg.bras_agg2_seconds),
+        "alive": (lambda: alive_counts(records, cfg, streaming=True), alive_monitor_batch(out_root, topic, show), cfg.bras_agg1_seconds),
+        "anomalies": (lambda: live_candidates(records, cfg, fill), anomaly_batch(cfg, out_root, show), cfg.bras_agg1_seconds),
+        "bad_sessions": (lambda: stop_cause_counts(records, cfg, streaming=True), bad_session_batch(cfg, out_root), cfg.term_cause_agg1_seconds),
+    }
+    return [with_batches(frame(), sink, f"{out_root}/_ck/{name}", seconds if trigger else None, name=name)
+            for name, (frame, sink, seconds) in jobs.items() if name in only]

@@ -53,10 +53,9 @@ def test_batch_sink_is_idempotent(spark):
 def test_run_analyzer_concurrent_queries(spark):
     root = scratch_path(spark, "test/analyzer", unique=True)
     queries = jobs.run_analyzer(spark, jobs.event_line_stream(spark, SF_SMALL), CFG, root, trigger=False)
-    assert len(queries) == 3
+    assert len(queries) == 4
     for q in queries:
         q.awaitTermination()
         assert q.exception() is None
-    assert spark.read.parquet(f"{root}/stats").count() > 0
-    assert spark.read.parquet(f"{root}/agg_docs").count() > 0
-    assert spark.read.parquet(f"{root}/cause_mix").count() > 0
+    for name in ("stats", "agg_docs", "cause_mix", "counts", "predictions"):
+        assert jobs.output(spark, root, name).read().count() > 0
