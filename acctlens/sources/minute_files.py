@@ -71,12 +71,19 @@ def name_parts(path):
     return leaf.alias("leaf"), minute.alias("minute")
 
 
+def minute_paths(spark: SparkSession, root: str) -> DataFrame:
+    """(leaf, minute, path) of each file of the reference layout.  Scans skip empty files,
+    whose presence counts here, so names come from the listing that a scan begins
+    with; like there, it passes through the driver."""
+    files = spark.read.text(f"{root.rstrip('/')}/*/cdr.*.txt").inputFiles()
+    return spark.createDataFrame([(x,) for x in files], "path string").select(*name_parts(F.col("path")), "path")
+
+
 def present_minutes(spark: SparkSession, root: str, layout: str) -> DataFrame:
     """(leaf, minute) with a file."""
     root = root.rstrip("/")
-    if layout == "reference":  # one row a file, empty ones included; contents are not read
-        files = spark.read.format("binaryFile").load(f"{root}/*/cdr.*.txt").select("path")
-        return files.select(*name_parts(F.col("path"))).distinct()
+    if layout == "reference":
+        return minute_paths(spark, root).select("leaf", "minute").distinct()
     if layout == "partitioned":
         return spark.read.schema("leaf string, minute timestamp").parquet(f"{root}/minutes")
     raise ValueError(f"unknown minute-file layout {layout!r}")

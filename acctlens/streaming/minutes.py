@@ -1,7 +1,7 @@
 """Continuous replay of minute folders.
 
-Presence is a stream: the files that arrive (their names only, contents are not
-opened, empty files count) or rows of a minutes table.  Per leaf a small state
+Presence is a stream: the names of files that arrive (empty files count) or rows
+of a minutes table.  Per leaf a small state
 holds how far the replay has come and which minutes wait behind a gap.  A minute
 is released when no gap of more than ``max_missing`` minutes lies before it; files
 that arrive late fill gaps and release what waited.  Acceptance
@@ -16,16 +16,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from acctlens.sinks.committed import CommittedTable
-from acctlens.sources.minute_files import DEFAULT_MAX_MISSING, dated_lines, name_parts, parse_start_minute
+from acctlens.sources.minute_files import DEFAULT_MAX_MISSING, dated_lines, minute_paths, name_parts, parse_start_minute
 from acctlens.streaming.jobs import with_batches
 from acctlens.streaming.live import use_keyed_timers
 
-FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 RELEASED = "leaf string, minute timestamp, path string"
 LINES = "leaf string, minute timestamp, value string"
 EPOCH = dt.datetime(1970, 1, 1)
@@ -70,13 +70,33 @@ class ReplayReach(StatefulProcessor):
         pass
 
 
-def file_presence(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """(leaf, minute, path) of ``<root>/<leaf>/cdr.<minute>.txt`` as they arrive."""
-    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+def note_arrivals(spark: SparkSession, root: str, noted: str) -> None:
+    """Append the files of ``<root>/<leaf>/cdr.<minute>.txt`` that are not in the
+    table ``noted`` yet, as one file, which appears at once: a call that is
+    broken off and made again notes each file once.  A file stream over the folders
+    would not do, since scans skip empty files."""
+    try:
+        known = spark.read.schema(RELEASED).parquet(noted)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = spark.createDataFrame([], RELEASED)
+    new = minute_paths(spark, root).filter("minute is not null").join(known.select("path"), "path", "left_anti")
+    new.select("leaf", "minute", "path").coalesce(1).write.mode("append").parquet(noted)
+
+
+def watch_folders(spark: SparkSession, root: str, noted: str, checkpoint: str, seconds: int) -> StreamingQuery:
+    """:func:`note_arrivals` every ``seconds``."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return with_batches(ticks, lambda batch, _: note_arrivals(batch.sparkSession, root, noted), checkpoint, seconds)
+
+
+def file_presence(spark: SparkSession, noted: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """(leaf, minute, path) of noted files as they come."""
+    reader = spark.readStream.schema(RELEASED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(f"{root.rstrip('/')}/*/cdr.*.txt")
-    return files.select(*name_parts(F.col("path")), "path")
+    return reader.parquet(noted)
 
 
 def released_minutes(presence: DataFrame, start: str, max_missing: int = DEFAULT_MAX_MISSING) -> DataFrame:
