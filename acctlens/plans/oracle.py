@@ -333,6 +333,17 @@ WM_ALIVE = f"(SELECT max(date) FROM cdr) - INTERVAL {CFG.alive_watermark_seconds
 WM_STOP = f"(SELECT max(date) FROM cdr) - INTERVAL {CFG.stop_watermark_seconds} SECOND"
 SQL["stream_alive_count"] = with_ctes(ALIVE) + f"\nSELECT * FROM alive WHERE timestamp <= {WM_ALIVE}"
 SQL["stream_restart"] = with_ctes(ALIVE) + f"\nSELECT aggName, timestamp, aggField1, value FROM alive WHERE timestamp <= {WM_ALIVE}"
+# a record's batch is its span of six days, or two spans later for every seventh; the watermark of a batch is
+# 12,960 s before the newest record of earlier ones
+SQL["stream_late_rows"] = with_ctes() + f""",
+a AS (SELECT date, acctSessionId, acctStatusType, nasIpAddress,
+             least(greatest(date_diff('day', DATE '2024-01-01', CAST(date AS DATE)) // 6, 0)
+                   + CASE WHEN event_id % 7 = 0 THEN 2 ELSE 0 END, 5) AS batch FROM cdr),
+marks AS (SELECT b.batch, (SELECT max(date) FROM a WHERE a.batch < b.batch) - INTERVAL {CFG.alive_watermark_seconds} SECOND AS watermark
+          FROM (SELECT DISTINCT batch FROM a) b),
+judged AS (SELECT a.*, watermark, COALESCE((epoch_us(date) // {S1} + 1) * {S1} <= epoch_us(watermark), false) AS late
+           FROM a JOIN marks USING (batch))
+SELECT date, acctSessionId, acctStatusType, nasIpAddress, CASE WHEN late THEN watermark END AS watermark, late FROM judged"""
 SQL["stream_minute_files"] = SQL["minute_files"]
 SQL["stream_stop_cause"] = with_ctes(STOPS) + f"\nSELECT * FROM stops WHERE timestamp <= {WM_STOP}"
 SQL["stream_second_order"] = with_ctes(ALIVE, STATS_RAW, STATS) + f"\nSELECT * FROM stats WHERE timestamp <= {WM_ALIVE}"

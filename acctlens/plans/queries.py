@@ -24,6 +24,7 @@ from acctlens.session import materialize, scratch_path
 from acctlens.sources.minute_files import minute_file_lines, write_minute_files
 from acctlens.sinks.committed import CommittedTable
 from acctlens.streaming import jobs
+from acctlens.streaming.late import LateSplit
 from acctlens.streaming.minutes import LINES, lines_of_table, replay_stream
 from acctlens.plans.common import CFG, lines, records, to_output
 from acctlens.sinks.documents import index_documents_1, index_documents_2
@@ -347,6 +348,28 @@ def q_stream_restart(spark, sf_dir):
     return to_output(out.read())
 
 
+# stand-in arrivals: a file of records for each span of days, every few of them some spans late
+ARRIVAL_DAYS, ARRIVALS, LATE_EVERY, LATE_BY = 6, 6, 7, 2
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Every record with whether it came too late for its windows: records arrive in
+    six files, some in a later one than their time says."""
+    root = scratch_path(spark, "streams/late", unique=True)
+    rows = records(spark, sf_dir).select("date", "acctSessionId", "acctStatusType", "nasIpAddress")
+    span = F.floor(F.datediff("date", F.lit("2024-01-01")) / ARRIVAL_DAYS)
+    held = F.when(F.substring("acctSessionId", 2, 20).cast("long") % LATE_EVERY == 0, LATE_BY).otherwise(0)
+    arrival = F.least(F.greatest(span, F.lit(0)) + held, F.lit(ARRIVALS - 1))
+    recorded = materialize(rows.withColumn("arrival", arrival))
+    for n in range(ARRIVALS):
+        recorded.filter(F.col("arrival") == n).drop("arrival").coalesce(1).write.mode("append").parquet(f"{root}/arrived")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arrived")
+    split = LateSplit(spark, f"{root}/out", rows.schema, "date", CFG.bras_agg1_seconds, CFG.alive_watermark_seconds)
+    jobs.with_batches(stream, split, f"{root}/_ck").awaitTermination()
+    on_time = split.on_time.read().withColumn("watermark", F.lit(None).cast("timestamp")).withColumn("late", F.lit(False))
+    return to_output(on_time.unionByName(split.late.read().withColumn("late", F.lit(True))))
+
+
 def q_stream_stop_cause(spark, sf_dir):
     records = _stream_records(spark, sf_dir, files=1)
     return to_output(_run_to_table(spark, fo.stop_cause_counts(records, CFG, streaming=True), "stop_cause"))
@@ -476,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "stream_minute_files": q_stream_minute_files,
     "stream_alive_count": q_stream_alive_count,
     "stream_restart": q_stream_restart,
+    "stream_late_rows": q_stream_late_rows,
     "stream_stop_cause": q_stream_stop_cause,
     "stream_second_order": q_stream_second_order,
     "stream_hop_second_order": q_stream_hop_second_order,

@@ -86,7 +86,7 @@ class CommittedTable:
     def newest(self) -> dt.datetime | None:
         """The greatest event time of all batches, from the records alone."""
         high = max((r.high for r in self.records() if r.high is not None), default=None)
-        return None if high is None else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=high)
+        return None if high is None else dt.datetime.fromtimestamp(high // 1_000_000) + dt.timedelta(microseconds=high % 1_000_000)
 
     # ---- writing ----
     def _store(self, df: DataFrame, first: int, last: int, tier: int, rebalance: bool) -> Record:
@@ -104,8 +104,10 @@ class CommittedTable:
         return Record(first, last, tier, rows, low, high, folder)
 
     def write(self, df: DataFrame, batch_id: int) -> bool:
-        """Write and commit a batch; False if it is committed already."""
+        """Write and commit a batch; False if it is committed already.  Then its rows
+        are only run through: a stream's state stores commit as they are read."""
         if any(r.first <= batch_id <= r.last for r in self.all_records()):
+            df.write.format("noop").mode("overwrite").save()
             return False
         self._commit(self._store(df, batch_id, batch_id, 0, False))
         self.compact()
@@ -154,15 +156,15 @@ class CommittedTable:
         return rows
 
     def read(self, since: dt.datetime | None = None, until: dt.datetime | None = None) -> DataFrame:
-        """Committed rows, with event times from ``since`` to ``until``:
-        batches outside are not opened, nor days of the others."""
-        lo, hi = (None if t is None else round((t - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) for t in (since, until))
+        """Committed rows, with event times from ``since`` to ``until`` (as ``newest`` and
+        collected rows give them; without zone, local time): batches outside are not opened, nor days of the others."""
+        lo, hi = (None if t is None else int(t.replace(microsecond=0).timestamp()) * 1_000_000 + t.microsecond for t in (since, until))
         chosen = [r for r in self.records() if r.rows
                   and not (r.high is not None and lo is not None and r.high < lo)
                   and not (r.low is not None and hi is not None and r.low > hi)]
         rows = self._load([r.folder for r in chosen])
-        if chosen and since is not None:
-            rows = rows.filter((F.col("_day") >= F.lit(since.date())) & (F.col(self.time) >= F.lit(since)))
-        if chosen and until is not None:
-            rows = rows.filter((F.col("_day") <= F.lit(until.date())) & (F.col(self.time) <= F.lit(until)))
+        for us, inside in ((lo, lambda c, x: c >= x), (hi, lambda c, x: c <= x)):
+            if chosen and us is not None:
+                bound = F.timestamp_micros(F.lit(us))
+                rows = rows.filter(inside(F.col("_day"), F.to_date(bound)) & inside(F.col(self.time), bound))
         return rows.select(*self.schema.names)

@@ -97,3 +97,25 @@ def test_without_time_column(spark):
         t.write(rows(spark, i), i)
     t.compact(every=3)
     assert t.read().count() == 9 and t.newest() is None
+
+
+def test_stream_that_dies_after_the_table_has_committed(spark, tmp_path):
+    """The batch is run again from its checkpoint, state included, and not written twice."""
+    spark.range(40).select(F.lit("k").alias("k"), F.timestamp_seconds("id").alias("t"), F.col("id").alias("v")).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    counts = stream.withWatermark("t", "1 second").groupBy(F.window("t", "10 seconds"), "k").agg(F.sum("v").alias("v"))
+    out, died = new(spark), []
+
+    def sink(batch, n):
+        out.write(batch.select("k", F.col("window.end").alias("t"), "v"), n)
+        if n == 1 and not died:
+            died.append(n)
+            raise RuntimeError("lost driver")
+
+    for _ in range(2):
+        q = counts.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).foreachBatch(sink).trigger(availableNow=True).start()
+        try:
+            q.awaitTermination()
+        except Exception as e:
+            assert "lost driver" in str(e)
+    assert died and sorted(r.v for r in out.read().collect()) == [45, 145, 245]
