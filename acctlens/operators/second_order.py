@@ -102,7 +102,8 @@ def stats_from_values(raw: DataFrame, agg_name: str = STATS_AGG_NAME) -> DataFra
     df = raw.select("window", "aggField1", "values", "sampleSize",
                     F.expr("aggregate(values, 0L, (a, v) -> a + v) div sampleSize").alias("_m"),
                     zero_filled().alias("_filled"))
-    var = F.expr("aggregate(_filled, 0L, (a, v) -> a + (v - _m) * (v - _m)) div sampleSize")
+    away = "CAST(v - _m AS DECIMAL(19,0))"  # squares as decimals: they don't overflow
+    var = F.expr(f"aggregate(_filled, CAST(0 AS {_WIDE}), (a, v) -> CAST(a + {away} * {away} AS {_WIDE})) div sampleSize")
     return df.select(F.lit(agg_name).alias("aggName"), F.col("window.end").alias("timestamp"), "aggField1",
                      F.col("_m").cast("double").alias("mean"), F.sqrt(var.cast("double")).alias("stdDev"),
                      F.size("values").alias("samples"))

@@ -393,12 +393,36 @@ SELECT mean, stdDev, epoch_us(timestamp) // 1000 AS timestamp, aggName, aggField
 WHERE timestamp <= {WM_ALIVE}"""
 
 # what holds for any clustering of the rows
-SQL["kmeans_distance"] = with_ctes(STOPS, RATIO_W) + """
-SELECT DISTINCT aggField1, timestamp, CAST((SELECT count(DISTINCT aggField2) FROM stops) AS INTEGER) AS causes,
-       true AS centreIsMean FROM ratio"""
+_CHECKS = "CAST((SELECT count(DISTINCT aggField2) FROM stops) AS INTEGER) AS causes, true AS centreIsMean, true AS ownIsNearest, " \
+          "CAST(2 AS INTEGER) AS clusters, true AS costNotAboveOne"
+SQL["kmeans_distance"] = with_ctes(STOPS, RATIO_W) + f"\nSELECT DISTINCT aggField1, timestamp, {_CHECKS} FROM ratio"
+SQL["stream_kmeans_distance"] = with_ctes(_CLOSED_STOPS) + f"\nSELECT DISTINCT aggField1, {_CHECKS} FROM stops"
 SQL["kmeans_outliers"] = with_ctes(STOPS, RATIO_W) + "\nSELECT DISTINCT aggField1, timestamp, true AS flagIsTheRule FROM ratio"
 SQL["stream_kmeans_outliers"] = with_ctes(_CLOSED_STOPS) + "\nSELECT DISTINCT aggField1, true AS flagIsTheRule FROM stops"
 
 SQL["stream_hop_second_order"] = with_ctes(_CLOSED_ALIVE, STATS_RAW, STATS) + f"""
 SELECT * FROM stats
 WHERE timestamp <= (SELECT max(timestamp) FROM alive) - INTERVAL {CFG.agg_watermark_seconds} SECOND"""
+
+SQL["distance_summary_merged"] = SQL["distance_summary"]
+SQL["sigma_outliers_merged"] = SQL["sigma_outliers"]
+SQL["sql_cdr_items"] = SQL["cdr_tuple22"]
+SQL["stream_sql_counts"] = BASE + "\nSELECT acctStatusType, CAST(count(*) AS BIGINT) AS total FROM cdr GROUP BY acctStatusType"
+# two batches: window ends up to the seventh day, and later ones; ids follow count and name within the batch that brings a label
+SQL["cause_mix_stable"] = with_ctes(STOPS.replace("terminateCause AS aggField2", "clientId AS aggField2"), RATIO_W) + """,
+part AS (SELECT *, least(date_diff('day', DATE '2024-01-01', CAST(timestamp AS DATE)) // 7, 1) AS batch FROM ratio),
+brought AS (SELECT aggField2, min(batch) AS batch FROM part GROUP BY aggField2),
+numbered AS (
+  SELECT b.aggField2, row_number() OVER (ORDER BY b.batch, count(*) DESC, b.aggField2) - 1 AS id
+  FROM brought b JOIN part p ON p.aggField2 = b.aggField2 AND p.batch = b.batch GROUP BY b.aggField2, b.batch)
+SELECT p.aggField1, p.timestamp, CAST(n.id AS BIGINT) AS causeIndex, p.aggField2 AS cause, round(sum(p.ratioInBras), 9) AS ratioSum,
+       min(min(p.sumPerBras)) OVER (PARTITION BY p.aggField1, p.timestamp) AS minSumPerBras
+FROM part p JOIN numbered n USING (aggField2) GROUP BY p.aggField1, p.timestamp, n.id, p.aggField2"""
+SQL["vector_sum"] = BASE + """,
+v AS (SELECT nasIpAddress, accessType, [sessionTime, outputOctets, inputOctets, outputGigawords] AS x,
+             CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 0
+                  WHEN event_id % 7 = 0 AND accessType <> '0' THEN 3 ELSE 4 END AS n FROM cdr),
+w AS (SELECT nasIpAddress, accessType, min(n) AS width FROM v WHERE n > 0 GROUP BY ALL)
+SELECT nasIpAddress, accessType, CAST(place AS INTEGER) AS place, CAST(sum(CASE WHEN n > place THEN x[place + 1] ELSE 0 END) AS DOUBLE) AS total
+FROM v JOIN w USING (nasIpAddress, accessType), (SELECT unnest(range(4)) AS place) WHERE place < width
+GROUP BY nasIpAddress, accessType, place"""

@@ -12,14 +12,17 @@ import datetime as dt
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctlens.functions.sql import register_sql_functions
 from acctlens.functions.vectors import vector_to_array
 from acctlens.functions.scalars import access_node_adsl, access_node_fiber, epoch_millis
 from acctlens.operators import anomaly, cause_mix as cm, first_order as fo, ingest, outliers as ol
+from acctlens.operators import labels as lb, moments as mo
 from acctlens.operators import second_order as so
 from acctlens.operators import replay as rp
+from acctlens.operators.vector_sum import vector_sum
 from acctlens.session import materialize, scratch_path
 from acctlens.sources.minute_files import minute_file_lines, write_minute_files
 from acctlens.sinks.committed import CommittedTable
@@ -228,23 +231,33 @@ def _kmeans(spark, sf_dir):
     return ol.kmeans_outliers(feats, CFG.kmeans_k, CFG.kmeans_seed, CFG.outlier_sigmas)
 
 
-def _cluster_checks(decorated, keys):
-    """What must hold for any clustering: the sum over a cluster's members of
-    (value - centre) is 0 in each place, which the distances show: the members' mean
-    squared distance equals the mean square less the square of the mean."""
-    own = Window.partitionBy("prediction")
-    v = vector_to_array("features")
-    places = F.transform(F.sequence(F.lit(0), F.size(v) - 1), lambda i: i)
-    moments = (decorated.select("prediction", F.posexplode(v).alias("place", "x")).groupBy("prediction", "place")
-               .agg(F.var_pop("x").alias("spread")).groupBy("prediction").agg(F.sum("spread").alias("spread")))
-    return (decorated.withColumn("places", F.size(places)).join(moments, "prediction")
-            .select(*keys, F.col("places").alias("causes"),
-                    (F.abs(F.avg("distanceFromCenter").over(own) - F.col("spread")) < 1e-9).alias("centreIsMean")))
+def cluster_checks(places, assigned, keys):
+    """Checks of a clustering, all worked out anew from the vectors.
+
+    ``places``: keys, place, x; ``assigned``: keys, prediction, distanceFromCenter.
+    Per row: whether the distance is that to the mean of its cluster, and whether no
+    other cluster's mean is nearer; for all rows: the number of clusters, and whether
+    their cost is not above that of one cluster."""
+    own = places.join(assigned, keys)
+    centres = own.groupBy("prediction", "place").agg(F.avg("x").alias("c"))
+    away = (places.join(centres.withColumnRenamed("prediction", "cluster"), "place")   # rows x clusters
+            .groupBy(*keys, "cluster").agg(F.count(F.lit(1)).alias("causes"), F.sum((F.col("x") - F.col("c")) ** 2).alias("d")))
+    judged = (away.join(assigned, keys).groupBy(*keys, "prediction", "distanceFromCenter", "causes")
+              .agg(F.min("d").alias("least"), F.max(F.when(F.col("cluster") == F.col("prediction"), F.col("d"))).alias("d")))
+    one = places.groupBy("place").agg((F.var_pop("x") * F.count("x")).alias("v")).agg(F.sum("v")).scalar()
+    cost = judged.agg(F.sum("d"), F.countDistinct("prediction").alias("n"))
+    near = 1e-7
+    return judged.select(
+        *keys, F.col("causes").cast("int").alias("causes"), (F.abs(F.col("distanceFromCenter") - F.col("d")) < near).alias("centreIsMean"),
+        (F.col("d") <= F.col("least") + near).alias("ownIsNearest"), cost.select("n").scalar().cast("int").alias("clusters"),
+        (cost.select("sum(d)").scalar() <= one + near).alias("costNotAboveOne"))
 
 
 def q_kmeans_distance(spark, sf_dir):
     decorated, _ = _kmeans(spark, sf_dir)
-    return to_output(_cluster_checks(decorated, ["aggField1", "timestamp"]))
+    keys = ["aggField1", "timestamp"]
+    places = decorated.select(*keys, F.posexplode(vector_to_array("features")).alias("place", "x"))
+    return to_output(cluster_checks(places, decorated.select(*keys, "prediction", "distanceFromCenter"), keys))
 
 
 def q_kmeans_outliers(spark, sf_dir):
@@ -266,6 +279,80 @@ def _rule_checks(flagged, keys, flag):
         *keys, (near | (F.col(flag) == (F.col("distanceFromCenter") > F.col("limit")))).alias("flagIsTheRule"))
 
 
+BATCHES = 6
+
+
+def _batch_of(time):
+    """Stand-in micro-batches: a week of window ends each, the last with all that follow."""
+    return F.greatest(F.lit(0), F.least(F.floor(F.datediff(time, F.lit("2024-01-01")) / 7), F.lit(BATCHES - 1))).cast("long")
+
+
+def _moments(spark, sf_dir):
+    """(distances, merged moments of weekly batches that were written one by one)."""
+    distances = materialize(mean_centre_distances(spark, sf_dir).withColumn("batch", _batch_of("timestamp")))
+    kept = CommittedTable(spark, scratch_path(spark, "moments", unique=True), mo.MOMENTS)
+    for batch in range(BATCHES):
+        kept.write(mo.batch_moments(distances.filter(F.col("batch") == batch), "distanceFromCenter"), batch)
+    return distances, mo.merged_moments(kept.read())
+
+
+def q_distance_summary_merged(spark, sf_dir):
+    _, merged = _moments(spark, sf_dir)
+    return _rounded(mo.sample_stddev(merged).drop("deviation"), ["mean", "stddev", "min", "max"])
+
+
+def q_sigma_outliers_merged(spark, sf_dir):
+    """The sigma rule over all batches from their moments."""
+    distances, merged = _moments(spark, sf_dir)
+    return to_output(_rounded(mo.beyond_sigmas(distances, merged, CFG.outlier_sigmas).drop("batch"), ["distanceFromCenter"]))
+
+
+def q_cause_mix_stable(spark, sf_dir):
+    """Mixes over a lasting dictionary: stop counts by server and client come in two
+    batches, the second with labels that the first has not."""
+    counts = fo.first_order(records(spark, sf_dir), ["nasIpAddress", "clientId"], CFG.term_cause_agg1_seconds,
+                            fo.STOP_CAUSE_AGG_NAME, status="Stop")
+    ratios_ = materialize(cm.cause_ratio(counts).withColumn("batch", F.least(_batch_of("timestamp"), F.lit(1))))
+    labels, mixes = lb.LabelDictionary(spark, scratch_path(spark, "labels", unique=True)), []
+    for batch in range(2):
+        part = ratios_.filter(F.col("batch") == batch)
+        labels.add(part.select("aggField2"), batch)
+        mixes.append(materialize(lb.sparse_mix(part, labels.read())))
+    return to_output(mixes[0].unionByName(mixes[1]))
+
+
+def q_vector_sum(spark, sf_dir):
+    """Sums of vectors of unequal length, some empty or null, by server and access type."""
+    n = F.substring("acctSessionId", 2, 20).cast("long")
+    length = F.when(n % 5 == 0, 0).when((n % 7 == 0) & (F.col("accessType") != "0"), 3).otherwise(4)
+    v = F.slice(F.array("sessionTime", "outputOctets", "inputOctets", "outputGigawords"), F.lit(1), length)
+    rows = records(spark, sf_dir).select("nasIpAddress", "accessType", F.when(n % 13 != 0, v).alias("v"))
+    sums = vector_sum(rows, ["nasIpAddress", "accessType"], "v")
+    return sums.select("nasIpAddress", "accessType", F.posexplode("sum").alias("place", "total"))
+
+
+def q_sql_cdr_items(spark, sf_dir):
+    """SQL text over a view of lines, with the parser as a SQL function."""
+    register_sql_functions(spark)
+    lines(spark, sf_dir).createOrReplaceTempView("cdr_lines")
+    return to_output(spark.sql("SELECT items.* FROM (SELECT toCDRItems(value) AS items FROM cdr_lines) WHERE items IS NOT NULL"))
+
+
+def q_stream_sql_counts(spark, sf_dir):
+    """The older micro-batch form: each batch is a view that SQL text counts."""
+    register_sql_functions(spark)
+    out = CommittedTable(spark, scratch_path(spark, "streams/sql_counts", unique=True), "acctStatusType string, total long")
+
+    def run(batch, batch_id):
+        batch.createOrReplaceTempView("arrived_lines")
+        out.write(batch.sparkSession.sql(
+            "SELECT items.acctStatusType, count(*) AS total FROM (SELECT toCDRItems(value) AS items FROM arrived_lines) "
+            "WHERE items IS NOT NULL GROUP BY items.acctStatusType"), batch_id)
+
+    jobs.with_batches(jobs.event_line_stream(spark, sf_dir, 2), run, scratch_path(spark, "streams/_ck", unique=True)).awaitTermination()
+    return out.read().groupBy("acctStatusType").agg(F.sum("total").alias("total"))
+
+
 def rebased(spark, sf_dir):
     return rp.rebase_lines(lines(spark, sf_dir), REPLAY_START, REPLAY_REAL_START, REPLAY_FACTOR)
 
@@ -420,6 +507,13 @@ def q_stream_kmeans_outliers(spark, sf_dir):
     return _rule_checks(preds.join(flagged, ["aggField1"], "left").fillna(False, ["flag"]), ["aggField1"], "flag")
 
 
+def q_stream_kmeans_distance(spark, sf_dir):
+    """Micro-batch clusters checked against the vectors that were committed with them."""
+    root = _analyzer(spark, sf_dir, "bad_sessions", files=None)
+    places = jobs.output(spark, root, "cause_mix").read().select("aggField1", F.col("causeIndex").alias("place"), F.col("ratioSum").alias("x"))
+    return cluster_checks(places, jobs.output(spark, root, "predictions").read(), ["aggField1"])
+
+
 def q_stream_alive_anomalies(spark, sf_dir):
     """Anomalies that the running analyzer finds, all of its queries at once."""
     return to_output(jobs.output(spark, _analyzer(spark, sf_dir), "anomalies").read())
@@ -498,6 +592,12 @@ QUERIES: dict[str, Query] = {
     "minute_files": q_minute_files,
     "stream_minute_files": q_stream_minute_files,
     "stream_alive_count": q_stream_alive_count,
+    "distance_summary_merged": q_distance_summary_merged,
+    "sigma_outliers_merged": q_sigma_outliers_merged,
+    "cause_mix_stable": q_cause_mix_stable,
+    "vector_sum": q_vector_sum,
+    "sql_cdr_items": q_sql_cdr_items,
+    "stream_sql_counts": q_stream_sql_counts,
     "stream_restart": q_stream_restart,
     "stream_late_rows": q_stream_late_rows,
     "stream_stop_cause": q_stream_stop_cause,
@@ -505,6 +605,7 @@ QUERIES: dict[str, Query] = {
     "stream_hop_second_order": q_stream_hop_second_order,
     "stream_bad_sessions": q_stream_bad_sessions,
     "stream_kmeans_outliers": q_stream_kmeans_outliers,
+    "stream_kmeans_distance": q_stream_kmeans_distance,
     "stream_alive_anomalies": q_stream_alive_anomalies,
     "stream_alive_anomalies_filled": q_stream_alive_anomalies_filled,
     "stream_stats_docs": q_stream_stats_docs,

@@ -19,6 +19,7 @@ from acctlens.config import AnalyzerConfig
 from acctlens.operators import cause_mix as cm, outliers as ol
 from acctlens.operators.first_order import ALIVE_AGG_NAME, agg_lines, alive_counts, stop_cause_counts
 from acctlens.operators.ingest import parse_agg_line, parse_cdr
+from acctlens.operators.moments import MOMENTS, batch_moments, beyond_sigmas, merged_moments
 from acctlens.operators.second_order import second_order_stats
 from acctlens.schema import INDEX_DOC_1_SCHEMA, INDEX_DOC_2_SCHEMA
 from acctlens.sinks.committed import CommittedTable
@@ -100,6 +101,8 @@ OUTPUTS = {
     "cause_mix": ("aggField1 string, causeIndex int, cause string, ratioSum double, minSumPerBras long", None),
     "predictions": (PREDICTION_SCHEMA, None),
     "outliers": (PREDICTION_SCHEMA, None),
+    "moments": (MOMENTS, None),
+    "outliers_so_far": (PREDICTION_SCHEMA, None),
 }
 
 
@@ -169,11 +172,14 @@ def bad_session_batch(cfg: AnalyzerConfig, out_root: str, labels: list[str] | No
     """Per micro-batch: ratios (batch scope), feature pipeline fitted on the
     batch (or fixed ``labels``), cause-mix vectors, k-means, distance to
     own centre and sigma outliers, each committed; a batch without rows, or with
-    too few to cluster, commits empty ones."""
+    too few to cluster, commits empty ones.  The distances' moments are kept too, and
+    ``outliers_so_far`` applies the sigma rule to those of all batches: a batch alone has
+    one row a server, too few for a rule when there are few servers."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        mix, predictions, outliers = (output(spark, out_root, x) for x in ("cause_mix", "predictions", "outliers"))
+        mix, predictions, outliers, moments, so_far = (
+            output(spark, out_root, x) for x in ("cause_mix", "predictions", "outliers", "moments", "outliers_so_far"))
 
         def nothing(table: CommittedTable) -> None:
             table.write(spark.createDataFrame([], table.schema), batch_id)
@@ -181,7 +187,7 @@ def bad_session_batch(cfg: AnalyzerConfig, out_root: str, labels: list[str] | No
         batch = batch.persist()
         try:
             if batch.isEmpty():
-                for table in (mix, predictions, outliers):
+                for table in (mix, predictions, outliers, moments, so_far):
                     nothing(table)
                 return
             ratios = cm.cause_ratio(batch, "batch")
@@ -193,11 +199,13 @@ def bad_session_batch(cfg: AnalyzerConfig, out_root: str, labels: list[str] | No
                 mix.write(cm.features_long(feats, cm.model_labels(model), "batch"), batch_id)
                 decorated, outl = ol.kmeans_outliers(feats, cfg.kmeans_k, cfg.kmeans_seed, cfg.outlier_sigmas)
                 if decorated is None:
-                    nothing(predictions)
-                    nothing(outliers)
+                    for table in (predictions, outliers, moments, so_far):
+                        nothing(table)
                 else:
                     predictions.write(decorated, batch_id)
                     outliers.write(outl, batch_id)
+                    moments.write(batch_moments(decorated, "distanceFromCenter"), batch_id)
+                    so_far.write(beyond_sigmas(decorated, merged_moments(moments.read()), cfg.outlier_sigmas), batch_id)
             finally:
                 feats.unpersist()
         finally:

@@ -95,3 +95,16 @@ def test_fill_silent_windows(spark):
     assert got == [("k", t0, 4), ("k", t0 + dt.timedelta(seconds=5), 0), ("k", t0 + dt.timedelta(seconds=10), 0),
                    ("k", t0 + dt.timedelta(seconds=15), 2), ("z", t0, 1),
                    *[("z", t0 + dt.timedelta(seconds=x), 0) for x in (5, 10, 15)]]  # silent up to the end
+
+
+def test_list_form_of_large_counts(spark):
+    """Squares beyond 64 bits: the list form agrees with the closed form."""
+    import datetime as dt
+
+    big = [(dt.datetime(2024, 1, 1, 0, 0, 5 * i), "s", 4_000_000_000 + i * 10 ** 9) for i in range(10)]
+    first = spark.createDataFrame(big, "timestamp timestamp, aggField1 string, value long")
+    cfg = AnalyzerConfig()
+    closed = second_order_stats(first, cfg)
+    listed = stats_from_values(second_order_values(first, cfg))
+    assert closed.count() == listed.count() > 0
+    assert closed.exceptAll(listed.select(*closed.columns)).count() == 0
