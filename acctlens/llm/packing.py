@@ -25,10 +25,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctlens.llm.common import batch, stored, utf8_rows
+from acctlens.llm.common import batch, stored
 
 END_ID = 1
 #: Classes of lengths and the most pieces in a pattern.
@@ -37,16 +38,16 @@ PARTS = 3
 #: A class counts for less in the fit the shorter it is: short pieces fill gaps anyhow.
 LEAST_WEIGHT = 0.1
 
-#: ASCII white space (what bytes.split() splits at) always separates words of this tokenizer, so ids of a text
-#: are those of its parts; so does the edge between letters and one mark behind them.
+#: ASCII white space always separates words of this tokenizer, so ids of a text are those of its parts; so does
+#: the edge between letters and marks behind them.
 MARKS = ".,;:!?"
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 WORD_END = "</w>"
-MEMO_PARTS = 600_000
+#: The tokenizer is blind to case, but for its special tokens and letters that a combining mark (U+0300 on) follows.
+CASE_COUNTS = ("<|", "[\u0300-\u036f]")
+MEMO_PARTS = 700_000
 LONG_PART = 64
-TEXT_SLICE = 2 << 20
-IDS_OUT = 8 << 20
-ROWS_AT_ONCE = 4096
+TEXT_SLICE = 4 << 20
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids", pa.binary())])
@@ -55,9 +56,11 @@ PIECES_DDL = "doc_id long, piece int, start long, length long, ids binary"
 
 # ---- texts to pieces ---------------------------------------------------------------
 class Ids:
-    """Ids of texts by a tokenizers file, as little-endian unsigned 32-bit
-    integers.  Parts between white space are remembered up to ``MEMO_PARTS``;
-    those over ``LONG_PART`` bytes never are."""
+    """Ids of texts by a tokenizers file.
+
+    Splitting, finding the distinct parts of a slice of texts and putting their ids
+    in place are array operations; Python sees each distinct part of a slice once.  Parts are
+    remembered up to ``MEMO_PARTS``; those over ``LONG_PART`` characters never are."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -72,66 +75,85 @@ class Ids:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.memo: dict[bytes, bytes] = {}
-        self.marks = {m: self.one(m) for m in MARKS}
+        self.memo: dict[str, bytes] = {"": b""}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        """Parts of letters are one word to the tokenizer, so many are encoded as
-        one text and told apart by the tokens that end a word; a mark behind them
-        adds its own ids; other parts are texts of their own."""
-        words: dict[str, list[tuple[bytes, bytes]]] = {}
-        rest = []
-        for p, t in zip(parts, map(bytes.decode, parts)):
-            if t.isalpha():
-                words.setdefault(t, []).append((p, b""))
-            elif t[-1] in self.marks and t[:-1].isalpha():
-                words.setdefault(t[:-1], []).append((p, self.marks[t[-1]]))
-            else:
+    def behind(self, marks: str) -> bytes:
+        """Ids of a run of marks."""
+        if marks not in self.marks:
+            if len(marks) > LONG_PART:
+                return self.one(marks)
+            if len(self.marks) > MEMO_PARTS // 100:
+                self.marks.clear()
+            self.marks[marks] = self.one(marks)
+        return self.marks[marks]
+
+    def encode(self, parts: list[str]) -> dict[str, bytes]:
+        """Letters are one word to the tokenizer, so many words are encoded as one
+        text and told apart by the tokens that end a word; marks behind them
+        add their own ids; other parts are texts of their own."""
+        out: dict[str, bytes] = {}
+        words: dict[str, list[str]] = {}
+        rest, memo = [], self.memo
+        for p in parts:
+            w = p.rstrip(MARKS)
+            if not w.isalpha():
                 rest.append(p)
-        out: dict[bytes, bytes] = {}
-        plain = [w for w in words if w.isascii() and w.islower()]
-        for some, tokenizer in ((plain, self.plain), ([w for w in words if not (w.isascii() and w.islower())], self.tokenizer)):
+            elif w in memo:
+                out[p] = memo[w] + self.behind(p[len(w):])
+            else:
+                words.setdefault(w, []).append(p)
+        if len(memo) + len(words) + len(rest) > MEMO_PARTS:
+            memo.clear()
+            memo[""] = b""
+        # lower case and no letter beyond Latin-1: nothing for the normaliser to do
+        plain = [w for w in words if w.islower() and (w.isascii() or max(w) < "\u0100")]
+        for some, tokenizer in ((plain, self.plain), (list(words.keys() - plain), self.tokenizer)):
             if not some:
                 continue
             ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) != len(some):
-                rest += [p for w in some for p, _ in words[w]]
+                rest += [p for w in some for p in words[w]]
                 continue
             data, begin = ids.tobytes(), 0
             for w, end in zip(some, ends):
-                for p, mark in words[w]:
-                    out[p] = data[begin:end] + mark
+                own = data[begin:end]
                 begin = end
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False) if rest else []
-        out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(rest, found))
+                if len(w) <= LONG_PART:
+                    memo[w] = own
+                for p in words[w]:
+                    out[p] = own if p is w else own + self.behind(p[len(w):])
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []
+        for p, e in zip(rest, found):
+            out[p] = np.array(e.ids, "<u4").tobytes()
+            if len(p) <= LONG_PART:
+                memo[p] = out[p]
         return out
 
-    def parts(self, text: bytes) -> list[bytes]:
-        # the tokenizer is blind to case, but for its special tokens and letters that a combining mark follows
-        if b"<|" not in text and b"\xCC" not in text and b"\xCD" not in text:
-            text = text.lower()
-        return text.split()
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text; what is new in any of them is encoded at once."""
-        split = [self.parts(t) for t in texts]
-        memo = self.memo
-        distinct = dict.fromkeys(chain.from_iterable(split))
-        ids = dict(zip(distinct, map(memo.get, distinct)))  # a small table for many look-ups
-        new = self.encode([p for p, i in ids.items() if i is None])
-        ids.update(new)
-        if len(memo) + len(new) > MEMO_PARTS:
-            memo.clear()
-        for p in [p for p in new if len(p) > LONG_PART]:
-            del new[p]
-        memo.update(new)
-        return [b"".join(map(ids.__getitem__, parts)) for parts in split]
-
-    def of_long(self, text: bytes) -> Iterator[bytes]:
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts behind each other, how many each has); no nulls."""
+        keep = pc.or_(pc.match_substring(texts, CASE_COUNTS[0]), pc.match_substring_regex(texts, CASE_COUNTS[1]))
+        parts = pc.ascii_split_whitespace(pc.if_else(keep, texts, pc.ascii_lower(texts)))
+        in_text = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        ids = list(map(self.memo.get, distinct))
+        new = self.encode([p for p, i in zip(distinct, ids) if i is None])
+        ids = [i if i is not None else new[p] for p, i in zip(distinct, ids)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin = np.cumsum(size) - size
+        many = size[at]
+        after = np.cumsum(many)
+        where = np.repeat(begin[at] - (after - many), many)
+        where += np.arange(len(where))
+        total = np.concatenate([[0], after])[np.concatenate([[0], np.cumsum(in_text)])]
+        return np.frombuffer(b"".join(ids), "<u4")[where], np.diff(total)
+
+    def of_long(self, text: bytes) -> Iterator[np.ndarray]:
         """Ids of a text, some of it at a time."""
         at = 0
         while at < len(text):
@@ -139,7 +161,7 @@ class Ids:
             if end - at > TEXT_SLICE:  # cut before white space, so that no part is cut
                 m = SPACE.search(text, at + TEXT_SLICE)
                 end = m.start() if m else end
-            yield self.of([text[at:end]])[0]
+            yield self.of(pa.array([text[at:end].decode()], pa.large_string()))[0]
             at = end
 
 
@@ -153,57 +175,65 @@ def ids_by(path: str) -> Ids:
     return _IDS[path]
 
 
-def pieces_of(ids: Iterable[bytes], capacity: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(piece, start, length, ids) of a document whose ids end with END_ID."""
-    size, rest, piece = 4 * capacity, b"", 0
-
-    def with_end():
-        yield from ids
-        yield np.array([END_ID], "<u4").tobytes()
-
-    for some in with_end():
-        rest += some
-        while len(rest) > size:
-            yield piece, piece * capacity, capacity, rest[:size]
-            rest = rest[size:]
-            piece += 1
-    yield piece, piece * capacity, len(rest) // 4, rest
+def pieces_of(ids: np.ndarray, counts: np.ndarray, doc_ids: pa.Array, capacity: int) -> pa.RecordBatch:
+    """PIECES rows of documents that have ``counts`` ids each; END_ID is put behind them."""
+    length = counts + 1
+    whole = np.full(len(ids) + len(counts), END_ID, "<u4")
+    whole[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+    pieces = -(-length // capacity)
+    doc = np.repeat(np.arange(len(counts)), pieces)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    own = np.minimum(capacity, length[doc] - piece * capacity)
+    ends = 4 * np.concatenate([[0], np.cumsum(own)]).astype(np.int32)
+    binary = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(whole)])
+    return pa.RecordBatch.from_arrays([doc_ids.take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(piece * capacity, pa.int64()),
+                                       pa.array(own, pa.int64()), binary], schema=PIECES)
+
+
+def long_pieces(ids: Iterable[np.ndarray], doc_id: int | None, capacity: int) -> Iterator[pa.RecordBatch]:
+    """PIECES rows of one document, some at a time."""
+    rest, start = np.zeros(0, "<u4"), 0
+    for some in chain(ids, [np.array([END_ID], "<u4")]):
+        rest = np.concatenate([rest, some])
+        n = (len(rest) - 1) // capacity       # the last piece waits for the end
+        for k in range(n):
+            yield _piece(doc_id, start, rest[k * capacity: (k + 1) * capacity], capacity)
+            start += capacity
+        rest = rest[n * capacity:]
+    yield _piece(doc_id, start, rest, capacity)
+
+
+def _piece(doc_id: int | None, start: int, ids: np.ndarray, capacity: int) -> pa.RecordBatch:
+    return batch(PIECES, [[doc_id], [start // capacity], [start], [len(ids)], [ids.tobytes()]])
+
+
+def slices(rb: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(doc_ids, texts) of a batch by up to ``TEXT_SLICE`` bytes; a longer text is alone."""
+    texts = pc.fill_null(rb.column(1).cast(pa.large_string()), "")
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < rb.num_rows:
+        before = size[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + TEXT_SLICE, side="right")))
+        yield rb.column(0).slice(at, end - at), texts.slice(at, end - at)
+        at = end
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096) -> DataFrame:
-    """(doc_id, piece, start, length, ids): each document's ids and END_ID, those
-    of over ``capacity`` tokens cut into pieces of that many.
+    """(doc_id, piece, start, length, ids): each document's ids (little-endian unsigned
+    32-bit integers) and END_ID, those of over ``capacity`` tokens cut into pieces of that many.
 
     A null text counts as empty and gives END_ID alone.  Texts are
     encoded whole, some MB at a time; a part without white space is held whole."""
 
-    def encoded(batches):
-        """(doc_id, ids, some at a time), short texts by the slice."""
+    def run(batches):
         ids = ids_by(tokenizer_file)
-        waiting, size = [], 0
         for rb in batches:
-            for doc_id, text in zip(rb.column(0).to_pylist(), utf8_rows(rb, "text")):
-                if len(text) > TEXT_SLICE:
-                    yield doc_id, ids.of_long(text)
-                    continue
-                waiting.append((doc_id, text))
-                size += len(text)
-                if size > TEXT_SLICE or len(waiting) == ROWS_AT_ONCE:
-                    yield from ((d, [i]) for (d, _), i in zip(waiting, ids.of([t for _, t in waiting])))
-                    waiting, size = [], 0
-        yield from ((d, [i]) for (d, _), i in zip(waiting, ids.of([t for _, t in waiting])))
-
-    def run(batches):
-        out, size = [], 0
-        for doc_id, ids in encoded(batches):
-            for piece in pieces_of(ids, capacity):
-                out.append((doc_id, *piece))
-                size += len(piece[3])
-                if size > IDS_OUT or len(out) == ROWS_AT_ONCE:
-                    yield batch(PIECES, list(zip(*out)))
-                    out, size = [], 0
-        if out:
-            yield batch(PIECES, list(zip(*out)))
+            for doc_ids, texts in slices(rb):
+                if len(texts) == 1 and pc.binary_length(texts)[0].as_py() > TEXT_SLICE:
+                    yield from long_pieces(ids.of_long(texts[0].as_py().encode()), doc_ids[0].as_py(), capacity)
+                else:
+                    yield pieces_of(*ids.of(texts), doc_ids, capacity)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES_DDL)
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -34,15 +35,19 @@ ODD = ["a<|endoftext|>B <|ENDOFTEXT|>", "H̱ello İstanbul İ", "it's I'LL don'
 def test_ids_equal_the_library(library):
     ids, texts = Ids(FILE), ODD + [prose(k, 300) for k in range(5)]
     for _ in range(2):  # again from memory
-        for t, got in zip(texts, ids.of([t.encode() for t in texts])):
-            assert np.frombuffer(got, "<u4").tolist() == brute_ids(library, t)[:-1], t
-
-
-def test_long_text_in_slices(library):
-    text = " ".join([prose(k, 20000) for k in range(6)] * 8) + " " + "a" * 100_000
-    assert len(text) > 5 << 20
-    got = b"".join(Ids(FILE).of_long(text.encode()))
-    assert np.frombuffer(got, "<u4").tolist() == brute_ids(library, text)[:-1]
+        got, counts = ids.of(pa.array(texts, pa.large_string()))
+        for t, own in zip(texts, np.split(got, np.cumsum(counts)[:-1])):
+            assert own.tolist() == brute_ids(library, t)[:-1], t
+
+
+def test_long_text_in_slices(spark, library):
+    text = " ".join([prose(k, 20000) for k in range(6)] * 14) + " " + "a" * 100_000
+    assert len(text) > 9 << 20
+    want = brute_ids(library, text)
+    assert np.concatenate(list(Ids(FILE).of_long(text.encode()))).tolist() == want[:-1]
+    pieces = token_pieces(documents(spark, [(1, text), (2, "a"), (3, text[:100])]), FILE, capacity=4096).collect()
+    assert [i for r in pieces if r.doc_id == 1 for i in np.frombuffer(r.ids, "<u4").tolist()] == want
+    assert {r.length for r in pieces if r.doc_id == 1 and r.start + 4096 < len(want)} == {4096} and sum(r.doc_id != 1 for r in pieces) == 2
 
 
 def test_nnls_against_every_support():
