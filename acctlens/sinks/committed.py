@@ -1,7 +1,7 @@
 """Tables of micro-batches with a commit record per batch.
 
-    <path>/data/<folder>/...      files of one batch, or of a compacted range of batches
-    <path>/commits/<record>       an empty file; what it says is its name
+    <path>/data/folder=<folder>/...   files of one batch, or of a compacted range of batches
+    <path>/commits/<record>           an empty file; what it says is its name
 
 A record's name is ``<from batch>_<to batch>_<tier>_<rows>_<low>_<high>_<folder>``;
 low and high bound the batch's event times in microseconds (``x``: none).  A batch's
@@ -62,6 +62,9 @@ class CommittedTable:
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(f"{self.path}/{p}")
         self._fs = self._path("commits").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _data(self, folder: str) -> str:
+        return f"{self.path}/data/folder={folder}"
+
     # ---- records ----
     def _names(self, folder: str) -> list[str]:
         at = self._path(folder)
@@ -98,7 +101,7 @@ class CommittedTable:
                 df = df.repartition(max(1, self.spark.sparkContext.defaultParallelism), "_day")
         elif rebalance:
             df = df.coalesce(1)
-        df.write.format(self.fmt).partitionBy(*(["_day"] if self.time else [])).save(f"{self.path}/data/{folder}")
+        df.write.format(self.fmt).partitionBy(*(["_day"] if self.time else [])).save(self._data(folder))
         us = F.unix_micros(F.col(self.time).cast("timestamp")) if self.time else F.lit(None).cast("long")
         rows, low, high = self._load([folder]).agg(F.count(F.lit(1)), F.min(us), F.max(us)).first()
         return Record(first, last, tier, rows, low, high, folder)
@@ -138,7 +141,7 @@ class CommittedTable:
         gone = [r for r in self.all_records() if r not in live]
         for r in gone:
             self._fs.delete(self._path(f"commits/{r.name}"), False)
-        folders = [f for f in self._names("data") if f not in keep]
+        folders = [f for f in self._names("data") if f.removeprefix("folder=") not in keep]
         for f in folders:
             self._fs.delete(self._path(f"data/{f}"), True)
         return len(folders)
@@ -147,13 +150,11 @@ class CommittedTable:
     def _load(self, folders: list[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], self.schema)
-        schema = StructType(list(self.schema.fields)).add("_day", "date") if self.time else self.schema
-        rows = None
-        reader = self.spark.read.schema(schema).format(self.fmt)
-        for f in folders:  # a folder is a table of its own, partitioned by day
-            part = reader.load(f"{self.path}/data/{f}")
-            rows = part if rows is None else rows.union(part)
-        return rows
+        schema = StructType(list(self.schema.fields)).add("folder", "string")
+        if self.time:
+            schema = schema.add("_day", "date")
+        reader = self.spark.read.schema(schema).format(self.fmt).option("basePath", f"{self.path}/data")
+        return reader.load([self._data(f) for f in folders])
 
     def read(self, since: dt.datetime | None = None, until: dt.datetime | None = None) -> DataFrame:
         """Committed rows, with event times from ``since`` to ``until`` (as ``newest`` and

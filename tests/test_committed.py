@@ -1,6 +1,7 @@
 """Commit records: crash, retry, compaction, pruning."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,9 +80,10 @@ def test_a_thousand_batches_are_few_files(spark, monkeypatch):
         t.write(rows(spark, i), i)
     template = {r.first: r for r in t.records()}
     monkeypatch.undo()
-    for i in range(8, 1000):  # the rows of batch i % 8 again, under records of their own
+    for i in range(8, 1000):  # the files of batch i % 8 again
         r = template[i % 8]
-        t._commit(Record(i, i, 0, r.rows, r.low, r.high, r.folder))
+        shutil.copytree(t._data(r.folder), t._data(f"copy{i}"))
+        t._commit(Record(i, i, 0, r.rows, r.low, r.high, f"copy{i}"))
     made = t.compact()
     live = t.records()
     assert made == 1000 // COMPACT and len(live) == made % COMPACT + 1000 % COMPACT

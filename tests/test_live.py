@@ -35,9 +35,9 @@ def write_file(folder, n, lines):
 
 @pytest.fixture
 def few_partitions(spark):
-    """Small state: two partitions, and the store that was set before."""
+    """Small state: one partition, and the store that was set before."""
     old, n = spark.conf.get(STATE_PROVIDER), spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
     yield
     spark.conf.set("spark.sql.shuffle.partitions", n)
     spark.conf.set(STATE_PROVIDER, old)

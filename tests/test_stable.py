@@ -50,7 +50,7 @@ def test_a_million_labels_without_a_collect(spark, monkeypatch):
 
 def _store_without_collect(self, df, first, last, tier, rebalance):
     from acctlens.sinks.committed import Record
-    df.select(*self.schema.names).write.parquet(f"{self.path}/data/f")
+    df.select(*self.schema.names).write.parquet(self._data("f"))
     return Record(first, last, tier, 1_000_000, None, None, "f")
 
 
