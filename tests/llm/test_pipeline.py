@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES} == set(range(1, 14))
     assert "pipeline" in entry.queries() and [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier"
 
 
