@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from acctlens.session import scratch_path
 
@@ -41,17 +40,3 @@ def utf8_rows(rb: pa.RecordBatch, column: str) -> Iterator[bytes]:
     kind = pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()
     for x in col.cast(kind):
         yield x.as_py() or b""
-
-
-def collapse_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Group rows whose text is the same (null counts as empty).
-
-    Returns ``(representatives, members)``: one row (doc_id, text) per text,
-    under the smallest doc_id that carries it, and every row's (doc_id,
-    rep_id).  The text is keyed by its SHA-256, so only digests are shuffled
-    for the grouping and partial aggregation absorbs a group of any size.
-    """
-    keyed = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
-    reps = keyed.groupBy("digest").agg(F.min("doc_id").alias("rep_id"))
-    members = keyed.join(reps, "digest").select("doc_id", "rep_id")
-    return reps, members

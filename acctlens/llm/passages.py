@@ -563,7 +563,7 @@ def passage_classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
 
     class_id is the smallest doc_id of the class (documents linked through passages);
     partner_id is a document that the passage at start_word was verified against,
-    the most similar one.  A document without such a passage has no row.  Null
+    the most similar of those compared (not of all, where many passages share a key).  A document without such a passage has no row.  Null
     text counts as empty; texts shorter than a passage have none.  Rows of one
     doc_id are not matched with each other and count as one document; rows
     with a null doc_id take no part.  Empty table: empty result.  Other columns
