@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from acctlens.functions.sql import register_sql_functions
 from acctlens.functions.vectors import vector_to_array
-from acctlens.functions.scalars import access_node_adsl, access_node_fiber, epoch_millis
+from acctlens.functions.scalars import access_node_adsl, access_node_fiber
 from acctlens.operators import anomaly, cause_mix as cm, first_order as fo, ingest, outliers as ol
 from acctlens.operators import labels as lb, moments as mo
 from acctlens.operators import second_order as so
