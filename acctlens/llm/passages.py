@@ -15,7 +15,7 @@ nodes whose subtree is as wide as a passage are kept (two in a passage's length)
    are linked to it at once), first in each block, then over all blocks.  Stretches
    of a heavy key meet by their content's salt.
 3. Members of a key with several send their shingles and meet.  Members with an equal
-   passage are linked.  Of the other pairs, those whose signatures (the minima under all
+   passage are linked; those of one document are one class under all keys that meet there.  Of the other pairs, those whose signatures (the minima under all
    hash functions) agree in ``AGREE`` or more are candidates, and each is verified there
    on all starts that the two stretches have in common, unless verified links join its
    two ends already.  Only verified pairs are links, so no candidate displaces another.
@@ -26,7 +26,6 @@ nodes whose subtree is as wide as a passage are kept (two in a passage's length)
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,21 +39,20 @@ from acctlens.llm.exchange import KEYS_DDL, firsts, found, key_of, packed_keys,
 from acctlens.llm.graph import components
 from acctlens.llm.simhash import join
 from acctlens.llm.suffixes import RANGE_BYTES, SALTS, Block, to_blocks
-from acctlens.llm.toxicity import Memo
 
 PASSAGE, SHINGLE, HASHES, AGREE = 50, 5, 8, 4
 SPAN = PASSAGE - SHINGLE + 1  # shingles in a passage
 PAIRS = tuple((i, i + 1) for i in range(0, HASHES, 2))
-WORDS_KEPT = 300_000
-FEW, CELLS = 16, 1 << 20
+SLICE = 1 << 18  # bytes of words hashed at a time
+FEW, CELLS = 64, 1 << 20  # groups up to FEW list their pairs together; compared at a time in larger ones
 CHUNK = 4096  # members of a heavy key in a chunk
-BULK = 1 << 14  # candidates verified at a time
 EDGES_HELD = 1 << 20
 EQUAL = HASHES + 1  # agreement of passages with the same shingles
 
 U64 = np.uint64
 _MULTIPLIERS = np.random.default_rng(50).integers(1, 1 << 63, 64, dtype=U64) | U64(1)
 _BACK = U64(pow(int(_MULTIPLIERS[27]), -1, 1 << 64))
+_BYTES = np.random.default_rng(51).integers(0, 1 << 64, 256, dtype=U64)
 
 #: Stretches of a block under the keys of a range (``key`` names the one of a heavy key's
 #: members, else -1), or links.
@@ -77,8 +75,41 @@ def mix(x: np.ndarray, seed: int) -> np.ndarray:
     return h ^ (h >> U64(29))
 
 
-def word_memo() -> Memo:
-    return Memo(lambda w: xxhash.xxh64_intdigest(w, 7), WORDS_KEPT)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of a multiplier and of its inverse."""
+    up, down = (np.cumprod(np.concatenate((np.ones(1, U64), np.full(n - 1, m, U64))), dtype=U64) for m in (_MULTIPLIERS[27], _BACK))
+    return up, down
+
+
+def word_hashes(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of the documents that end at ``ends`` in
+    ``data``, and the number of words of each."""
+    text = np.frombuffer(data.lower(), np.uint8)
+    letter = (text != 32) & ((text < 9) | (text > 13))
+    opens, closes = letter.copy(), letter.copy()
+    opens[1:] &= ~letter[:-1]
+    closes[:-1] &= ~letter[1:]
+    edges = np.concatenate(([0], ends))
+    at = edges[edges < len(text)]
+    opens[at] = letter[at]
+    at = edges[edges > 0] - 1
+    closes[at] = letter[at]
+    begin, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    out = np.zeros(len(begin), U64)
+    up, down = powers(max(1, min(SLICE, len(text))))
+    i = 0
+    while i < len(begin):
+        j = int(np.searchsorted(end, begin[i] + SLICE, side="right"))
+        if j == i:  # a word longer than a slice
+            out[i] = xxhash.xxh64_intdigest(text[begin[i]: end[i]].tobytes(), 7)
+            i += 1
+            continue
+        part = text[begin[i]: end[j - 1]]
+        sums = np.concatenate((np.zeros(1, U64), np.cumsum(_BYTES[part] * up[: len(part)], dtype=U64)))
+        x, y = begin[i:j] - begin[i], end[i:j] - begin[i]
+        out[i:j] = mix((sums[y] - sums[x]) * down[x], 24)
+        i = j
+    return out, np.diff(np.searchsorted(begin, edges))
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -116,34 +147,42 @@ def compact_windows(values: np.ndarray, low: np.ndarray, starts: np.ndarray, beg
     nodes = low[starts]
     nodes = nodes[firsts(nodes)]
     of = np.searchsorted(begin, nodes, side="right") - 1
-    left, right = begin[of].tolist(), end[of].tolist()
-    key, at = (values[nodes] & ~POSITION).tolist(), nodes.tolist()
-    stack: list[int] = []
-    document = -1
+    key = values[nodes] & ~POSITION
     # a wide node's lesser neighbours are its ancestors, which are wide as well
-    for i, (v, d) in enumerate(zip(key, of.tolist())):
-        if d != document:
-            document, stack = d, []
-        while stack and key[stack[-1]] > v:
-            right[stack.pop()] = at[i] - 1
-        if stack:
-            left[i] = at[stack[-1]] + 1
-        stack.append(i)
-    return np.stack([np.array(left, np.int64), nodes, np.array(right, np.int64)], axis=1)
+    before, after = ancestors(key, of), len(nodes) - 1 - ancestors(key[::-1], of[::-1], strict=True)[::-1]
+    left, right = begin[of], end[of]
+    inner = (before >= 0) & (of[before] == of)
+    left[inner] = nodes[before[inner]] + 1
+    inner = after < len(nodes)
+    inner[inner] = of[after[inner]] == of[inner]
+    right[inner] = nodes[after[inner]] - 1
+    return np.stack([left, nodes, right], axis=1)
+
+
+def ancestors(key: np.ndarray, of: np.ndarray, strict: bool = False) -> np.ndarray:
+    """For each node the nearest one before it that is no greater (``strict``: lesser), or that
+    belongs to another document; -1 if there is none.  Pointers jump over greater nodes to where those point."""
+    up = np.arange(-1, len(key) - 1)
+    open_ = np.flatnonzero(up >= 0)
+    while len(open_):
+        to = up[open_]
+        over = (of[to] == of[open_]) & ((key[to] >= key[open_]) if strict else (key[to] > key[open_]))
+        open_, to = open_[over], up[to[over]]
+        up[open_] = to
+        open_ = open_[to >= 0]
+    return up
 
 
 class Passages:
     """Keyed stretches of passage starts in a block; positions count words
     from the block's first."""
 
-    def __init__(self, row: dict, memo: Memo, ranges: int):
+    def __init__(self, row: dict, ranges: int):
         b = Block(row, 0)
         self.ids = b.ids
-        edges = np.concatenate(([0], b.ends)).tolist()
-        words = [row["data"][a:e].lower().split() for a, e in zip(edges, edges[1:])]
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        words, sizes = word_hashes(row["data"], b.ends)
         self.first_word = np.concatenate(([0], np.cumsum(sizes)))
-        self.shingles = shingles(np.fromiter(map(memo.__getitem__, chain.from_iterable(words)), U64, int(sizes.sum())))
+        self.shingles = shingles(words)
         docs = np.flatnonzero(b.known & (sizes >= PASSAGE))
         none = np.zeros(0, np.int64)
         self.key, self.doc, self.first, self.last, self.c, self.low = none.astype(U64), none, none, none, none, []
@@ -165,7 +204,8 @@ class Passages:
         key, at, last, c = [], [], [], []
         for p, (i, j) in enumerate(PAIRS):
             (f1, c1), (f2, c2) = intervals[i], intervals[j]
-            first = np.union1d(f1, f2)  # intervals of one function follow each other without gaps
+            first = np.sort(np.concatenate((f1, f2)), kind="stable")  # intervals of one function follow each other without gaps
+            first = first[firsts(first)]
             a = c1[np.searchsorted(f1, first, side="right") - 1]
             d = c2[np.searchsorted(f2, first, side="right") - 1]
             key.append(mix(self.shingles[a] ^ mix(self.shingles[d] + U64(p), 29), 28))
@@ -190,60 +230,67 @@ class Passages:
         """A hash of all shingles of a stretch in their order, and of where in it
         its first minimum is."""
         n = len(self.shingles)
-        up, down = (np.cumprod(np.concatenate((np.ones(1, U64), np.full(n, m, U64))), dtype=U64) for m in (_MULTIPLIERS[27], _BACK))
+        up, down = powers(n + 1)
         sums = np.concatenate((np.zeros(1, U64), np.cumsum(self.shingles * up[:n], dtype=U64)))
         first, end = self.first[rows], self.last[rows] + SPAN
         where = (self.c[rows] - first + SPAN) * 4 * SPAN + end - first
         return mix((sums[end] - sums[first]) * down[first] ^ mix(where.astype(U64), 26), 25)
 
 
+def nth_of(groups: np.ndarray) -> np.ndarray:
+    """Place of each row in its run of equal values."""
+    begin = np.flatnonzero(firsts(groups))
+    return np.arange(len(groups)) - np.repeat(begin, np.diff(np.append(begin, len(groups))))
+
+
 def spanning(label: np.ndarray, a: np.ndarray, b: np.ndarray, agree: np.ndarray, verify=None):
-    """Of candidate pairs the edges of a spanning forest, the most alike first;
-    ``verify`` tells which pairs hold.  A pair is left out only if edges that hold join its ends."""
+    """Of candidate pairs those that hold by ``verify``, the most alike first; a pair is
+    left out only if pairs that hold join its ends already.  Each round tries a few
+    candidates of each class, of different partners first; the next round twice as many."""
     kept = []
     for level in range(HASHES, AGREE - 1, -1):
         u, v = a[agree == level], b[agree == level]
-        tried = 0
+        tried = 1
         while True:
             apart = label[u] != label[v]
             u, v = u[apart], v[apart]
             if not len(u):
                 break
-            one = np.unique(np.maximum(label[u], label[v]), return_index=True)[1]
+            low, high = np.minimum(label[u], label[v]), np.maximum(label[u], label[v])
+            order = np.lexsort((low, high))
+            order = order[nth_of(high[order] * len(label) + low[order]) < tried]
+            order = order[nth_of(high[order]) < tried]
+            x, y = u[order], v[order]
+            rest = np.ones(len(u), bool)
+            rest[order] = False
+            u, v = u[rest], v[rest]
             if verify is not None:
-                part = np.arange(min(len(u), BULK)) if tried else one
-                tried += 1
-                x, y = u[part], v[part]
-                u, v = np.delete(u, part), np.delete(v, part)
                 good = verify(x, y)
-                kept += spanning(label, x[good], y[good], np.full(int(good.sum()), level))
-                continue
-            kept.append((u[one], v[one], np.full(len(one), level)))
-            join(label, u[one], v[one])
+                x, y = x[good], y[good]
+            kept.append((x, y, np.full(len(x), level)))
+            join(label, x, y)
+            tried *= 2
     return kept
 
 
 def candidates(signatures: np.ndarray, groups: np.ndarray, label: np.ndarray | None = None, verify=None):
-    """Edges (a, b, agreement) between rows of one group (``groups`` is sorted)
-    that agree in AGREE numbers or more and that ``verify`` confirms: all of them in groups
-    of up to FEW rows, in larger ones a spanning forest.  Rows of one ``label`` are
-    joined already."""
+    """Edges (a, b, agreement) between rows of one group (``groups`` is sorted) that agree in
+    AGREE numbers or more and that ``verify`` confirms, as many as ``spanning`` needs.  Rows of
+    one ``label`` are joined already."""
     kept = []
     begin = np.flatnonzero(firsts(groups))
     size = np.diff(np.append(begin, len(groups)))
     row = np.arange(len(groups)) - np.repeat(begin, size)
     size_of = np.repeat(size, size)
     label = np.arange(len(groups)) if label is None else label
+    listed = [(np.zeros(0, np.int64),) * 3]
     for step in range(1, min(FEW, int(size.max(initial=1)))):  # row i with row i + step
         i = np.flatnonzero((size_of <= FEW) & (row + step < size_of))
         i = i[label[i] != label[i + step]]
         same = (signatures[i] == signatures[i + step]).sum(axis=1)
         near = same >= AGREE
-        i, same = i[near], same[near]
-        if verify is not None:
-            good = verify(i, i + step)
-            i, same = i[good], same[good]
-        kept.append((i, i + step, same))
+        listed.append((i[near], i[near] + step, same[near]))
+    kept += spanning(label, *(np.concatenate(x) for x in zip(*listed)), verify)
     for g, n in zip(begin[size > FEW], size[size > FEW]):
         own = signatures[g: g + n]
         rows = max(1, CELLS // n)
@@ -327,7 +374,8 @@ class Stretches:
         (ca, alo, ahi), (cb, blo, bhi) = spans(a), spans(b)
         of = np.broadcast_to(np.arange(len(a))[:, None], ca.shape)
         na, nb = counted(of, alo, ahi), counted(of, blo, bhi)
-        k, i, j = np.nonzero(ca[:, :, None] == cb[:, None, :])
+        k, at = np.divmod(np.flatnonzero(ca[:, :, None] == cb[:, None, :]), len(step) ** 2)
+        i, j = np.divmod(at, len(step))
         both = counted(k, np.maximum(alo[k, i], blo[k, j]), np.minimum(ahi[k, i], bhi[k, j]))
         alike = np.where(np.arange(most) < many[:, None], both / np.maximum(na + nb - both, 1), -1.0)
         at = alike.argmax(axis=1)
@@ -441,10 +489,10 @@ def verified_edges(key, sign, doc, place, around, codes, similarity: float) -> p
     """Links between members that meet (sorted by key): enough of the verified pairs to join all
     that are verified or have an equal passage."""
     s = Stretches(codes, around)
-    # rows of one document, and such with an equal passage, are of one class
+    # rows of one document, under whichever keys, and such with an equal passage are of one class
     label = np.arange(len(key))
-    order = np.lexsort((doc, key))
-    new = firsts(key[order]) | firsts(doc[order])
+    order = np.argsort(doc, kind="stable")
+    new = firsts(doc[order])
     join(label, order[new][np.cumsum(new) - 1], order)
     of, start, content = s.windows()
     content = mix(content ^ mix(key[of].astype(U64), 24), 23)
@@ -455,8 +503,17 @@ def verified_edges(key, sign, doc, place, around, codes, similarity: float) -> p
     join(label, of[head], of[rest])
     equal = edge_table(doc[of[head]], place[of[head], 1] + start[head], doc[of[rest]], place[of[rest], 1] + start[rest],
                        np.full(len(rest), EQUAL), np.ones(len(rest)))
-    a, b, agree = candidates(sign, key, label, lambda a, b: s.slide(a, b)[0] >= similarity)
-    alike, x, y = s.slide(a, b)
+    held = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),) + (np.zeros(0, np.int64),) * 2]
+
+    def verify(a, b):
+        alike, x, y = s.slide(a, b)
+        good = alike >= similarity
+        held.append((a[good], b[good], alike[good], x[good], y[good]))
+        return good
+
+    candidates(sign, key, label, verify)
+    a, b, alike, x, y = (np.concatenate(c) for c in zip(*held))
+    agree = (sign[a] == sign[b]).sum(axis=1)
     return pa.concat_tables([equal, edge_table(doc[a], place[a, 1] + x, doc[b], place[b, 1] + y, agree, alike)])
 
 
@@ -481,17 +538,15 @@ def near_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     ranges = max(1, -(-total // RANGE_BYTES))
 
     def send_keys(batches):
-        memo = word_memo()
         for rb in batches:
             for row in rb.to_pylist():
-                p = Passages(row, memo, ranges)
+                p = Passages(row, ranges)
                 yield from packed_keys(row["uid"], p.key, p.ids[p.doc], ranges)
 
     def send_entries(batches):
-        memo = word_memo()
         for rb in batches:
             for row in rb.to_pylist():
-                p = Passages(row, memo, ranges)
+                p = Passages(row, ranges)
                 hot, heavy = found(p.key, row["hot"])
                 rows = np.flatnonzero(hot)
                 for out in packed_entries(row["uid"], p, rows, heavy[rows], ranges):
@@ -506,18 +561,15 @@ def near_passages(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     asked = asked.groupBy("uid").agg(F.collect_list(F.struct(*[c for c in asked.columns if c != "uid"])).alias("asked"))
 
     def answer(batches):
-        memo = word_memo()
         for rb in batches:
             for row in rb.to_pylist():
                 ends = np.cumsum(np.frombuffer(row["lens"], np.int64))
                 begin = np.concatenate(([0], ends[:-1]))
                 needed = np.unique(np.concatenate([column(q["place"], "place")[:, 0] for q in row["asked"]]))
-                parts = []
-                for d in needed.tolist():
-                    words = row["data"][begin[d]: ends[d]].lower().split()
-                    parts.append((shingles(np.fromiter(map(memo.__getitem__, words), U64, len(words))) >> U64(32)).astype(np.uint32))
-                first = np.cumsum([0, *map(len, parts)])
-                codes = np.concatenate(parts)
+                parts = [row["data"][begin[d]: ends[d]] for d in needed.tolist()]
+                words, sizes = word_hashes(b"".join(parts), np.cumsum(list(map(len, parts))))
+                first = np.cumsum(sizes) - sizes
+                codes = (shingles(words) >> U64(32)).astype(np.uint32)
                 for q in row["asked"]:
                     place, around = column(q["place"], "place").astype(np.int64), column(q["around"], "around").astype(np.int64)
                     at = first[np.searchsorted(needed, place[:, 0])] + place[:, 1] + around[:, 0]
@@ -562,8 +614,9 @@ def passage_classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     class_id, partner_id, start_word, n_words, partner_start, similarity).
 
     class_id is the smallest doc_id of the class (documents linked through passages);
-    partner_id is a document that the passage at start_word was verified against,
-    the most similar of those compared (not of all, where many passages share a key).  A document without such a passage has no row.  Null
+    partner_id is a document that the passage at start_word was verified against: of the
+    verified links the most similar one, not of all documents, since a pair is left out where
+    verified links join its ends already, in groups of every size.  A document without such a passage has no row.  Null
     text counts as empty; texts shorter than a passage have none.  Rows of one
     doc_id are not matched with each other and count as one document; rows
     with a null doc_id take no part.  Empty table: empty result.  Other columns

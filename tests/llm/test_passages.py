@@ -2,8 +2,8 @@ import random
 
 import numpy as np
 
-from acctlens.llm.passages import (CHUNK, FEW, HASHES, SPAN, Passages, Stretches, candidates, compact_windows, dealt, firsts, least_at,
-                                   packed_entries, passage_classes, word_memo)
+from acctlens.llm.passages import (AGREE, CHUNK, FEW, HASHES, SPAN, Passages, Stretches, candidates, compact_windows, dealt, firsts,
+                                   least_at, packed_entries, passage_classes, spanning, word_hashes)
 from tests.llm.helpers import Union, documents, edge_rows, prose
 
 
@@ -58,8 +58,8 @@ def test_large_groups_are_joined_by_a_forest():
     sign[np.arange(len(sign)), rng.integers(0, HASHES, len(sign))] = rng.integers(0, 1 << 16, len(sign))
     a, b, n = candidates(sign, np.zeros(len(sign), np.uint32))
     assert len(a) == len(sign) - 1 and (n >= 4).all()
-    a, b, n = candidates(sign[:FEW], np.zeros(FEW, np.uint32))
-    assert len(a) == FEW * (FEW - 1) // 2
+    a, b, n = candidates(sign[:FEW], np.zeros(FEW, np.uint32))  # the same rule in small groups
+    assert len(a) == FEW - 1 and (n >= 4).all()
     assert firsts(np.array([3, 3, 4])).tolist() == [True, False, True]
 
 
@@ -137,7 +137,7 @@ def test_a_heavy_key_is_spread(spark):
     """Entries go to salts; members to cells in which each two of them meet."""
     text = " ".join(["x", *(prose(30_000, 60) + f" {prose(40_000 + i, 12)}" for i in range(300))]).encode()
     row = {"ids": np.arange(1).tobytes(), "known": np.ones(1, bool).tobytes(), "lens": np.array([len(text)]).tobytes(), "data": text}
-    p = Passages(row, word_memo(), 1)
+    p = Passages(row, 1)
     rows = np.arange(len(p.key))
     salts = {e[1] for e in packed_entries(7, p, rows, np.ones(len(rows), bool), 1)}
     assert len(salts) > 200 and min(salts) > 0
@@ -154,3 +154,34 @@ def test_a_heavy_key_is_spread(spark):
         for c in x.cells:
             load[x.range, x.key, c] = load.get((x.range, x.key, c), 0) + x.n
     assert load[3, -1, 0] == 99 and load[4, 9, 0] == 5 and max(load.values()) < 2.4 * CHUNK
+
+
+def test_hashes_of_words_are_equal_as_the_words_are():
+    texts = [b"", b"Some\twords  of some\x0bWORDS", b"", b"of", "schöne wörter schöne".encode(), b" \n ", b"aa a aaa\x00 aaa", b"z" * 600_000 + b" z",
+             b"Z" * 600_000, b"q " * 300_000, b"some"]
+    hashes, sizes = word_hashes(b"".join(texts), np.cumsum(list(map(len, texts))))
+    words = [w for t in texts for w in t.lower().split()]
+    assert sizes.tolist() == [len(t.split()) for t in texts] and len(hashes) == len(words)
+    of = {}
+    for w, h in zip(words, hashes.tolist()):
+        assert of.setdefault(w, h) == h
+    assert len(set(of.values())) == len(of)
+    assert [len(x) for x in word_hashes(b"", np.zeros(0, np.int64))] == [0, 0]
+    assert word_hashes(b"", np.zeros(2, np.int64))[1].tolist() == [0, 0]
+
+
+def test_a_pair_that_fails_keeps_no_other_from_being_tried():
+    """Of the candidates of two classes only the last holds."""
+    n = 200
+    tried = []
+
+    def verify(a, b):
+        tried.extend(zip(a.tolist(), b.tolist()))
+        return (a == 3) & (b == n - 1)
+
+    label = np.arange(n)
+    a = np.repeat(np.arange(n // 2), n // 2)
+    b = np.tile(np.arange(n // 2, n), n // 2)
+    kept = spanning(label, a, b, np.full(len(a), AGREE), verify)
+    assert [(x, y) for k in kept for x, y in zip(k[0].tolist(), k[1].tolist())] == [(3, n - 1)]
+    assert len(tried) == len(set(tried)) == len(a) and label[n - 1] == 3
