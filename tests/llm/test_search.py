@@ -3,7 +3,8 @@ import math
 import numpy as np
 import pytest
 
-from acctlens.llm.ann import ann_search, codes_of, fitted_rotation, probe, substring_index
+from acctlens.llm.ann import (STEPS, ann_search, codes_of, fitted_rotation, in_ring, index_bytes, index_from, parts_of, radius_by_cosine,
+                               rings, search, substrings)
 from acctlens.llm.topk import accumulate, exact_top_k, select_best
 
 NAN, INF = float("nan"), float("inf")
@@ -73,13 +74,47 @@ def test_ann_edge_cases(spark):
     assert [c for _, c, _ in sorted(got[0])][:3] == [1, 200, 201]  # equal vectors, ties to the smaller id
 
 
-@pytest.mark.parametrize("radius", [0, 3, 8, 13, 20])
-def test_probing_returns_every_code_in_the_radius(radius):
-    rng = np.random.default_rng(radius)
+@pytest.mark.parametrize("ring", range(6))
+def test_probing_sees_every_code_in_the_radius(ring):
+    rng = np.random.default_rng(ring)
     codes = rng.integers(0, 256, (3000, 8), dtype=np.uint8)
-    index = substring_index(codes)
-    ones = np.unpackbits(codes ^ codes[17], axis=1).sum(axis=1)
-    assert (probe(codes[17], index, codes, radius) == np.flatnonzero(ones <= radius)).all()
+    parts = parts_of(64, len(codes))
+    assert parts[0][0] == 0 and parts[-1][1] == 64 and max(hi - lo for lo, hi in parts) <= 13
+    same, index = index_from(index_bytes(codes, parts), len(codes), parts)
+    assert (same == codes).all()
+    seen = np.zeros(len(codes), bool)
+    rows = np.concatenate([in_ring(substrings(codes[17:18], parts)[:, 0], a, index, parts, seen) for a in range(ring + 1)])
+    assert len(set(rows.tolist())) == len(rows) == seen.sum()
+    far = np.unpackbits(codes ^ codes[17], axis=1)
+    assert set(np.flatnonzero(far.sum(axis=1) < len(parts) * (ring + 1))) <= set(rows.tolist())
+    assert set(rows.tolist()) == set(np.flatnonzero(np.min([far[:, lo:hi].sum(axis=1) for lo, hi in parts], axis=0) <= ring))
+    assert [len(r) for r in rings(4)] == [1, 4, 6, 4, 1]
+
+
+def clustered(n):
+    rng = np.random.default_rng(8)
+    m = rng.standard_normal((n // 20, 64))[rng.integers(0, n // 20, n)] + 0.3 * rng.standard_normal((n, 64))
+    return m / np.sqrt((m * m).sum(axis=1))[:, None]
+
+
+def test_the_radius_follows_what_is_found():
+    """Clustered vectors: few rows are probed and reranked, nearly all neighbours are found."""
+    m = clustered(8000)
+    mean, turn = fitted_rotation(m[:4000])
+    codes = codes_of(m, mean, turn)
+    radii = radius_by_cosine(m[:4000], codes[:4000], 0.97)
+    assert len(radii) == STEPS + 1 and (np.diff(radii) <= 0).all()
+    parts = parts_of(64, len(m))
+    _, index = index_from(index_bytes(codes, parts), len(m), parts)
+    hits = seen = ranked = 0
+    for q in range(0, len(m), 80):
+        rows, scores, probed = search(codes[q], codes, index, parts, radii, lambda r: m[r] @ m[q], 5, skip=q)
+        assert q not in rows and len(set(rows.tolist())) == len(rows) and np.allclose(scores, m[rows] @ m[q])
+        s = m @ m[q]
+        s[q] = -2
+        hits += len(set(np.argsort(-s)[:5].tolist()) & set(rows.tolist()))
+        seen, ranked = seen + probed, ranked + len(rows)
+    assert hits >= 0.9 * 500 and seen < 0.2 * 100 * len(m) and ranked < 0.05 * 100 * len(m)
 
 
 def test_ann_recall_on_the_table(spark):
