@@ -9,7 +9,8 @@ the longest whose path is a prefix of the URL's path decides.
 
 Rows go to range shards by (key, salt) with splitters from a bounded sample
 (at most ``MAX_SHARDS * 16`` keys); the salt spreads a hot host, or a hot URL,
-over shards.  A rule is sent to the shards that its interval overlaps.
+over shards.  Each shard is a partition of its own, so no two meet in one task.  A rule is sent
+to the shards that its interval overlaps.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def apply_rules(pages: DataFrame, rules: DataFrame, default: str = "allow", id_c
     rule_rows = (rules.select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict").dropna().distinct()
                  .select(reversed_key(F.col("host")).alias("key"), "host", "path", "verdict"))
     events = urls.mapInArrow(place_urls, ddl).unionByName(rule_rows.mapInArrow(place_rules, ddl))
-    swept = (events.repartition(n, "shard").sortWithinPartitions("shard", "key", "kind", F.length("path"))
+    swept = (events.repartitionById(n, "shard").sortWithinPartitions("shard", "key", "kind", F.length("path"))
              .mapInArrow(lambda it: sweep(it, default),
                          "id long, host string, path string, rule string, verdict string"))
     return swept.withColumnRenamed("id", id_column)

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from acctlens.llm.queries import URL_RULES
 from acctlens.llm.url_rules import apply_rules
 
@@ -41,3 +43,18 @@ def test_random_nested_rules_over_shards(spark, monkeypatch):
     path = lambda: "/" + "/".join(label() for _ in range(r.randrange(3)))
     rules = [(host(4), path(), r.choice(["allow", "block"])) for _ in range(60)]
     check(spark, [f"http://{host(6)}{path()}" for _ in range(900)] + ["http://a.a/"] * 200, rules)
+
+
+def test_each_shard_is_a_task_and_null_ids_stay(spark, monkeypatch):
+    import acctlens.llm.url_rules as m
+    monkeypatch.setattr(m, "ROWS_PER_SHARD", 40)
+    urls = [f"http://h{i}.org/es/{i}" for i in range(500)] + ["http://hot.example.org/es/x"] * 500
+    pages = spark.createDataFrame([(i if i % 7 else None, u) for i, u in enumerate(urls)], "page_id long, url string")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    got = apply_rules(pages, rules).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.page_id is None, r.page_id or 0, r.rule, r.verdict) for r in got) == sorted(
+        (i % 7 == 0, i if i % 7 else 0, *brute(u, URL_RULES)[2:]) for i, u in enumerate(urls))
+    load = {}
+    for r in got:
+        load[r.task] = load.get(r.task, 0) + 1
+    assert len(load) >= 23 and max(load.values()) < 150  # 25 shards
