@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from acctlens.llm.passages import (AGREE, CHUNK, FEW, HASHES, SPAN, Passages, Stretches, candidates, compact_windows, dealt, firsts,
                                    least_at, packed_entries, passage_classes, spanning, word_hashes)
@@ -185,3 +186,32 @@ def test_a_pair_that_fails_keeps_no_other_from_being_tried():
     kept = spanning(label, a, b, np.full(len(a), AGREE), verify)
     assert [(x, y) for k in kept for x, y in zip(k[0].tolist(), k[1].tolist())] == [(3, n - 1)]
     assert len(tried) == len(set(tried)) == len(a) and label[n - 1] == 3
+
+
+@pytest.mark.parametrize("variants", [14, 41])
+def test_each_named_partner_is_a_verified_one(spark, variants):
+    """Variants of a passage, one in three texts unlike the rest: classes and named passages by brute force."""
+    r = random.Random(variants)
+    base, texts = prose(600, 70).split(), {}
+    for d in range(variants):
+        w = list(base)
+        for p in r.sample(range(70), 2 if d % 3 else 12):
+            w[p] = f"v{d}x{p}"
+        texts[d] = " ".join([prose(700 + d, 20), *w])
+    got = {x.doc_id: x for x in passage_classes(documents(spark, list(texts.items())).repartition(3)).collect()}
+    u = Union()
+    for d in texts:
+        for e in range(d):
+            if brute_similarity(texts[d], texts[e]) >= 0.8:
+                u.join(d, e)
+
+    def window(d, at):
+        w = texts[d].lower().split()[at: at + 50]
+        return {tuple(w[i: i + 5]) for i in range(46)}
+
+    for d, x in got.items():
+        a, b = window(d, x.start_word), window(x.partner_id, x.partner_start)
+        assert x.partner_id != d and u.find(x.partner_id) == u.find(d)
+        assert x.similarity >= 0.8 and abs(len(a & b) / len(a | b) - x.similarity) < 1e-12
+    found = {d for d in texts if sum(u.find(e) == u.find(d) for e in texts) > 1}
+    assert set(got) <= found and len(got) >= 0.9 * len(found)
