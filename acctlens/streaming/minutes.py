@@ -16,8 +16,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -30,41 +32,75 @@ RELEASED = "leaf string, minute timestamp, path string"
 LINES = "leaf string, minute timestamp, value string"
 EPOCH = dt.datetime(1970, 1, 1)
 MINUTE = dt.timedelta(minutes=1)
+BLOCK = 360  # minutes whose waiting paths are one entry of the state
+NOTHING = np.array([], np.int64), np.array([], object)
 
 
 class ReplayReach(StatefulProcessor):
-    """Per leaf: the last minute reached, and the paths of minutes that wait."""
+    """Per leaf: the last minute reached, and the paths of minutes that wait.
+
+    Those are kept by blocks of ``BLOCK`` minutes, each one entry of the state: a
+    block is fetched or stored in one call, not minute by minute."""
 
     def __init__(self, start: dt.datetime, max_missing: int):
         self.start, self.step = (start - EPOCH) // MINUTE, max_missing + 1
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.reach = handle.getValueState("reach", "minute long, waiting long")
-        self.waiting = handle.getMapState("waiting", "minute long", "paths array<string>")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        reach, waiting = self.reach.get() if self.reach.exists() else (self.start - 1, 0)
-        for minute, path in sorted((r.at, r.path or "") for r in rows):
-            if minute < self.start:
-                continue
-            if minute <= reach + self.step:
-                yield Row(leaf=key[0], at=minute, path=path)
-                before, reach = reach, max(reach, minute)
-                while waiting and before < reach:  # what the step has brought into reach
-                    before = reach
-                    for m in range(reach + 1, reach + self.step + 1):
-                        if waiting and self.waiting.containsKey((m,)):
-                            for p in self.waiting.getValue((m,))[0]:
-                                yield Row(leaf=key[0], at=m, path=p)
-                            self.waiting.removeKey((m,))
-                            waiting -= 1
-                            reach = m
-            else:
-                known = self.waiting.containsKey((minute,))
-                paths = list(self.waiting.getValue((minute,))[0]) if known else []
-                self.waiting.updateValue((minute,), (paths + [path],))
-                waiting += not known
-        self.reach.update((reach, waiting))
+        self.waiting = handle.getMapState("waiting", "block long", "minutes array<long>, paths array<string>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        reach, blocks = self.reach.get() if self.reach.exists() else (self.start - 1, 0)
+        new = pd.concat(rows)
+        new = new[new["at"] >= self.start].assign(path=lambda x: x["path"].fillna("")).sort_values(["at", "path"])
+        at, path = new["at"].to_numpy(np.int64), new["path"].to_numpy(object)
+        late = np.searchsorted(at, reach, "right")
+        if late:
+            yield self._free(key, at[:late], path[:late])
+        at, path = at[late:], path[late:]
+        cuts = np.flatnonzero(np.diff(at // BLOCK)) + 1
+        arrived = {int(a[0]) // BLOCK: (a, p) for a, p in zip(np.split(at, cuts), np.split(path, cuts)) if len(a)}
+        block = (reach + 1) // BLOCK
+        while (blocks or arrived) and block * BLOCK <= reach + self.step:  # what is in reach, in order of time
+            at, path = arrived.pop(block, NOTHING)
+            fresh, known = len(at) > 0, blocks > 0 and self.waiting.containsKey((block,))
+            if known:
+                at, path = self._joined(block, at, path)
+            near = np.diff(at, prepend=reach) <= self.step
+            n = len(at) if near.all() else int(near.argmin())
+            if n:
+                yield self._free(key, at[:n], path[:n])
+                reach = int(at[n - 1])
+            if n < len(at):  # a gap within the block: all that follows waits
+                if n or fresh:
+                    self._wait(block, at[n:], path[n:])
+                blocks += not known
+                break
+            if known:
+                self.waiting.removeKey((block,))
+                blocks -= 1
+            block += 1
+        for block, (at, path) in arrived.items():
+            known = blocks > 0 and self.waiting.containsKey((block,))
+            if known:
+                at, path = self._joined(block, at, path)
+            self._wait(block, at, path)
+            blocks += not known
+        self.reach.update((reach, blocks))
+
+    def _joined(self, block: int, at: np.ndarray, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """With what waits in the block already, by time."""
+        minutes, paths = self.waiting.getValue((block,))
+        at = np.concatenate([np.array(minutes, np.int64), at])
+        order = np.argsort(at, kind="stable")
+        return at[order], np.concatenate([np.array(paths, object), path])[order]
+
+    def _wait(self, block: int, at: np.ndarray, path: np.ndarray) -> None:
+        self.waiting.updateValue((block,), (at.tolist(), path.tolist()))
+
+    @staticmethod
+    def _free(key, at: np.ndarray, path: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"leaf": key[0], "at": at, "path": path})
 
     def close(self) -> None:
         pass
@@ -104,8 +140,8 @@ def released_minutes(presence: DataFrame, start: str, max_missing: int = DEFAULT
     Files without a minute in their name are left out."""
     at = F.floor(F.unix_seconds("minute") / 60).cast("long").alias("at")
     rows = presence.filter("minute is not null").select("leaf", at, F.col("path").cast("string").alias("path"))
-    free = rows.groupBy("leaf").transformWithState(ReplayReach(parse_start_minute(start), max_missing),
-                                                   "leaf string, at long, path string", "append", "none")
+    free = rows.groupBy("leaf").transformWithStateInPandas(ReplayReach(parse_start_minute(start), max_missing),
+                                                           "leaf string, at long, path string", "append", "none")
     return free.select("leaf", F.timestamp_seconds(F.col("at") * 60).alias("minute"), "path")
 
 
