@@ -53,10 +53,15 @@ class Record:
 
 
 class CommittedTable:
-    """``time`` is the event-time column, if any; rows are laid out by its day."""
+    """``time`` is the event-time column, if any; rows are laid out by its day.
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType | str, time: str | None = None, fmt: str = "parquet"):
-        self.spark, self.path, self.time, self.fmt = spark, path.rstrip("/"), time, fmt
+    ``by_day``: a batch's rows are dealt over the writers by day first, so that a batch of
+    many days has a file or two for each instead of one for each day and writer; the batch is run
+    through twice, so callers persist it."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType | str, time: str | None = None, fmt: str = "parquet",
+                 by_day: bool = False):
+        self.spark, self.path, self.time, self.fmt, self.by_day = spark, path.rstrip("/"), time, fmt, by_day
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
         jvm = spark.sparkContext._jvm
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(f"{self.path}/{p}")
@@ -97,8 +102,11 @@ class CommittedTable:
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         if self.time:
             df = df.withColumn("_day", F.to_date(self.time))
+            writers = max(1, self.spark.sparkContext.defaultParallelism)
             if rebalance:
-                df = df.repartition(max(1, self.spark.sparkContext.defaultParallelism), "_day")
+                df = df.repartition(writers, "_day")
+            elif self.by_day:  # neighbouring days to a writer; the rows of a large day to several
+                df = df.repartitionByRange(writers, F.col("_day"), F.xxhash64(*self.schema.names))
         elif rebalance:
             df = df.coalesce(1)
         df.write.format(self.fmt).partitionBy(*(["_day"] if self.time else [])).save(self._data(folder))

@@ -108,7 +108,7 @@ OUTPUTS = {
 
 def output(spark: SparkSession, out_root: str, name: str) -> CommittedTable:
     schema, time = OUTPUTS[name]
-    return CommittedTable(spark, f"{out_root}/{name}", schema, time)
+    return CommittedTable(spark, f"{out_root}/{name}", schema, time, by_day=time is not None)
 
 
 def alive_monitor_batch(out_root: str, topic: tuple[str, str] | None = None, show: int = 0) -> Callable[[DataFrame, int], None]:
@@ -159,10 +159,13 @@ def anomaly_batch(cfg: AnalyzerConfig, out_root: str, show: int = 0) -> Callable
     """Sink of the live check: what it finds, committed per micro-batch."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        found = batch_anomalies(batch, cfg)
-        if show:
-            head_sorted(found, show, "timestamp", "aggField1").show(show, truncate=False)
-        output(batch.sparkSession, out_root, "anomalies").write(found, batch_id)
+        found = batch_anomalies(batch, cfg).persist()
+        try:
+            if show:
+                head_sorted(found, show, "timestamp", "aggField1").show(show, truncate=False)
+            output(batch.sparkSession, out_root, "anomalies").write(found, batch_id)
+        finally:
+            found.unpersist()
 
     return run
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from acctlens.session import scratch_path
 from acctlens.sinks.committed import COMPACT, CommittedTable, Record
+from acctlens.streaming import jobs
 
 SCHEMA = "k string, t timestamp, v long"
 
@@ -121,3 +122,20 @@ def test_stream_that_dies_after_the_table_has_committed(spark, tmp_path):
         except Exception as e:
             assert "lost driver" in str(e)
     assert died and sorted(r.v for r in out.read().collect()) == [45, 145, 245]
+
+
+def test_a_batch_of_many_days_has_few_files_a_day(spark):
+    """40 days in 8 pieces that each hold all of them; a single day is dealt over several writers."""
+    t = CommittedTable(spark, scratch_path(spark, "test/committed", unique=True), SCHEMA, "t", by_day=True)
+    days = spark.range(0, 4000, 1, 8).select(F.lit("k").alias("k"), F.timestamp_seconds(F.col("id") * 7919 % 40 * 86400).alias("t"), F.col("id").alias("v"))
+    assert t.write(days, 0)
+    got, writers = t.read(), spark.sparkContext.defaultParallelism
+    assert len(got.inputFiles()) <= 40 + writers
+    assert sorted(r.v for r in got.collect()) == list(range(4000))
+    assert t.write(rows(spark, 0, 4000), 1) and t.write(rows(spark, 0, 0), 2)
+    assert len(t._load([t.records()[1].folder]).inputFiles()) > 1 or writers == 1
+    assert t.read().count() == 8000
+
+
+def test_the_analyzers_tables_are_dealt_by_day(spark):
+    assert {n for n in jobs.OUTPUTS if jobs.output(spark, "/tmp/none", n).by_day} == {"counts", "stats", "anomalies"}
