@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from acctlens.config import AnalyzerConfig
 from acctlens.operators.anomaly import lower_side_anomalies
+from acctlens.operators.asof import time_bucket_of
 from acctlens.operators.first_order import ALIVE_AGG_NAME, alive_counts
 from acctlens.operators.second_order import second_order_stats
 
@@ -121,11 +122,17 @@ def live_matches(counts: DataFrame, stats: DataFrame, cfg: AnalyzerConfig) -> Da
     timestamp]``; counts without any are left out.
 
     Event times lie one microsecond before a count's stamp and two before that of
-    statistics, hence the microsecond in the bounds."""
-    s = stats.select(F.col("aggField1").alias("_key"), F.col("timestamp").alias("statsTimestamp"), "mean", "stdDev",
-                     F.col("eventTime").alias("_statsTime"))
+    statistics, hence the microsecond in the bounds.  The lookback is also the width of
+    buckets of time, as in ``operators.asof``: each row of statistics goes to the two that its reach
+    touches, so a count meets those of its bucket and not a server's whole batch."""
+    width = cfg.lookback_seconds
     newest = F.col("eventTime") - F.expr("INTERVAL 1 MICROSECOND")
-    joined = counts.join(s, [counts["aggField1"] == s["_key"], F.col("_statsTime") <= newest,
+    reach_end = F.col("eventTime") + F.expr(f"INTERVAL {width} SECONDS") - F.expr("INTERVAL 1 MICROSECOND")
+    reach = F.sequence(time_bucket_of(F.col("eventTime"), width), time_bucket_of(reach_end, width))
+    s = stats.select(F.col("aggField1").alias("_key"), F.col("timestamp").alias("statsTimestamp"), "mean", "stdDev",
+                     F.col("eventTime").alias("_statsTime"), F.explode(reach).alias("_reached"))
+    counts = counts.withColumn("_bucket", time_bucket_of(newest, width))
+    joined = counts.join(s, [counts["aggField1"] == s["_key"], F.col("_bucket") == F.col("_reached"), F.col("_statsTime") <= newest,
                              F.col("_statsTime") > newest - F.expr(f"INTERVAL {cfg.lookback_seconds} SECONDS")], "inner")
     return joined.select("aggName", "timestamp", "aggField1", "value", "statsTimestamp", "mean", "stdDev")
 
