@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPLITS_KEPT, LONGEST_KEPT, STATES_KEPT, PAIRS_KEPT = 200_000, 64, 80_000, 400_000
+SPLITS_KEPT, LONGEST_KEPT, STATES_KEPT, PAIRS_KEPT = 200_000, 64, 200_000, 400_000
 LOOKBACK, LISTED = 4096, 1 << 22
 #: Beyond Latin-1, or a number or separator of it that is no digit or white space to all.
 OUTSIDE = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0100-\U0010ffff]").search
@@ -70,11 +70,14 @@ class Transducer:
                 self.heads[t[:n]] = (ranks.get(t[:n]), True, t[:n])
         self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
+        self.states: dict[tuple, State] = {}
         self._reset()
 
     def _reset(self):
+        for s in self.states.values():  # states lead to each other; tasks run without the collector of cycles
+            s.step.clear()
         self.start = State(((b"", None),))
-        self.states: dict[tuple, State] = {self.start.live: self.start}
+        self.states = {self.start.live: self.start}
 
     def merged(self, data: bytes, below: int) -> list[int]:
         """Plain merging, the lowest rank first, with the ranks under ``below``."""

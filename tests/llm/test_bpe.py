@@ -7,6 +7,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from acctlens.llm import bpe
 from acctlens.llm.bpe import Tokenizer, Utf8Machine, bpe_digests, read_ranks, tokenised
 from acctlens.llm.queries import tokenizer_files
 from tests.llm.helpers import documents, edge_rows
@@ -69,3 +70,28 @@ def test_digests(spark, both):
 def test_tokenised_keeps_other_columns(spark, both):
     rows = tokenised(documents(spark, edge_rows()), PATH, PATTERN).collect()
     assert all(r.round_trip and r.n_tokens == len(r.ids) and r.source == "s" for r in rows)
+
+
+def test_states_that_are_dropped_are_freed_without_the_collector():
+    """Tasks run with gc off; states lead to each other in circles, and a reset has to undo those."""
+    import gc
+    import weakref
+
+    class Seen(bpe.State):
+        __slots__ = ("__weakref__",)
+
+    before = bpe.State
+    bpe.State, was = Seen, gc.isenabled()
+    gc.disable()
+    try:
+        machine = bpe.Transducer({bytes((i,)): i for i in range(256)} | {b"ab": 256, b"abab": 257})
+        machine.encode(b"abcabcababc")
+        dropped = [weakref.ref(s) for s in machine.states.values()]
+        assert len(dropped) > 2
+        machine._reset()
+        assert not any(r() for r in dropped)
+        assert machine.encode(b"ababc") == [257, ord("c")]
+    finally:
+        bpe.State = before
+        if was:
+            gc.enable()
