@@ -9,20 +9,24 @@ document with a smaller doc_id.
    so only suffixes that start at anchors (about one byte in 16) need sorting.
 2. Blocks exchange the hashes of their anchors, sorted and packed by range.
    An anchor that no second document has is dropped: none of its strings repeat.
-3. Each block sorts the suffixes of its remaining anchors and sends front-coded
-   runs (shared prefix with the previous suffix, then the tail) to the anchor's range.
-   Occurrences with the same bytes on both sides are told apart at once: all but
-   the smallest document's are removed there and only that one is sent.
-4. A range merges its runs with a loser tree that carries longest common prefixes: two
-   heads are compared only beyond what both are known to share with the last
-   winner.  Merged order and prefix lengths give, for each length, classes of
+3. Each block sorts the suffixes of its remaining anchors, as far as their strings reach, and
+   sends front-coded runs (shared prefix with the previous suffix, then the tail) to the
+   anchor's range.  Occurrences with the same bytes on both sides are told apart at once: all
+   but the smallest document's are removed there and only that one is sent.
+4. A range merges its runs with loser trees that carry longest common prefixes: two
+   heads are compared only where both are known to share as much with the last
+   winner.  Each gram has a tree of its own, and trees of a depth take their steps
+   together as array operations.  Merged order and prefix lengths give, for each length, classes of
    equal right sides; the left sides are classed alike.  A string is a pair of
    classes; all of its occurrences but those in the smallest document are removed.
 5. The removed strings go back to their blocks, where the rest of each text is put
    together.
 
 An anchor with very many occurrences (``exchange.HEAVY``) is spread: each of its strings goes to
-a salt by its own hash, so strings of a hot anchor are classed in many tasks.
+a range and salt by its own hash, so strings of a hot anchor are classed in many tasks, and
+with its own bytes alone, so a block sends a string that many of its documents share once.
+There are SALTS groups of such strings or, if more, one a range: a block's rows grow with the
+ranges, not with ranges times salts.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from acctlens.llm.blocks import batch_of
 from acctlens.llm.common import parallelism, utf8_rows
-from acctlens.llm.exchange import KEYS_DDL, found, key_of, packed_keys, shared_keys
+from acctlens.llm.exchange import KEYS_DDL, firsts, found, key_of, packed_keys, shared_keys
 from acctlens.session import scratch_path
 
 GRAM = 20
@@ -48,6 +52,10 @@ BLOCK_ROWS = 1 << 16
 RANGE_BYTES = 16 << 20
 SALTS = 256
 STEP = 1 << 16
+BATCH_BYTES = 4 << 20
+ZSTD = pa.Codec("zstd", 1)
+#: How many steps of a single tree take the time of one of many together.
+TOGETHER = 25
 
 U64 = np.uint64
 _MIX1, _MIX2 = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
@@ -57,10 +65,8 @@ BLOCKS = pa.schema([("n", pa.int32()), ("n_bytes", pa.int64()), ("ids", pa.binar
                     ("lens", pa.binary()), ("data", pa.binary()), ("rest", pa.binary())])
 BLOCKS_DDL = "n int, n_bytes long, ids binary, known binary, lens binary, data binary, rest binary"
 RUNS = pa.schema([("range", pa.int32()), ("salt", pa.int32()), ("uid", pa.int64()), ("spans", pa.binary()),
-                  ("lcp", pa.binary()), ("size", pa.binary()), ("tails", pa.binary()), ("left", pa.binary()),
-                  ("lefts", pa.binary()), ("doc", pa.binary()), ("place", pa.binary()), ("offsets", pa.binary())])
-RUNS_DDL = ("range int, salt int, uid long, spans binary, lcp binary, size binary, tails binary, left binary, "
-            "lefts binary, doc binary, place binary, offsets binary")
+                  ("n", pa.int32()), ("n_tails", pa.int64()), ("n_lefts", pa.int64()), ("packed", pa.binary())])
+RUNS_DDL = "range int, salt int, uid long, spans binary, n int, n_tails long, n_lefts long, packed binary"
 SPANS = pa.schema([("uid", pa.int64()), ("spans", pa.binary())])
 
 
@@ -81,18 +87,14 @@ def anchors(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
         v = (v.astype(U64) << U64(32)) | np.arange(at, at + len(v), dtype=U64)
         out.append(_window_min(v, width - GRAM + 1)[: min(STEP, n - at)].astype(np.uint32))
     least = np.concatenate(out)
-    # strings that lie within a document
-    inside = np.zeros(n + 1, np.int32)
-    np.add.at(inside, starts[full], 1)
-    np.add.at(inside, ends[full] - width + 1, -1)
-    first = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
-    first = first[first < len(least)]
-    anchor = least[first].astype(np.int64)
-    new = np.ones(len(first), bool)
-    new[1:] = anchor[1:] != anchor[:-1]
-    begins = np.flatnonzero(new)
-    last = first[np.append(begins[1:], len(first)) - 1]
-    return anchor[begins], first[begins], last
+    # where the anchor changes, and the first string of each document; strings that lie within a document
+    change = np.flatnonzero(least[1:] != least[:-1]) + 1
+    of = np.searchsorted(ends, change, side="right")
+    change = change[(change > starts[of]) & (change <= ends[of] - width)]
+    first = np.sort(np.concatenate((change, starts[full])))
+    final = ends[np.searchsorted(ends, first, side="right")] - width
+    last = np.minimum(final, np.append(first[1:], n) - 1)
+    return least[first].astype(np.int64), first, last
 
 
 def _gram_hashes(x: np.ndarray) -> np.ndarray:
@@ -210,11 +212,32 @@ def to_blocks(docs: DataFrame, others: list[str]) -> DataFrame:
 
 # ---- runs of suffixes -----------------------------------------------------------
 
-def ordered(m: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Order of byte rows (zero-filled, then by length)."""
+def padded(m: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Byte rows, zero-filled, with their length behind, as whole words: rows
+    compare like their strings."""
     n, w = m.shape
-    words = np.ascontiguousarray(np.pad(m, ((0, 0), (0, -w % 8)))).view(">u8").astype(U64)
-    return np.lexsort((size, *[words[:, j] for j in range(words.shape[1] - 1, -1, -1)]))
+    out = np.zeros((n, -(-(w + 1) // 8) * 8), np.uint8)
+    out[:, :w], out[:, w] = m, size
+    return out
+
+
+def ordered(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order by group and bytes, marks of the first of equal ones).  Words are
+    looked at one after the other, only where those before left a tie."""
+    words = rows.view(">u8")
+    order = np.argsort(group, kind="stable")
+    new = firsts(group[order])
+    for j in range(words.shape[1]):
+        alone = new & np.append(new[1:], True)
+        tied = np.flatnonzero(~alone)
+        if not len(tied):
+            break
+        rank = np.cumsum(new[tied])
+        o, w = order[tied], words[order[tied], j].astype(U64)
+        by = np.lexsort((w, rank))
+        order[tied], w = o[by], w[by]
+        new[tied[1:]] |= w[1:] != w[:-1]
+    return order, new
 
 
 def shared_prefix(m: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -235,54 +258,60 @@ def runs_of(b: Block, hot: list, ranges: int) -> Iterator[tuple]:
     key = gram_keys(b.data, at, ranges)
     keep, heavy = found(key, hot)
     at, first, last, doc, key, heavy = (x[keep] for x in (at, first, last, doc, key, heavy))
-    begin = b.ends[doc] - np.frombuffer(b.row["lens"], np.int64)[doc]
-    size = np.minimum(b.ends[doc] - at, width)
-    left = at - first
-    right_m = rows_of(b.data, at, width)
-    right_m[np.arange(width) >= size[:, None]] = 0
-    left_m = np.ascontiguousarray(rows_of(b.data, at, width - GRAM, back=True))
-    left_m[np.arange(width - GRAM) >= left[:, None]] = 0
-    ids = b.ids[doc]
-    salt = np.zeros(len(at), np.int64)
-    hi, lo = left.copy(), at - last  # offsets of the anchor in its strings
+    hi, lo = at - first, at - last  # offsets of the anchor in its strings
+    part, salt = (key >> U64(32)).astype(np.int64), np.zeros(len(at), np.int64)
     if heavy.any():  # a row for each string of a heavy anchor
         times = np.where(heavy, hi - lo + 1, 1)
         pick = np.repeat(np.arange(len(at)), times)
         nth = np.arange(len(pick)) - np.repeat(np.cumsum(times) - times, times)
-        at, doc, key, begin, size, left, ids, heavy = (x[pick] for x in (at, doc, key, begin, size, left, ids, heavy))
-        right_m, left_m = right_m[pick], left_m[pick]
-        hi, lo = np.where(heavy, hi[pick] - nth, hi[pick]), np.where(heavy, hi[pick] - nth, lo[pick])
-        salt = np.where(heavy, 1 + _string_hash(b.data, at - hi, width) % SALTS, 0)
+        at, doc, part, salt, heavy = (x[pick] for x in (at, doc, part, salt, heavy))
+        hi, lo = hi[pick] - np.where(heavy, nth, 0), np.where(heavy, hi[pick] - nth, lo[pick])
+        h = _string_hash(b.data, (at - hi)[heavy], width)
+        part[heavy], salt[heavy] = h % ranges, 1 + h // ranges % max(1, SALTS // ranges)
+    ids, begin = b.ids[doc], b.ends[doc] - np.frombuffer(b.row["lens"], np.int64)[doc]
+    # what the strings of an entry reach on either side
+    right = padded(rows_of(b.data, at, width) * (np.arange(width) < (width - lo)[:, None]), width - lo)
+    left = padded(rows_of(b.data, at, width - GRAM, back=True) * (np.arange(width - GRAM) < hi[:, None]), hi)
+    order, new = ordered(np.concatenate([right, left], axis=1), part * (SALTS + 1) + salt)
+    at, doc, part, salt, hi, lo, ids, begin = (x[order] for x in (at, doc, part, salt, hi, lo, ids, begin))
     # the same bytes on both sides: the smallest document decides
-    grouping = ordered(np.concatenate([right_m, left_m, np.stack([hi, lo], 1).astype(np.uint8)], axis=1),
-                       ids.astype(np.int64))
-    whole = np.concatenate([right_m, left_m, np.stack([hi, lo, size, left], 1).astype(np.uint8)], axis=1)[grouping]
-    new = np.ones(len(at), bool)
-    new[1:] = (whole[1:] != whole[:-1]).any(axis=1)
-    least = np.empty(len(at), np.int64)
+    certain = np.zeros(len(at), bool)
     if len(at):
-        least[grouping] = np.minimum.reduceat(ids[grouping], np.flatnonzero(new))[np.cumsum(new) - 1]
-    certain = ids > least
+        certain = ids > np.minimum.reduceat(ids, np.flatnonzero(new))[np.cumsum(new) - 1]
     if certain.any():
         spans = np.stack([doc, at - hi - begin, at - lo + width - begin], 1)[certain].astype(np.uint32)
-        yield (-1 - int(uid % ranges), 0, uid, spans.tobytes(), *[None] * 8)
+        yield (-1 - int(uid % ranges), 0, uid, spans.tobytes(), *[None] * 4)
     sent = np.flatnonzero(~certain)
-    group = (key[sent] >> U64(32)).astype(np.int64) * (SALTS + 1) + salt[sent]
-    sent = sent[np.argsort(group, kind="stable")]
-    group = np.sort(group)
-    cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else []
-    for c, end in zip(cuts, [*cuts[1:], len(group)]):
-        k = sent[c:end]
-        k = k[ordered(right_m[k], size[k])]
-        m, s = right_m[k], size[k]
-        lcp = shared_prefix(m, s)
-        column = np.arange(width)
-        tails = m[(column >= lcp[:, None]) & (column < s[:, None])]
-        lefts = left_m[k][np.arange(width - GRAM) < left[k][:, None]]
-        yield (int(group[c] // (SALTS + 1)), int(group[c] % (SALTS + 1)), uid, None, lcp.astype(np.uint8).tobytes(),
-               s.astype(np.uint8).tobytes(), tails.tobytes(), left[k].astype(np.uint8).tobytes(), lefts.tobytes(),
-               ids[k].tobytes(), np.stack([doc[k], at[k] - begin[k]], 1).astype(np.uint32).tobytes(),
-               np.stack([hi[k], lo[k]], 1).astype(np.uint8).tobytes())
+    if not len(sent):
+        return
+    order, at, doc, part, salt, hi, lo, ids, begin = (x[sent] for x in (order, at, doc, part, salt, hi, lo, ids, begin))
+    m, column = right[order, :width], np.arange(width)
+    cuts = np.flatnonzero(firsts(part * (SALTS + 1) + salt))
+    lcp = shared_prefix(m, width - lo)
+    lcp[cuts] = 0
+    tails = m[(column >= lcp[:, None]) & (column < (width - lo)[:, None])]
+    lefts = left[order, : width - GRAM][column[: width - GRAM] < hi[:, None]]
+    tail_at, left_at = (np.concatenate(([0], np.cumsum(x))) for x in (width - lo - lcp, hi))
+    lcp, place = lcp.astype(np.uint8), np.stack([doc, at - begin], 1).astype(np.uint32)
+    offsets = np.stack([hi, lo], 1).astype(np.uint8)
+    for c, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)]):
+        t, f = tails[tail_at[c]: tail_at[end]], lefts[left_at[c]: left_at[end]]
+        yield int(part[c]), int(salt[c]), uid, None, end - c, len(t), len(f), _packed(
+            lcp[c:end], t, f, ids[c:end], place[c:end], offsets[c:end])
+
+
+def _packed(lcp, tails, lefts, ids, place, offsets) -> bytes:
+    """Bytes of equal weight lie together, which compresses better."""
+    by_weight = [x.view(np.uint8).reshape(len(lcp), -1).T.tobytes() for x in (ids, place, offsets)]
+    return ZSTD.compress(b"".join([lcp.tobytes(), tails.tobytes(), lefts.tobytes(), *by_weight]), asbytes=True)
+
+
+def _unpacked(r: dict) -> list[np.ndarray]:
+    n, sizes = r["n"], [r["n"], r["n_tails"], r["n_lefts"], 8 * r["n"], 8 * r["n"], 2 * r["n"]]
+    x = np.frombuffer(ZSTD.decompress(r["packed"], sum(sizes)), np.uint8)
+    lcp, tails, lefts, *by_weight = np.split(x, np.cumsum(sizes)[:-1])
+    ids, place, offsets = (np.ascontiguousarray(y.reshape(-1, n).T) for y in by_weight)
+    return [lcp, tails, lefts, ids.view(np.int64).ravel(), place.view(np.uint32), offsets]
 
 
 def _string_hash(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -297,13 +326,20 @@ def _string_hash(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 
 # ---- merging ----------------------------------------------------------------------
 
-def decoded_run(lcp: np.ndarray, size: np.ndarray, tails: bytes) -> list[bytes]:
-    out, before, at = [], b"", 0
-    for p, s in zip(lcp.tolist(), size.tolist()):
-        before = before[:p] + tails[at: at + s - p]
-        at += s - p
-        out.append(before)
-    return out
+def decoded_runs(lcp: np.ndarray, size: np.ndarray, tails: np.ndarray, width: int) -> np.ndarray:
+    """Rows (zero-filled) of front-coded runs, one behind the other."""
+    m = np.zeros((len(lcp), width), np.uint8)
+    column = np.arange(width)
+    m[(column >= lcp[:, None]) & (column < size[:, None])] = tails
+    more = np.flatnonzero(lcp)
+    for c in range(width):
+        more = more[lcp[more] > c]
+        if not len(more):
+            break
+        begin = np.ones(len(more), bool)
+        begin[1:] = more[1:] != more[:-1] + 1
+        m[more, c] = m[np.maximum.accumulate(np.where(begin, more - 1, 0)), c]
+    return m
 
 
 def loser_tree_merge(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], list[int]]:
@@ -371,6 +407,98 @@ def loser_tree_merge(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[in
     return order, shared
 
 
+def merged_lanes(rows: np.ndarray, lane: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bytes shared with the row before) of runs one behind the other,
+    merged lane by lane; rows of a lane are sorted within each run.
+
+    Each lane has a loser tree of its own, with a leaf for each of its runs.  Trees of one
+    depth take their steps together, one array operation for all of them.
+    """
+    order = np.argsort(lane, kind="stable")
+    rows, run, new_lane = rows[order], run[order], firsts(lane[order])
+    segment = np.flatnonzero(new_lane | firsts(run))
+    prefix = np.zeros(len(rows), np.int64)
+    prefix[1:] = _equal_bytes(rows[1:], rows[:-1])
+    prefix[segment] = 0
+    begin = np.flatnonzero(new_lane)
+    n = np.diff(np.append(begin, len(rows)))
+    leaf = np.searchsorted(segment, begin)
+    k = np.diff(np.append(leaf, len(segment)))
+    segment = np.append(segment, len(rows))
+    out, shared = np.arange(len(rows)), prefix.copy()
+    depth = np.ceil(np.log2(k))
+    for kind in np.unique(depth[k > 1]):
+        lanes = np.flatnonzero(depth == kind)
+        lanes = lanes[np.argsort(-n[lanes], kind="stable")]
+        # the longest lanes go one by one: a step for all costs as much as TOGETHER single ones
+        few = np.argmin(np.concatenate(([0], np.cumsum(n[lanes]))) + TOGETHER * np.append(n[lanes], 0))
+        for x in lanes[:few]:
+            ends = segment[leaf[x]: leaf[x] + k[x] + 1]
+            strings = rows[ends[0]: ends[-1]].view(f"V{rows.shape[1]}").ravel().tolist()
+            ends, known = (ends - ends[0]).tolist(), prefix[ends[0]: ends[-1]].tolist()
+            picked, known = loser_tree_merge([(strings[a:z], known[a:z]) for a, z in zip(ends, ends[1:])])
+            # merging keeps the order within a run, so its n-th row is the n-th of it in the output
+            out[begin[x] + np.argsort(picked, kind="stable")] = begin[x] + np.arange(n[x])
+            shared[begin[x]: begin[x] + n[x]] = known
+        if few < len(lanes):
+            x = lanes[few:]
+            _merge_together(rows, prefix, segment, begin[x], n[x], leaf[x], k[x], out, shared)
+    return order[out], shared
+
+
+def _equal_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    differ = a != b
+    first = differ.argmax(axis=1)
+    return np.where(differ[np.arange(len(a)), first], first, a.shape[1])
+
+
+def _merge_together(rows, prefix, segment, begin, n, leaf, k, out, shared) -> None:
+    """``loser_tree_merge`` for many lanes at once, longest first: lanes that are done are the last ones."""
+    lanes, leaves = len(n), 1 << int(k.max() - 1).bit_length()
+    nth = leaf[:, None] + np.minimum(np.arange(leaves), k[:, None])
+    head, end = segment[nth], segment[np.minimum(nth + 1, len(segment) - 1)]
+    end[np.arange(leaves) >= k[:, None]] = 0
+    known = np.where(head < end, 0, -1)
+    losers = np.zeros((lanes, leaves), np.int64)
+
+    def play(lane, a, b):
+        """(winners, losers); heads with equal ``known`` are compared."""
+        known_a, known_b = known[lane, a], known[lane, b]
+        wins = known_a > known_b
+        even = np.flatnonzero((known_a == known_b) & (known_a >= 0))
+        if len(even):
+            at, x, y = lane[even], a[even], b[even]
+            one, two = rows[head[at, x]], rows[head[at, y]]
+            same = _equal_bytes(one, two)
+            where = np.minimum(same, rows.shape[1] - 1)
+            each = np.arange(len(even))
+            less = np.where(same < rows.shape[1], one[each, where] < two[each, where], x < y)
+            wins[even] = less
+            known[at, np.where(less, y, x)] = same
+        return np.where(wins, a, b), np.where(wins, b, a)
+
+    every = np.arange(lanes)
+    level = [np.full(lanes, x) for x in range(leaves)]
+    while len(level) > 1:
+        played = [play(every, a, b) for a, b in zip(level[::2], level[1::2])]
+        level = [w for w, _ in played]
+        for j, (_, lost) in enumerate(played):
+            losers[:, len(level) + j] = lost
+    winner = level[0]
+    active = np.searchsorted(-n, -np.arange(n[0]), side="left")
+    for step in range(int(n[0])):
+        lane, winner = every[: active[step]], winner[: active[step]]
+        at = head[lane, winner]
+        out[begin[lane] + step], shared[begin[lane] + step] = at, known[lane, winner]
+        more = at + 1 < end[lane, winner]
+        head[lane, winner] = at + 1
+        known[lane, winner] = np.where(more, prefix[np.where(more, at + 1, 0)], -1)
+        node = (winner + leaves) >> 1
+        for _ in range(leaves.bit_length() - 1):
+            winner, losers[lane, node] = play(lane, winner, losers[lane, node])
+            node >>= 1
+
+
 def removed_spans(group: pa.Table, width: int) -> Iterator[tuple[int, np.ndarray]]:
     """(uid, rows of (document in block, from, to)) for one range."""
     rows = group.to_pylist()
@@ -380,43 +508,37 @@ def removed_spans(group: pa.Table, width: int) -> Iterator[tuple[int, np.ndarray
     rows = [r for r in rows if r["spans"] is None]
     if not rows:
         return
-    lcps = [np.frombuffer(r["lcp"], np.uint8) for r in rows]
-    sizes = [np.frombuffer(r["size"], np.uint8) for r in rows]
-    order, shared = loser_tree_merge([(decoded_run(p, s, r["tails"]), p.tolist())
-                                      for p, s, r in zip(lcps, sizes, rows)])
-    run = np.array(order)
-    # merging keeps the order within a run, so its n-th string is the n-th of it in the output
-    counts = np.array([len(s) for s in sizes])
-    base = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    at = np.empty(len(run), np.int64)
-    at[np.argsort(run, kind="stable")] = np.arange(len(run))
-    shared = np.array(shared)
-    merged = lambda name, kind, shape=-1: np.concatenate(
-        [np.frombuffer(r[name], kind).reshape(shape) if shape != -1 else np.frombuffer(r[name], kind) for r in rows])[at]
-    size = np.concatenate(sizes)[at].astype(np.int64)
-    doc = merged("doc", np.int64)
-    place, offsets = merged("place", np.uint32, (-1, 2)), merged("offsets", np.uint8, (-1, 2)).astype(np.int64)
-    left_size = np.concatenate([np.frombuffer(r["left"], np.uint8) for r in rows]).astype(np.int64)
-    left_m = np.zeros((len(left_size), width - GRAM), np.uint8)
-    left_m[np.arange(width - GRAM) < left_size[:, None]] = np.frombuffer(b"".join(r["lefts"] for r in rows), np.uint8)
-    left_m, left_size = left_m[at], left_size[at]
-    by_left = ordered(left_m, left_size)
-    left_shared = shared_prefix(left_m[by_left], left_size[by_left])
+    run = np.repeat(np.arange(len(rows)), [r["n"] for r in rows])
+    lcp, tails, lefts, doc, place, offsets = map(np.concatenate, zip(*map(_unpacked, rows)))
+    size, offsets = width - offsets[:, 1].astype(np.int64), offsets.astype(np.int64)
+    right = padded(decoded_runs(lcp, size, tails, width), size)
+    at, shared = merged_lanes(right, gram_keys(right.ravel(), np.arange(len(run)) * right.shape[1], 1 << 24), run)
+    del right
+    left = np.zeros((len(run), width - GRAM), np.uint8)
+    left[np.arange(width - GRAM) < offsets[:, :1]] = lefts
+    doc, place, offsets, run = doc[at], place[at], offsets[at], run[at]
+    hi, lo = offsets.T
+    shared[1:] = np.minimum(shared[1:], width - np.maximum(lo[1:], lo[:-1]))
+    left = left[at]
+    by_left, _ = ordered(padded(left, hi), np.zeros(len(run), np.int64))
+    left_shared = shared_prefix(left[by_left], hi[by_left])
     gone = np.zeros((len(run), width - GRAM + 1), bool)
     left_class = np.empty(len(run), np.int64)
-    # an entry alone in its right class stays alone at longer right sides
     for back in range(width - GRAM + 1):
-        mine = np.flatnonzero((offsets[:, 0] >= back) & (offsets[:, 1] <= back) & (size >= width - back))
+        mine = np.flatnonzero((hi >= back) & (lo <= back))
         if len(mine) < 2:
             continue
-        right = np.cumsum(shared < width - back)
+        right_class = np.cumsum(shared < width - back)[mine]
         left_class[by_left] = np.cumsum(left_shared < back)
-        both = right[mine] * len(run) + left_class[mine]
-        o = np.lexsort((doc[mine], both))
+        new = firsts(right_class)  # an entry alone in its right class has no partner
+        some = np.flatnonzero(~(new & np.append(new[1:], True)))
+        mine, both = mine[some], right_class[some] * len(run) + left_class[mine[some]]
+        o = np.argsort(both, kind="stable")
         both, d = both[o], doc[mine][o]
-        new = np.ones(len(o), bool)
-        new[1:] = both[1:] != both[:-1]
-        least = d[new][np.cumsum(new) - 1]
+        if not len(o):
+            continue
+        new = firsts(both)
+        least = np.minimum.reduceat(d, np.flatnonzero(new))[np.cumsum(new) - 1]
         gone[mine[o[d > least]], back] = True
     # neighbouring strings of an entry make one span
     edge = np.diff(np.pad(gone, ((0, 0), (1, 1))).astype(np.int8), axis=1)
@@ -424,14 +546,28 @@ def removed_spans(group: pa.Table, width: int) -> Iterator[tuple[int, np.ndarray
     _, to_back = np.nonzero(edge == -1)
     begin = place[e, 1].astype(np.int64) - (to_back - 1)
     end = place[e, 1].astype(np.int64) - from_back + width
-    spans = np.stack([place[e, 0].astype(np.int64), begin, end], 1).astype(np.uint32)
-    of = run[e]
-    for r in np.unique(of):
-        yield rows[r]["uid"], spans[of == r]
+    o = np.argsort(run[e], kind="stable")
+    spans, of = np.stack([place[e, 0].astype(np.int64), begin, end], 1).astype(np.uint32)[o], run[e][o]
+    cuts = np.flatnonzero(firsts(of)).tolist() if len(of) else []
+    for c, z in zip(cuts, [*cuts[1:], len(of)]):
+        yield rows[of[c]]["uid"], spans[c:z]
 
 
 # ---- the operator ------------------------------------------------------------------
 
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches as few larger ones."""
+    some, size = [], 0
+    for rb in batches:
+        some.append(rb)
+        size += rb.nbytes
+        if size >= BATCH_BYTES:
+            yield pa.concat_batches(some)
+            some, size = [], 0
+    if some:
+        yield pa.concat_batches(some)
+
+
 def removals(docs: DataFrame, width: int, others: list[str]) -> DataFrame:
     """Blocks with ``gone``: the packed spans to remove from their texts."""
     blocks = to_blocks(docs, others)
@@ -443,7 +579,7 @@ def removals(docs: DataFrame, width: int, others: list[str]) -> DataFrame:
             for row in rb.to_pylist():
                 b = Block(row, width)
                 at, _, _, doc = b.anchors()
-                yield from packed_keys(row["uid"], gram_keys(b.data, at, ranges), b.ids[doc], ranges)
+                yield from together(packed_keys(row["uid"], gram_keys(b.data, at, ranges), b.ids[doc], ranges))
 
     texts = blocks.drop("rest")
     hot = shared_keys(texts.mapInArrow(send_keys, KEYS_DDL))
@@ -451,8 +587,7 @@ def removals(docs: DataFrame, width: int, others: list[str]) -> DataFrame:
     def send(batches):
         for rb in batches:
             for row in rb.to_pylist():
-                for out in runs_of(Block(row, width), row["hot"], ranges):
-                    yield batch_of(RUNS, out)
+                yield from together(batch_of(RUNS, out) for out in runs_of(Block(row, width), row["hot"], ranges))
 
     def merge(group: pa.Table) -> pa.Table:
         found: dict[int, list[np.ndarray]] = {}

@@ -102,3 +102,44 @@ def test_loser_tree_merges_with_prefixes():
         assert out == sorted(everything)
         for a, b, p in zip(out, out[1:], shared[1:]):
             assert a[:p] == b[:p] and (len(a) == p or len(b) == p or a[p] != b[p])
+
+
+def sent_runs(rows, ranges, width=50):
+    """RUNS rows of a block of these texts if all of its anchors are heavy."""
+    texts = [t.encode() for _, t in rows]
+    b = Block({"uid": 1, "ids": np.array([d for d, _ in rows]).tobytes(), "known": np.ones(len(rows), bool).tobytes(),
+               "lens": np.array([len(t) for t in texts]).tobytes(), "data": b"".join(texts)}, width)
+    at, *_ = b.anchors()
+    hot = {}
+    for key in np.unique(suffixes.gram_keys(b.data, at, ranges)).tolist():
+        hot.setdefault(key >> 32, []).append(key & 0xFFFFFFFF)
+    hot = [{"range": r, "keys": np.array(k, np.uint32).tobytes(), "heavy": np.ones(len(k), bool).tobytes()} for r, k in hot.items()]
+    return [dict(zip(RUNS.names, out)) for out in runs_of(b, hot, ranges)]
+
+
+def test_a_block_sends_a_string_of_hot_anchors_once():
+    passage = prose(77, 40)
+    rows = [(d, prose(5000 + d, 12) + passage + prose(6000 + d, 12)) for d in range(60)]
+    strings = {t[i: i + 50] for _, t in ((d, t.encode()) for d, t in rows) for i in range(len(t) - 49)}
+    out = [r for r in sent_runs(rows, 40) if r["spans"] is None]
+    assert sum(r["n"] for r in out) == len(strings)
+    assert sum(r["salt"] > 0 for r in out) == len(out) <= 40 * max(1, suffixes.SALTS // 40)
+    assert len(sent_runs(rows, 1000)) <= 1 + 1000  # a row for each range, not for each range and salt
+
+
+@pytest.mark.parametrize("together", [0, 3, 10**9])
+def test_lanes_are_merged_with_prefixes(monkeypatch, together):
+    monkeypatch.setattr(suffixes, "TOGETHER", together)
+    r = random.Random(4)
+    rows = []
+    for run in range(9):
+        for lane in range(40):
+            words = [bytes(r.choice(b"ab\0") for _ in range(r.randrange(1, 9))) for _ in range(r.choice([0, 1, 2, 5, lane]))]
+            rows += [(run, lane, w) for w in sorted(words)]
+    size = np.array([len(w) for *_, w in rows])
+    m = suffixes.padded(np.array([list(w.ljust(8, b"\0")) for *_, w in rows], np.uint8), size)
+    order, shared = suffixes.merged_lanes(m, np.array([x for _, x, _ in rows], np.uint64), np.array([x for x, *_ in rows]))
+    assert [rows[i][1:] for i in order] == sorted(x[1:] for x in rows)
+    for i, (a, b) in enumerate(zip(order, order[1:]), 1):
+        same = m[a] != m[b]
+        assert shared[i] == (0 if rows[a][1] != rows[b][1] else same.argmax() if same.any() else m.shape[1])
